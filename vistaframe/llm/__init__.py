@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("mixing", "records", "packing")
+MODULES = ("revisits", "mixing", "jaccard", "toxicity", "quality", "audio", "licenses", "records", "neighbours", "packing")
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}

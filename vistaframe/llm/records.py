@@ -38,7 +38,7 @@ SHARD_BYTES = 64 << 20
 READ_BYTES = 4 << 20
 
 MANIFEST = "part int, chunk int, name string, records long, tokens long, bytes long"
-RECORD = "name string, row long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
+RECORD = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def masked(data: bytes) -> int:
@@ -152,22 +152,23 @@ def write_records(docs: DataFrame, base: str, vocabulary: str, end_id: int, drop
 
 
 def read_records(manifest: DataFrame, base: str) -> DataFrame:
-    """Reads the shards back, checks every checksum, and returns a row for each record; local_start counts the ids before it in its shard."""
+    """(doc_id, start, n_tokens, ids_crc32) of each record, read back from the shards with every checksum checked; start counts the ids of all records before it."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = file_system(base)
         for batch in batches:
-            for name, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows, start = [], 0
+            for name, size, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows = []
                 with system.open_input_stream(f"{folder}/{name}.rec") as stream:
-                    for row, whole in enumerate(frames(stream, size)):
+                    for whole in frames(stream, size):
                         doc_id, ids = unframe(whole)
-                        rows.append((name, row, doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+                        rows.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
                         start += len(ids)
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["name", "row", "doc_id", "local_start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.select("name", "bytes").repartition("name").mapInArrow(read, RECORD)
+    shards = manifest.select("name", "bytes").join(shard_starts(manifest), "name")
+    tasks = min(manifest.count(), int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return shards.repartition(max(1, tasks), "name").mapInArrow(read, RECORD)
 
 
 def read_shuffled(manifest: DataFrame, base: str, seed: int) -> DataFrame:
@@ -215,8 +216,7 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = f"{shared_dir(spark)}/records-{uuid.uuid4().hex}"
     manifest = write_records(table(spark, sf_dir, "documents"), base, public_tokenizers.path(VOCABULARY), END_ID, drops_space=True, width=WIDTH)
-    records = read_records(manifest, base).join(shard_starts(manifest), "name")
-    return records.select("doc_id", (F.col("start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+    return read_records(manifest, base)
 
 
 QUERIES = {"op8_token_records": op8_token_records}

@@ -17,12 +17,15 @@ WORD_PART = re.compile(f"[^{SPACE}]+")
 #: str.split() also cuts at these, which are no white space to a vocabulary.
 SEPARATORS = re.compile("[\\x1c-\\x1f]")
 #: Parts kept with their ids in each of two generations.
-KEPT_PARTS = 1 << 18
+KEPT_PARTS = 1 << 19
 LONGEST_KEPT = 64
+#: Marks that often close a part. No vocabulary joins them to an ASCII letter or digit before them.
+MARKS = ".,;:!?*%&$#|)\""
 
 
 class Known(dict):
-    """Ids of the parts seen lately, as bytes; what is missing is encoded by the library. The older generation is dropped when the newer is full."""
+    """Ids of the parts seen lately, as bytes; what is missing is encoded by the library. A part that
+    marks close is looked up without them. The older generation is dropped when the newer is full."""
 
     def __init__(self, library) -> None:
         super().__init__()
@@ -31,7 +34,11 @@ class Known(dict):
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
         if ids is None:
-            ids = array("I", self.library.encode(part, add_special_tokens=False).ids).tobytes()
+            body = part.rstrip(MARKS)
+            if len(body) < len(part) and body[-1:].isascii() and body[-1:].isalnum():
+                ids = self[body] + self[part[len(body) :]]
+            else:
+                ids = array("I", self.library.encode(part, add_special_tokens=False).ids).tobytes()
         if len(part) <= LONGEST_KEPT:
             if len(self) >= KEPT_PARTS:
                 self.older = self.copy()
