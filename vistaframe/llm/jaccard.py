@@ -4,7 +4,7 @@ Sets that are equal are one class and are handled once. For a set x of n shingle
 d = n - ceil(t * n) of them, so in any one order of all shingles two partners share one of their first d + 1, and l of
 their first d + l.
 
-1. Thinning. In hash order each class posts its first d + l shingles, l about a twentieth of n. Shingles that only one
+1. Thinning. In hash order each class posts its first d + l shingles, l about a tenth of n. Shingles that only one
    class posts cannot be shared; a class left with fewer than l others has no partner and is done. Tasks combine their own
    postings first, so a shingle that a third of all documents hold arrives once from each task.
 2. Ordering. The classes that are left are counted shingle by shingle and put into order of frequency. Most drop out
@@ -14,8 +14,8 @@ their first d + l.
    smaller than B take part there too. B is where the summed cost of both is least: subsets enumerated for sets below it,
    list entries scanned for those above.
 4. Linking. All sets in a list are compared with one head of the list and joined to components. Then only pairs of
-   different components are left to compare, and each is made from its list's smaller components against the list. A group
-   of near copies costs its size, not its square, and no link between components is lost.
+   different components are left to compare, where the places of their common shingle allow it. A group of near copies
+   costs its size, not its square, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -36,9 +36,9 @@ COMBINED = 1 << 21
 #: Ids of at most so many classes are sent to all executors (16 bytes each); beyond it the texts are shuffled to them.
 SENT_IDS = 1 << 20
 #: Star rounds before the pairs of different components are made, if those are still many.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 #: Residual pairs for each list entry that are made without another star round.
-RESIDUAL = 2
+RESIDUAL = 8
 
 
 def least(n: int | np.ndarray, percent: int):
@@ -99,7 +99,7 @@ def postings(docs: DataFrame, k: int, percent: int) -> DataFrame:
             for _, _, texts in text_lists(batch, 0):
                 sets = [x for x in shingles(texts, k) if len(x)]
                 for x, name in zip(sets, prints(sets)[0], strict=True):
-                    first = x[: len(x) - least(len(x), percent) + 1 + len(x) // 20]
+                    first = x[: len(x) - least(len(x), percent) + 1 + len(x) // 10]
                     tokens.append(first)
                     owners.append(np.full(len(first), name, "i8"))
                     size += len(first)
@@ -120,7 +120,7 @@ def may_link(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataF
     shared = seen.where("many = 0 AND (most > 0 OR lo <> hi)").select("print_a", F.lit(1).alias("held"))
     own = posted.where("token IS NULL").select("print_a", F.col("many").alias("held"))
     held = shared.union(own).groupBy("print_a").agg(F.sum("held").alias("held"))
-    enough = F.col("held") > F.floor(least_col(F.col("n"), percent) / 20)
+    enough = F.col("held") > F.floor(least_col(F.col("n"), percent) / 10)
     return classes.join(held, "print_a").where(enough).select("rep")
 
 
@@ -141,12 +141,13 @@ def sets_of(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
 
 
 def first_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, n, own, ordered): own shingles no other set has, and the others as (df, token), rarest first, as far as an extended prefix can reach."""
+    """(rep, n, own, ordered): how many shingles no other set has, and the others as (df, token), rarest first, as far as an extended prefix can reach."""
     rows = sets.select("rep", "n", F.explode("shingles").alias("token"))
     df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     lists = rows.join(df, "token").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ordered"))
-    room = F.col("n") - least_col(F.col("n"), percent) + 2 - (F.col("n") - F.size("ordered"))
-    return lists.withColumn("room", room).where("room > 0").select("rep", "n", F.slice("ordered", F.lit(1), F.col("room").cast("int")).alias("ordered"), "room")
+    own = F.col("n") - F.size("ordered")
+    room = F.col("n") - least_col(F.col("n"), percent) + 2 - F.col("own")
+    return lists.withColumn("own", own).withColumn("room", room).where("room > 0").select("rep", "n", "own", F.slice("ordered", F.lit(1), F.col("room").cast("int")).alias("ordered"), "room")
 
 
 def boundary(firsts: DataFrame) -> int:
@@ -163,13 +164,25 @@ def boundary(firsts: DataFrame) -> int:
 
 
 def lists_of(firsts: DataFrame, light_up_to: int, percent: int) -> DataFrame:
-    """(key, rep, n): where light sets meet (a pair of shingles) and where heavy ones are listed (a shingle)."""
-    light = firsts.where(F.col("n") <= light_up_to).select("rep", "n", "ordered", F.posexplode("ordered").alias("at", "one"))
-    pairs = light.select("rep", "n", "one", F.explode(F.slice("ordered", F.col("at") + 2, F.size("ordered"))).alias("two"))
-    pairs = pairs.select(F.xxhash64(F.lit(2), "one.token", "two.token").alias("key"), "rep", "n")
+    """(key, rep, n, rest, small): where light sets meet (a pair of shingles) and where heavy ones are listed (a shingle).
+
+    rest is how many of the set's n shingles stand at or after the shingle, in order: partners share no more than the smaller
+    rest where they first meet (positional filter). small: rest allows the set to be the smaller of a pair.
+    """
+    light = firsts.where(F.col("n") <= light_up_to).select("rep", "n", "own", "ordered", F.posexplode("ordered").alias("at", "one"))
+    pairs = light.select("rep", "n", "own", "at", "one", F.explode(F.slice("ordered", F.col("at") + 2, F.size("ordered"))).alias("two"))
+    pairs = pairs.select(F.xxhash64(F.lit(2), "one.token", "two.token").alias("key"), "rep", "n", "own", "at")
     heavy = firsts.where(F.col("n") >= least(light_up_to + 1, percent)).where("room > 1")
-    singles = heavy.select("rep", "n", F.explode(F.slice("ordered", F.lit(1), (F.col("room") - 1).cast("int"))).alias("one"))
-    return pairs.union(singles.select(F.xxhash64(F.lit(1), "one.token").alias("key"), "rep", "n")).distinct()
+    singles = heavy.select("rep", "n", "own", F.posexplode(F.slice("ordered", F.lit(1), (F.col("room") - 1).cast("int"))).alias("at", "one"))
+    entries = pairs.union(singles.select(F.xxhash64(F.lit(1), "one.token").alias("key"), "rep", "n", "own", "at"))
+    placed = entries.select("key", "rep", "n", (F.col("n") - F.col("own") - F.col("at")).alias("rest"))
+    return placed.withColumn("small", F.col("rest") * (100 + percent) >= F.col("n") * 2 * percent)
+
+
+def meetings(entries: DataFrame) -> DataFrame:
+    """The entries of lists that hold more than one set, one of them small."""
+    met = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bool_or("small").alias("any")).where("m > 1 AND any").select("key")
+    return entries.join(met, "key")
 
 
 def links_among(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -181,34 +194,53 @@ def links_among(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * percent).select("a", "b")
 
 
-def near_sizes(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def may_share(one: str, two: str, percent: int) -> Column:
+    """Whether two entries can be partners by their sizes and places; column names are prefixed."""
+    shared = F.least(f"{one}rest", f"{two}rest")
+    return shared * (100 + percent) >= (F.col(f"{one}n") + F.col(f"{two}n")) * percent
+
+
+def joined_by(found: DataFrame, links: DataFrame) -> DataFrame:
+    """found (id, component) with the components that links (a, b) connect made one; only components go through the rounds."""
+    of = lambda c: found.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    merged = components(ends).withColumnRenamed("component", "_to")
+    moved = found.join(merged.select(F.col("id").alias("component"), "_to"), "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+    new = merged.join(found.select("id"), "id", "left_anti").select("id", F.col("_to").alias("component"))
+    return written(moved.union(new))
+
+
+def prefixed(entries: DataFrame, prefix: str) -> DataFrame:
+    return entries.select("key", *[F.col(c).alias(f"{prefix}{c}") for c in entries.columns if c != "key"])
 
 
 def link_classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, component) of the linked reps. entries: a written table of (key, rep, n)."""
-    head = F.min(F.struct("rep", "n")).alias("head")
-    pairs = entries.join(entries.groupBy("key").agg(head), "key").where(F.col("rep") != F.col("head.rep"))
-    pairs = pairs.where(near_sizes(F.col("n"), F.col("head.n"), percent)).select(F.col("head.rep").alias("a"), F.col("rep").alias("b"))
-    links = written(links_among(pairs, sets, percent))
+    """(id, component) of the linked reps. entries: a written table of meetings.
+
+    Stars: the sets of a list are compared with its head, a small one. Then, if pairs of different components are still many,
+    with a head of the list's largest component. What is left are pairs of a small entry with a larger set of another
+    component, made once from the entries outside the largest component and once from those in it to those outside.
+    """
+    heads = prefixed(entries.where("small").groupBy("key").agg(F.min_by(F.struct("rep", "n", "rest"), "rep").alias("h")).select("key", "h.*"), "h_")
+    stars = entries.join(heads, "key").where(F.col("rep") != F.col("h_rep")).where(may_share("", "h_", percent))
+    found = components(written(links_among(stars.select(F.col("h_rep").alias("a"), F.col("rep").alias("b")), sets, percent)))
+    many = RESIDUAL * max(1, entries.count())
     for turn in range(1, STAR_ROUNDS + 1):
-        found = components(links)
-        # Members by list, with their components; the largest component of a list needs no pairs of its own.
-        members = entries.join(found, entries["rep"] == found["id"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        members = written(members)
-        parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"), F.min_by(F.struct("rep", "n"), F.xxhash64(F.lit(turn), "rep")).alias("head"))
-        largest = parts.groupBy("key").agg(F.max(F.struct("m", "component", "head")).alias("top"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        rest = members.join(largest, "key").where(F.col("component") != F.col("top.component"))
-        if turn < STAR_ROUNDS and (rest.agg(F.sum("all").alias("made")).first()["made"] or 0) > RESIDUAL * max(1, entries.count()):
-            pairs = rest.where(near_sizes(F.col("n"), F.col("top.head.n"), percent)).select(F.col("top.head.rep").alias("a"), F.col("rep").alias("b"))
-            links = written(links.union(links_among(pairs, sets, percent)))
+        members = written(entries.join(found, entries["rep"] == found["id"], "left").select(*entries.columns, F.coalesce("component", "rep").alias("component")))
+        parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"), F.min_by(F.struct("rep", "n", "rest"), F.xxhash64(F.lit(turn), "rep")).alias("head"))
+        top = parts.groupBy("key").agg(F.max(F.struct("m", "component", "head")).alias("top"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        mixed = members.join(top.select("key", F.col("top.component").alias("top"), F.col("top.head").alias("head"), "all"), "key")
+        outside = mixed.where("component <> top")
+        if turn < STAR_ROUNDS and (outside.where("small").agg(F.sum("all").alias("made")).first()["made"] or 0) > many:
+            stars = outside.select("rep", "n", "rest", *[F.col(f"head.{c}").alias(f"h_{c}") for c in ("rep", "n", "rest")]).where(may_share("", "h_", percent))
+            found = joined_by(found, written(links_among(stars.select(F.col("h_rep").alias("a"), F.col("rep").alias("b")), sets, percent)))
             continue
-        rest = rest.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        others = members.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        pairs = rest.join(others, "key").where((F.col("c_a") != F.col("c_b")) & near_sizes(F.col("n_a"), F.col("n_b"), percent))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = written(links_among(pairs, sets, percent))
-        return found if more.isEmpty() else components(links.union(more))
+        columns = ["key", "rep", "n", "rest", "component"]
+        small, larger = (prefixed(x.select(columns), "s_") for x in (outside.where("small"), mixed.where("small AND component = top"))), (prefixed(x.select(columns), "l_") for x in (mixed, outside))
+        ordered = (F.col("s_component") != F.col("l_component")) & (F.struct("s_n", "s_rep") < F.struct("l_n", "l_rep")) & may_share("s_", "l_", percent)
+        made = [s.join(x, "key").where(ordered).select(F.col("s_rep").alias("a"), F.col("l_rep").alias("b")) for s, x in zip(small, larger, strict=True)]
+        more = written(links_among(made[0].union(made[1]), sets, percent))
+        return found if more.isEmpty() else joined_by(found, more)
     raise AssertionError
 
 
@@ -231,10 +263,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = written(may_link(docs, classes, k, percent))
     sets = written(sets_of(docs, reps, k))
     firsts = written(first_shingles(sets, percent))
-    entries = written(lists_of(firsts, boundary(firsts), percent))
-    # What stands alone in every list has no partner.
-    met = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    found = link_classes(written(entries.join(met, "key")), sets, percent)
+    found = link_classes(written(meetings(lists_of(firsts, boundary(firsts), percent))), sets, percent)
     labelled = classes.join(found, classes["rep"] == found["id"], "left").select(*named, F.coalesce("component", "rep").alias("component_id"))
     linked = linkable.join(labelled, named).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = signed.where("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))

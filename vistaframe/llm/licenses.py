@@ -16,7 +16,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaframe.llm.common import table
+from vistaframe.llm.common import table, written
 
 # The base phrases and their labels, and the templates.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -30,31 +30,29 @@ TEMPLATES = {
     "mit-full": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
 }
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A word of a lower-cased text, and of a text as it stands.
+#: A word of a lower-cased text.
 LOWER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-EDGE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 THRESHOLD_PERCENT = 80
 BLOCK_WORDS = 64
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(LOWER_WORD), 0)
+    """Words of a text with A-Z lowered. The kelvin sign is the one other character that lower() makes an ASCII letter."""
+    return F.regexp_extract_all(F.lower(F.replace(text, F.lit("\u212a"), F.lit("\ufffd"))), F.lit(LOWER_WORD), F.lit(0))
 
 
 def template_words(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(LOWER_WORD, text.lower())))
 
 
-def any_of(words: list[str]) -> str:
-    """A pattern of texts that hold one of the words, in either case."""
-    return rf"(?i)(?<!{EDGE})(?:{'|'.join(map(re.escape, words))})(?!{EDGE})"
+def held_of(vocabulary: list[str]) -> Column:
+    """The distinct words of the vocabulary among words."""
+    return F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary)))
 
 
-def frequencies(texts: DataFrame, words: list[str]) -> dict[str, int]:
+def frequencies(held: DataFrame, words: list[str]) -> dict[str, int]:
     """How many texts hold each of the words, a bounded vocabulary."""
-    held = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(any_of(words)), F.lit(0)), lambda w: F.translate(w, UPPER, LOWER)))
-    counts = texts.where(F.col("text").rlike(any_of(words))).select(F.explode(held).alias("word")).groupBy("word").count()
+    counts = held.select(F.explode("held").alias("word")).groupBy("word").count()
     return dict.fromkeys(words, 0) | {r["word"]: r["count"] for r in counts.collect()}
 
 
@@ -81,7 +79,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
     """
     spark = docs.sparkSession
     words = {label: template_words(text) for label, text in templates.items()}
-    order = frequencies(docs.select("text"), sorted({w for ws in words.values() for w in ws}))
+    vocabulary = sorted({w for ws in words.values() for w in ws} | {w for p in phrases for w in p.split()})
+    text = F.coalesce("text", F.lit(""))
+    order = frequencies(docs.select(words_of(text).alias("words")).select(held_of(vocabulary).alias("held")), vocabulary)
     rank = {w: k for k, w in enumerate(sorted(order, key=lambda w: (order[w], w)))}
     ranks = {label: sorted(rank[w] for w in ws) for label, ws in words.items()}
     need = {label: -(-len(ws) * percent // 100) for label, ws in words.items()}
@@ -91,18 +91,26 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
         for label, prefix in prefixes.items() for k, p in enumerate(prefix)
     ])).alias("t")).select("t.*")
 
-    text = F.coalesce("text", F.lit(""))
-    named = docs.select("doc_id", text.alias("text")).withColumn("row", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5("text")))
-
-    # Blocks of the documents that hold a prefix word, as ranks of their template words.
+    # One pass over the texts: word counts, places of the phrases where a text holds all their words, and, of texts that hold
+    # a prefix word, the blocks as ranks of their template words.
+    row = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
+    worded = docs.select("doc_id", row.alias("row"), words_of(text).alias("words"))
+    worded = worded.select("doc_id", "row", "words", held_of(vocabulary).alias("held"))
     by_rank = [w for w, _ in sorted(rank.items(), key=lambda x: x[1])]
-    wanted = sorted({by_rank[r] for p in prefixes.values() for r in p})
-    held = named.where(F.col("text").rlike(any_of(wanted))).select("row", words_of(F.col("text")).alias("words"))
+    wanted = F.array(*[F.lit(w) for w in sorted({by_rank[r] for p in prefixes.values() for r in p})])
     known = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
-    starts = F.explode(F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(BLOCK_WORDS // 2)))
-    blocks = held.select("row", "words", starts.alias("start")).select("row", F.slice("words", F.col("start"), F.lit(BLOCK_WORDS)).alias("words"))
-    in_order = F.array_sort(F.array_distinct(F.filter(F.transform("words", lambda w: F.try_element_at(known, w)), lambda r: r.isNotNull())))
-    blocks = blocks.select("row", in_order.alias("block")).where(F.size("block") > 0)
+    in_order = lambda block: F.array_sort(F.array_distinct(F.filter(F.transform(block, lambda w: F.try_element_at(known, w)), lambda r: r.isNotNull())))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(BLOCK_WORDS // 2))
+    blocks = F.when(F.arrays_overlap("held", wanted), F.filter(F.transform(starts, lambda s: in_order(F.slice("words", s, F.lit(BLOCK_WORDS)))), lambda b: F.size(b) > 0))
+    none = F.array().cast("array<int>")
+
+    def places_of(phrase: str) -> Column:
+        parts = F.array(*[F.lit(w) for w in dict.fromkeys(phrase.split())])
+        return F.when(F.size(F.array_intersect("held", parts)) == F.size(parts), places(F.col("words"), phrase)).otherwise(none)
+
+    at = F.array(*[F.struct(places_of(p).alias("at"), F.lit(label).alias("label")) for p, label in phrases.items()])
+    rows = written(worded.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), at.alias("base"), blocks.alias("blocks")))
+    blocks = rows.where("blocks IS NOT NULL").select("row", F.explode("blocks").alias("block"))
     met = blocks.select("row", "block", F.posexplode("block").alias("at", "rank")).join(F.broadcast(index), "rank")
     met = met.where(F.size("block") >= F.col("need"))
     met = met.where(1 + F.least(F.size("template") - F.col("place") - 1, F.size("block") - F.col("at") - 1) >= F.col("need") - F.col("place"))
@@ -110,20 +118,13 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
     found = met.withColumn("both", both).where("both >= need")
     found = found.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("both") / F.size("template")).alias("contained"))
 
-    # Base places, looked for where the text matches at all.
-    gap = rf"{EDGE.replace('[^', '[')}+"
-    matches = F.col("text").rlike("(?i)" + "|".join(rf"(?<!{EDGE}){gap.join(p.split())}(?!{EDGE})" for p in phrases))
-    at = F.array(*[F.struct(places(F.col("words"), p).alias("at"), F.lit(label).alias("label")) for p, label in phrases.items()])
-    none = F.array().cast("array<string>")
-    rows = named.select("doc_id", "row", F.regexp_count("text", F.lit(ANY_WORD)).cast("long").alias("n_words"), F.when(matches, words_of(F.col("text"))).otherwise(none).alias("words"))
-    rows = rows.withColumn("base", F.when(F.size("words") > 0, F.filter(at, lambda b: F.size(b["at"]) > 0))).drop("words")
-    starts_all = F.flatten(F.transform("base", lambda b: b["at"]))
-    rows = rows.select("doc_id", "row", "n_words", F.coalesce(starts_all, F.array().cast("array<int>")).alias("at"), F.coalesce(F.transform("base", lambda b: b["label"]), none).alias("base"))
+    base = F.filter("base", lambda b: F.size(b["at"]) > 0)
+    rows = rows.select("doc_id", "row", "n_words", F.flatten(F.transform(base, lambda b: b["at"])).alias("at"), F.transform(base, lambda b: b["label"]).alias("base"))
     joined = rows.join(found, "row", "left")
     return joined.select(
         "doc_id", "n_words", F.size("at").cast("long").alias("n_base"), F.array_min("at").cast("long").alias("first_word"), F.array_max("at").cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct("base")), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("base", F.coalesce("found", none))), ",").alias("labels"),
+        F.array_join(F.array_sort(F.array_union("base", F.coalesce("found", F.array().cast("array<string>")))), ",").alias("labels"),
         F.when(F.size("at") > 0, F.lit(1.0)).otherwise(F.coalesce("contained", F.lit(0.0))).alias("score"),
     )
 
