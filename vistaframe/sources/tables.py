@@ -1,9 +1,10 @@
-"""The driver tables, and the package for Python workers."""
+"""The driver tables, tables in the shared folder, and the package for Python workers."""
 
 from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,3 +24,20 @@ def ship(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: lineage ends here and a lost executor loses nothing."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
