@@ -10,12 +10,12 @@ import pytest
 from vistaframe.llm import audio, labelled, neighbours, quality, toxicity
 from vistaframe.llm.common import written
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, _score string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string"
 ODD = ["", None, "   \n\t ", "one", "Ünï çode  ", "x" * 5000, "\n" * 300, "w " * 40_000]
 
 
 def frame(spark, texts):
-    return spark.createDataFrame([(k, t, None, "s", len(t or ""), "z") for k, t in enumerate(texts)], DOCS)
+    return spark.createDataFrame([(k, t, None, "s", len(t or ""), "z", "y") for k, t in enumerate(texts)], DOCS)
 
 
 def auc(score, y):
@@ -52,11 +52,14 @@ def test_odd_texts_have_scores(spark):
     documents = [(t, 0, None) for t in good] + [(t, 1, None) for t in bad]
     net = toxicity.train(documents)
     field = quality.train([(t, 1 - v, None) for t, v, _ in documents])
-    for scores, model in ((toxicity.scores, net), (quality.scores, field)):
-        out = scores(frame(spark, ODD).drop("_score"), model, ["doc_id"]).collect()
-        assert len(out) == len(ODD) and all(0 <= r["_score"] <= 1 for r in out)
-        assert len({r["_score"] for r in out if r["doc_id"] in (0, 1)}) == 1
-        assert scores(frame(spark, []).drop("_score"), model, ["doc_id"]).count() == 0
+    for scores, keeps, model in ((toxicity.scores, toxicity.without_toxic, net), (quality.scores, quality.good_documents, field)):
+        out = scores(frame(spark, ODD), model, ["doc_id"]).collect()
+        assert len(out) == len(ODD) and all(0 <= r["score"] <= 1 for r in out)
+        assert len({r["score"] for r in out if r["kept"]["doc_id"] in (0, 1)}) == 1
+        assert scores(frame(spark, []), model, ["doc_id"]).count() == 0
+        kept = keeps(frame(spark, [*ODD, "fine words here. " * 5, "### $$$ idiot %%% " * 9]), model)
+        assert kept.columns == frame(spark, []).columns
+        assert {len(ODD), len(ODD) + 1} & {r["doc_id"] for r in kept.collect()} == {len(ODD)}
     assert toxicity.train([]).score(toxicity.word_rows([b"x"])[0]) == 0.5
     assert 0 < quality.train([(b"a", 1, None)]).score([b"", b"a\nb"])[0] < 1
 

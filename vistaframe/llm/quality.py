@@ -206,16 +206,15 @@ def train(documents: list[tuple[bytes, int, str | None]]) -> Field:
 
 
 def scores(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
-    """The columns keep of docs (text and others), with _score: of the whole text; a null text is an empty one, a single empty line."""
+    """(kept, score) of docs: a struct of the columns keep, and the score of the whole text; a null text is an empty one, a single empty line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, texts in text_lists(batch, batch.num_columns - 1):
-                part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(field.score(texts), pa.float64())], [*part.schema.names[:-1], "_score"])
+            for start, end, texts in text_lists(batch, 1):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(field.score(texts), pa.float64())], ["kept", "score"])
 
-    plain = docs.select(*keep, F.col("text").cast("binary").alias("_text"))
-    return plain.mapInArrow(run, docs.select(*keep, F.lit(0.0).alias("_score")).schema)
+    plain = docs.select(F.struct(*keep).alias("kept"), F.col("text").cast("binary"))
+    return plain.mapInArrow(run, plain.select("kept", F.lit(0.0).alias("score")).schema)
 
 
 def field_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Field:
@@ -225,14 +224,15 @@ def field_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Field:
 
 def good_documents(docs: DataFrame, field: Field) -> DataFrame:
     """docs without the rows whose score is below PREDICTED."""
-    return scores(docs, field, docs.columns).where(F.col("_score") >= PREDICTED).select(docs.columns)
+    return scores(docs, field, docs.columns).where(F.col("score") >= PREDICTED).select("kept.*")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every text of documents: doc_id, held_out, score, predicted."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = scores(docs, field_of(spark, docs, sf_dir), ["doc_id"])
-    return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= PREDICTED).cast("int").alias("predicted"))
+    doc_id = F.col("kept.doc_id")
+    return scored.select(doc_id, held_out(doc_id, 5, 0).alias("held_out"), "score", (F.col("score") >= PREDICTED).cast("int").alias("predicted"))
 
 
 QUERIES = {"op5_quality": op5_quality}

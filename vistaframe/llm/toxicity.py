@@ -60,8 +60,10 @@ class Network:
         edge = max(WIDTHS) - 1
         for at in range(0, max(1, len(rows)), PART_WORDS):
             first = max(0, at - edge)
-            words = np.zeros((min(len(rows), at + PART_WORDS) - first + 2 * edge, DIMS), np.float32)
-            words[edge : len(words) - edge] = self.table[rows[first : at + PART_WORDS]].sum(axis=1)
+            part = rows[first : at + PART_WORDS]
+            left, right = edge * (at == 0), edge * (at + PART_WORDS >= len(rows))
+            words = np.zeros((left + len(part) + right, DIMS), np.float32)
+            words[left : left + len(part)] = self.table[part].sum(axis=1)
             for k, width in enumerate(WIDTHS):
                 n = len(words) - width + 1
                 response = words[:n] @ self.filters[k][:DIMS]
@@ -72,7 +74,7 @@ class Network:
                 own = slice(k * FILTERS, (k + 1) * FILTERS)
                 better = found > best[own]
                 best[own] = np.where(better, found, best[own])
-                where[own] = np.where(better, top + first - edge, where[own])
+                where[own] = np.where(better, top + first - left, where[own])
         return best, where
 
     def score(self, rows: np.ndarray) -> float:
@@ -184,20 +186,19 @@ def unpacked(data: dict) -> Network:
 
 
 def scores(docs: DataFrame, net: Network, keep: list[str]) -> DataFrame:
-    """The columns keep of docs (text and others), with _score: of the whole text; a null text is an empty one, which has a score too."""
+    """(kept, score) of docs: a struct of the columns keep, and the score of the whole text; a null text is an empty one, which has a score too."""
     sent = docs.sparkSession.sparkContext.broadcast(packed(net))
-    kept: dict[str, Network] = {}
+    own: dict[str, Network] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = kept.setdefault("net", unpacked(sent.value))
+        model = own.setdefault("net", unpacked(sent.value))
         for batch in batches:
-            for start, end, texts in text_lists(batch, batch.num_columns - 1):
-                found = pa.array([own.score(r) for r in word_rows(texts)], pa.float64())
-                part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], found], [*part.schema.names[:-1], "_score"])
+            for start, end, texts in text_lists(batch, 1):
+                found = pa.array([model.score(r) for r in word_rows(texts)], pa.float64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), found], ["kept", "score"])
 
-    plain = docs.select(*keep, F.col("text").cast("binary").alias("_text"))
-    return plain.mapInArrow(run, docs.select(*keep, F.lit(0.0).alias("_score")).schema)
+    plain = docs.select(F.struct(*keep).alias("kept"), F.col("text").cast("binary"))
+    return plain.mapInArrow(run, plain.select("kept", F.lit(0.0).alias("score")).schema)
 
 
 def network(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Network:
@@ -208,9 +209,10 @@ def network(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Network:
 def without_toxic(docs: DataFrame, net: Network) -> DataFrame:
     """docs without the rows whose score reaches the threshold of their language (column lang, if there is one), or else that of all."""
     limit = F.lit(net.threshold)
-    if net.thresholds and "lang" in docs.columns:
-        limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in net.thresholds.items() for x in pair]), F.coalesce("lang", F.lit(""))), limit)
-    return scores(docs, net, docs.columns).where(F.col("_score") < limit).select(docs.columns)
+    if "lang" in docs.columns:
+        for lang, own in net.thresholds.items():
+            limit = F.when(F.col("kept.lang") == lang, own).otherwise(limit)
+    return scores(docs, net, docs.columns).where(F.col("score") < limit).select("kept.*")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,9 +221,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = network(spark, docs, sf_dir)
     limit = F.lit(net.threshold)
     for lang, own in net.thresholds.items():
-        limit = F.when(F.col("lang") == lang, own).otherwise(limit)
-    scored = scores(docs.withColumn("_limit", limit), net, ["doc_id", "_limit"])
-    return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= PREDICTED).cast("int").alias("predicted"), (F.col("_score") >= F.col("_limit")).cast("int").alias("by_language"))
+        limit = F.when(F.col("kept.lang") == lang, own).otherwise(limit)
+    scored = scores(docs, net, ["doc_id", "lang"])
+    doc_id, score = F.col("kept.doc_id"), F.col("score")
+    return scored.select(doc_id, held_out(doc_id, 3, 1).alias("held_out"), "score", (score >= PREDICTED).cast("int").alias("predicted"), (score >= limit).cast("int").alias("by_language"))
 
 
 QUERIES = {"op4_toxicity": op4_toxicity}
