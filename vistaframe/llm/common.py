@@ -1,14 +1,11 @@
-"""What the training-data operators share: tables, materialised tables, crc and split helpers."""
+"""What the training-data operators share: tables, words and the held-out fold."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vistaframe.sources.tables import ship, table
+from vistaframe.sources.tables import shared_dir, ship, table, written
 
 __all__ = ["WORD", "held_out", "shared_dir", "ship", "table", "word_count", "written"]
 
@@ -16,23 +13,6 @@ __all__ = ["WORD", "held_out", "shared_dir", "ship", "table", "word_count", "wri
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends here and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def word_count(text: Column) -> Column:
     """Words of a text as WORD defines them; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -1,27 +1,5 @@
-"""Connected components of an edge table."""
+"""Connected components, as the scene operators have them."""
 
-from __future__ import annotations
+from vistaframe.operators.graph import components
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from vistaframe.llm.common import written
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component) of every id in edges (a, b): component is the smallest id that links reach.
-
-    Each round gives an id the smallest label among its own and its neighbours', then the label of that label, so a path
-    shortens by half or more. A node of many edges is a partial aggregate and a join that may be split. Every round is a
-    written table; only the number of changed labels comes to the driver. No edges give no rows.
-    """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).withColumnRenamed("a", "id"))
-    while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("component").alias("_near"))
-        nearest = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", F.col("component").alias("_was"), F.least("component", "_near").alias("_via"))
-        jump = labels.select(F.col("id").alias("_via"), F.col("component").alias("_far"))
-        moved = written(nearest.join(jump, "_via").select("id", F.least("_via", "_far").alias("component"), "_was"))
-        labels = moved.select("id", "component")
-        if moved.where("component <> _was").isEmpty():
-            return labels
+__all__ = ["components"]
