@@ -1,3 +1,4 @@
+import os
 import sys
 import tempfile
 from pathlib import Path
@@ -14,7 +15,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")

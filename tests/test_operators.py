@@ -108,7 +108,7 @@ def test_greedy_association(spark):
     box = lambda x: (x, 0.0, x + 10.0, 10.0)
     rows = [("s", 0, "f1", "chair", 0.9, *box(0.0)), ("s", 1, "f2", "chair", 0.9, *box(1.0)), ("s", 2, "f2", "chair", 0.5, *box(100.0)), ("s", 3, "f3", "lamp", 0.5, *box(0.0)), ("s", 4, "f4", "lamp", 0.5, *box(0.0)), ("s", 5, "f5", "chair", 0.5, *box(2.0)), ("s", 6, "f5", "chair", 0.9, *box(100.0))]
     d = spark.createDataFrame(rows, "scene_id string, ordinal long, frame string, class_name string, confidence double, x0 double, y0 double, x1 double, y1 double")
-    assert {r["ordinal"]: r["track"] for r in tracks.associate_detections(d).collect()} == {0: 1, 1: 1, 2: 2, 3: 1, 4: 1, 5: 3, 6: 4}
+    assert {r["ordinal"]: r["track"] for r in tracks.associate_detections(d).collect()} == {0: 1, 1: 1, 2: 2, 3: 1, 4: 1, 5: 4, 6: 3}
 
 
 def test_merge_takes_the_first_near_object(spark):

@@ -39,7 +39,8 @@ def quality_score(ssim: Column, psnr: Column, lpips: Column, registration_error:
     appearance = F.when(lpips.isNotNull(), 100 * (0.45 * s + 0.35 * near + 0.2 * p)).otherwise(100 * (0.8 * s + 0.2 * p))
     appearance = F.when(ssim.isNotNull() | psnr.isNotNull(), appearance)
     off = F.when(F.coalesce(registration_error > threshold, F.lit(False)), 10.0).otherwise(0.0) + F.least(F.lit(30.0), 5.0 * F.coalesce(failed, F.lit(0)))
-    return F.bround(appearance, 3), F.bround(F.greatest(appearance - off, F.lit(0.0)), 3)
+    total = F.when(appearance.isNotNull(), F.greatest(appearance - off, F.lit(0.0)))
+    return F.bround(appearance, 3), F.bround(total, 3)
 
 
 def validation_report(checks: DataFrame, key: tuple[str, ...] = ("scene_id",)) -> DataFrame:

@@ -55,7 +55,7 @@ def stream_tracks(detections: DataFrame) -> DataFrame:
             out += zip([w[1] for w in own], matcher.frame(rank, [(w[3], tuple(w[4:])) for w in own]), strict=True)
         state.update((matcher.number, json.dumps(matcher.active), json.dumps(waiting)))
         if waiting:
-            state.setTimeoutTimestamp(int(max(mark, max(w[2] for w in waiting))) + 1)
+            state.setTimeoutTimestamp(int(max(mark, min(w[2] for w in waiting))) + 1)
         yield pd.DataFrame({"scene_id": key[0], "class_name": key[1], "ordinal": [o for o, _ in out], "track": [t for _, t in out]})
 
     return detections.groupBy("scene_id", "class_name").applyInPandasWithState(match, "scene_id string, class_name string, ordinal long, track long", "number long, active string, waiting string", "append", GroupStateTimeout.EventTimeTimeout)
