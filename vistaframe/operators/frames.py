@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vistaframe.functions.geometry import clip, cross, dot, norm, rotation_to_up
+from vistaframe.sources.tables import written
 
 #: Random triples, how near a point is to count, how level a plane must be, and the fewest points.
 HYPOTHESES, NEAR, LEVEL, LEAST_POINTS = 800, 0.04, 0.75, 32
@@ -117,10 +118,12 @@ def frame_paths(edges: DataFrame, depth: int = 8) -> DataFrame:
     frames = both.select("scene_id", F.col("source").alias("frame")).distinct()
     found = frames.select("scene_id", F.col("frame").alias("source"), F.col("frame").alias("target"), F.lit(0).alias("hops"), F.array().cast("array<long>").alias("edges"), identity.alias("matrix"))
     step = both.select("scene_id", F.col("source").alias("_via"), F.col("ordinal").alias("_edge"), F.col("target").alias("_to"), F.col("matrix").alias("_next"))
+    step, found = written(step), written(found)
     front = found
     for hops in range(1, depth + 1):
         grown = front.join(step, (front["scene_id"] == step["scene_id"]) & (front["target"] == step["_via"])).select(front["scene_id"], "source", F.col("_to").alias("target"), F.lit(hops).alias("hops"), F.concat("edges", F.array(F.col("_edge").cast("long"))).alias("edges"), matmul44(F.col("_next"), F.col("matrix")).alias("matrix"))
-        front = grown.groupBy("scene_id", "source", "target").agg(F.min_by(F.struct("hops", "edges", "matrix"), "edges").alias("_p")).select("scene_id", "source", "target", "_p.*").join(found.select("scene_id", "source", "target"), ["scene_id", "source", "target"], "left_anti")
+        shortest = grown.groupBy("scene_id", "source", "target").agg(F.min_by(F.struct("hops", "edges", "matrix"), "edges").alias("_p")).select("scene_id", "source", "target", "_p.*")
+        front = written(shortest.join(found.select("scene_id", "source", "target"), ["scene_id", "source", "target"], "left_anti"))
         if front.isEmpty():
             break
         found = found.unionByName(front)
