@@ -175,3 +175,32 @@ def test_encoding_comes_near_and_norms_are_its_own():
     assert ((x - y) ** 2).sum() < 0.5 * (x**2).sum()
     greedy = books.decode(books.encode(x, beam=1)[0])
     assert ((x - y) ** 2).sum() <= ((x - greedy) ** 2).sum()
+
+
+def recalls(spark, path):
+    """The share of its 20 nearest that the query finds, for each of its queries, by brute force over the whole table."""
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{path}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    ids, x = np.array([k for k, _ in rows]), np.array([v for _, v in rows], np.float64)
+    found = {}
+    for r in neighbours.op9_additive_quantisation(spark, path).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    shares = []
+    for at in np.flatnonzero(ids % 20 == 0):
+        scores = (x * x[at]).sum(axis=1)
+        scores[at] = -np.inf
+        shares.append(len(found[ids[at]] & set(ids[np.lexsort((ids, -scores))[:20]].tolist())) / 20)
+    return np.array(shares)
+
+
+def test_recall_of_the_query_on_a_whole_table(spark):
+    shares = recalls(spark, "/root/testdata/sf0.1")
+    assert shares.mean() >= 0.9 and shares.min() >= 0.9, (shares.mean(), shares.min())
+
+
+def test_recall_among_near_copies(spark, tmp_path):
+    random_numbers = np.random.default_rng(5)
+    x = random_numbers.normal(size=(3000, 64))
+    x[::3] = x[0] + 1e-3 * random_numbers.normal(size=(1000, 64))
+    spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    shares = recalls(spark, str(tmp_path))
+    assert shares.mean() >= 0.9 and shares.min() >= 0.9, (shares.mean(), shares.min())

@@ -4,7 +4,8 @@ A vector is the sum of one entry from each of several full-dimensional codebooks
 residual k-means first, then rounds of beam-search encoding and least-squares refitting of all entries together. Every
 vector of the table is encoded by beam search, and its approximate norm is stored with its code. A query makes one lookup
 table of its products with all entries; a candidate's score is the sum of its entries' products. The best by that score in
-each block of the index are scored again on their original vectors, in double precision.
+each block of the index are scored again on their original vectors, in double precision, and so is every other candidate
+that its quantisation error could lift among them.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ BOOKS, ENTRIES, SAMPLE, ROUNDS = 8, 128, 8192, 2
 BEAM = 8
 #: Vectors in a block of the index, and queries in a block of queries.
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
-#: Candidates of a block that are scored exactly for each query.
+#: Candidates of a block that are scored exactly for each query, whatever their errors.
 RERANK = 64
 #: Blocks whose bests are merged in one round.
 MERGED = 64
@@ -111,13 +112,14 @@ def top(scores: np.ndarray, n: int) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame, books: Codebooks, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """A row for each block: block (from 0), ids, vectors, codes and norms as bytes. Rows are dealt to blocks in turn, so no id or value fills one."""
+    """A row for each block: block (from 0), ids, vectors, codes, norms and errors (lengths of what codes leave) as bytes. Rows are dealt to blocks in turn, so no id or value fills one."""
 
     def encode(ids: np.ndarray, x: np.ndarray) -> list[bytes]:
         codes, norms = books.encode(x)
-        return [a.tobytes() for a in (ids, x, codes.astype("<u2"), norms.astype("<f8"))]
+        errors = np.linalg.norm(x - books.decode(codes), axis=1)
+        return [a.tobytes() for a in (ids, x, codes.astype("<u2"), norms.astype("<f8"), errors.astype("<f8"))]
 
-    return blocks_of(vectors, block_rows, books.books.shape[2], encode, ["ids", "vectors", "codes", "norms"])
+    return blocks_of(vectors, block_rows, books.books.shape[2], encode, ["ids", "vectors", "codes", "norms", "errors"])
 
 
 def blocks_of(vectors: DataFrame, size: int, dims: int, encode, names: list[str]) -> DataFrame:
@@ -141,9 +143,10 @@ def blocks_of(vectors: DataFrame, size: int, dims: int, encode, names: list[str]
 def search(index: DataFrame, queries: DataFrame, books: Codebooks, k: int, rerank: int = RERANK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every query (vec_id, vector) by inner product, without itself.
 
-    Every block of queries is copied to every block of the index, which gives one row with its best for each query: of the
-    rerank best by lookup scores, ties to smaller ids, the exact best k. Blocks' bests are merged in rounds of MERGED. Ties
-    in the exact score go to smaller ids. A query id that several rows carry is answered for each; candidates that are
+    Every block of queries is copied to every block of the index, which gives one row with its best for each query. The
+    rerank best by lookup scores are scored exactly; the k-th of them is a floor, and all whose lookup score plus the most
+    that their error can add (its length times the query's) reaches the floor are scored exactly too, so a block's best k
+    are exact. Blocks' bests are merged in rounds of MERGED. Ties in the exact score go to smaller ids. A query id that several rows carry is answered for each; candidates that are
     repeated rows are found as often. index and queries: written tables.
     """
     dims = books.books.shape[2]
@@ -151,11 +154,14 @@ def search(index: DataFrame, queries: DataFrame, books: Codebooks, k: int, reran
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, ids, vectors, codes, asked, query_ids, q in zip(*(batch.column(c) for c in range(7)), strict=True):
+            for block, ids, vectors, codes, errors, asked, query_ids, q in zip(*(batch.column(c) for c in range(8)), strict=True):
                 ids, query_ids = np.frombuffer(ids.as_py(), "<i8"), np.frombuffer(query_ids.as_py(), "<i8")
                 x, q = np.frombuffer(vectors.as_py(), "<f8").reshape(-1, dims), np.frombuffer(q.as_py(), "<f8").reshape(-1, dims)
                 codes = np.frombuffer(codes.as_py(), "<u2").reshape(len(ids), -1)
+                errors, lengths = np.frombuffer(errors.as_py(), "<f8"), np.linalg.norm(q, axis=1)
                 tables = (flat @ q.T).astype(np.float32)  # a column for each query
+                # What single precision can lose in a sum of entries.
+                lost = 2e-7 * (codes.shape[1] + 1) ** 2 * np.abs(tables).max(axis=0)
                 out_ids, out_scores = [], []
                 for at in range(0, len(query_ids), 64):
                     lookup = np.ascontiguousarray(tables[:, at : at + 64])
@@ -168,6 +174,10 @@ def search(index: DataFrame, queries: DataFrame, books: Codebooks, k: int, reran
                         found = top(approximate[j], rerank)
                         found = found[ids[found] != query_id]
                         exact = (x[found] * q[at + j]).sum(axis=1)
+                        floor = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else -np.inf
+                        below = approximate[j] + (errors * lengths[at + j] * (1 + 1e-9) + lost[at + j]) < floor
+                        found = np.flatnonzero(~below & (ids != query_id))
+                        exact = (x[found] * q[at + j]).sum(axis=1)
                         best = np.lexsort((ids[found], -exact))[:k]
                         out_ids.append(ids[found][best])
                         out_scores.append(-exact[best])
@@ -179,7 +189,7 @@ def search(index: DataFrame, queries: DataFrame, books: Codebooks, k: int, reran
     asked = blocks_of(queries, BLOCK_QUERIES, dims, lambda ids, x: [ids.tobytes(), x.tobytes()], ["query_ids", "queries"])
     blocks = (index.agg(F.max("block")).first()[0] or 0) + 1
     copies = asked.withColumnRenamed("block", "asked").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = index.join(copies, "block").select("block", "ids", "vectors", "codes", "asked", "query_ids", "queries")
+    pairs = index.join(copies, "block").select("block", "ids", "vectors", "codes", "errors", "asked", "query_ids", "queries")
     bests = written(pairs.mapInArrow(score, "block long, query long, query_id long, best array<struct<minus: double, vec_id: long>>"))
     while blocks > 1:
         blocks = -(-blocks // MERGED)
