@@ -89,6 +89,21 @@ def test_floor_of_a_room(spark):
     assert again == found
 
 
+def test_floor_is_refined_by_all_its_inliers(spark):
+    rnd = np.random.default_rng(4)
+    low = np.c_[rnd.uniform(-2, 2, (3000, 2)), np.zeros(3000)]
+    low[:, 2] = 0.1 * low[:, 0] - 0.2 * low[:, 1] + rnd.normal(0, 0.004, 3000) - 100.0
+    points = spark.createDataFrame([("a", k, *map(float, p)) for k, p in enumerate(low)], POINT)
+    ups = spark.createDataFrame([("a", 0.0, 0.0, 1.0)], "scene_id string, x double, y double, z double")
+    (found,) = frames.fit_floor(points, ups).collect()
+    normal = np.linalg.svd(low - low.mean(axis=0), full_matrices=False)[2][-1]
+    normal *= np.sign(normal[2])
+    assert found["inliers"] == 3000 and found["ratio"] == 1.0
+    assert np.allclose([found["nx"], found["ny"], found["nz"]], normal, atol=1e-9)
+    assert abs(found["offset"] - np.median(low @ normal)) < 1e-7
+    assert frames.fit_floor(points.repartition(13), ups).collect() == [found]
+
+
 def test_split_does_not_depend_on_partitions(spark):
     f = view(spark, SF, "frames")
     one = {r["frame_id"]: r["split"] for r in dataset.assign_split(f.repartition(1), seed=3).collect()}

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,8 +14,8 @@ from vistaframe.sources.tables import written
 
 #: Random triples, how near a point is to count, how level a plane must be, and the fewest points.
 HYPOTHESES, NEAR, LEVEL, LEAST_POINTS = 800, 0.04, 0.75, 32
-#: Points of a scene that hypotheses are scored on, and how many of the best are scored on all points.
-SCORED, RESCORED = 20_000, 16
+#: The fewest inliers that refine a plane.
+LEAST_INLIERS = 16
 
 
 def _drawn(points: DataFrame, order: Column, n: int) -> DataFrame:
@@ -27,8 +31,8 @@ def fit_floor(points: DataFrame, ups: DataFrame, hypotheses: int = HYPOTHESES, n
     """(scene_id, nx, ny, nz, offset, inliers, ratio): the plane with most points near it among those through three low points.
 
     Candidates are points up to the 20th percentile of height along up (all if those are fewer than 16). Triples are drawn by
-    hash, so the result doesn't depend on partitions. Planes steeper than `level` are dropped; normals point up. Planes are
-    scored on a hash sample of a scene, the best again on all points; ties go to the lower plane. Scenes with fewer than
+    hash, so the result doesn't depend on partitions. Planes steeper than `level` are dropped; normals point up. All planes are
+    scored on all points; ties go to the lower plane. The best is refined by its inliers, see _refined(). Scenes with fewer than
     LEAST_POINTS points or without a level plane have no row.
     """
     up = [F.col(f"up_{c}") for c in "xyz"]
@@ -63,12 +67,46 @@ def fit_floor(points: DataFrame, ups: DataFrame, hypotheses: int = HYPOTHESES, n
         return of.join(counts, ["scene_id", "_at"])
 
     best = Window.partitionBy("scene_id").orderBy(F.col("inliers").desc(), "offset", "_at")
-    sample = _drawn(named, F.xxhash64(F.lit(seed - 1), "point_id"), SCORED)
-    chosen = scored(sample, planes).withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= RESCORED).drop("inliers", "_rank")
-    final = scored(named, chosen).withColumn("_rank", F.row_number().over(best)).where("_rank = 1")
+    won = written(scored(named, planes).withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank"))
+    final = _refined(named, won, near, level)
     return final.join(cut, "scene_id").select("scene_id", "nx", "ny", "nz", "offset", "inliers", (F.col("inliers") / F.col("_all")).alias("ratio"))
 
 
+def _refined(points: DataFrame, planes: DataFrame, near: float, level: float) -> DataFrame:
+    """planes with the direction in which their inliers (LEAST_INLIERS at least) spread least as normal, the median of the inliers
+    along it as offset, and inliers counted again; as they were where that is steeper than `level`. points have up_x..up_z.
+
+    Sums are of decimals inside the inliers' box, so that they don't depend on partitions.
+    """
+    normal = [F.col(f"n{c}") for c in "xyz"]
+    position = [F.col(c) for c in "xyz"]
+    inside = points.join(F.broadcast(planes), "scene_id").where(F.abs(dot(position, normal) - F.col("offset")) < near).select("scene_id", *"xyz")
+    box = inside.groupBy("scene_id").agg(*[((F.min(c) + F.max(c)) / 2).alias(f"m{c}") for c in "xyz"], F.greatest(F.lit(1e-12), *[(F.max(c) - F.min(c)) / 2 for c in "xyz"]).alias("_s"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= LEAST_INLIERS)
+    exact = lambda c: c.cast("decimal(28,20)")
+    unit = inside.join(F.broadcast(box), "scene_id").select("scene_id", "_n", *[((F.col(c) - F.col(f"m{c}")) / F.col("_s")).alias(c) for c in "xyz"])
+    pairs = ["xx", "xy", "xz", "yy", "yz", "zz"]
+    sums = unit.groupBy("scene_id", "_n").agg(*[F.sum(exact(F.col(c))).cast("double").alias(f"s{c}") for c in "xyz"], *[F.sum(exact(F.col(p[0]) * F.col(p[1]))).cast("double").alias(f"s{p}") for p in pairs])
+
+    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            mean = rows[["sx", "sy", "sz"]].to_numpy(float) / rows[["_n"]].to_numpy(float)
+            square = rows[["sxx", "sxy", "sxz", "sxy", "syy", "syz", "sxz", "syz", "szz"]].to_numpy(float).reshape(-1, 3, 3) / rows["_n"].to_numpy(float)[:, None, None]
+            found = np.linalg.eigh(square - mean[:, :, None] * mean[:, None, :])[1][:, :, 0]
+            yield pd.DataFrame({"scene_id": rows["scene_id"], "rx": found[:, 0], "ry": found[:, 1], "rz": found[:, 2]})
+
+    turned = sums.mapInPandas(least, "scene_id string, rx double, ry double, rz double")
+    ups = points.groupBy("scene_id").agg(*[F.first(f"up_{c}").alias(f"up_{c}") for c in "xyz"])
+    slope = dot([F.col(f"r{c}") for c in "xyz"], [F.col(f"up_{c}") for c in "xyz"])
+    turned = turned.join(F.broadcast(ups), "scene_id").withColumn("_slope", slope).where(F.abs("_slope") >= level)
+    turned = written(turned.select("scene_id", *[(F.col(f"r{c}") * F.when(F.col("_slope") < 0, -1.0).otherwise(1.0)).alias(f"n{c}") for c in "xyz"]))
+    middle = inside.join(F.broadcast(turned), "scene_id").groupBy("scene_id", "nx", "ny", "nz").agg(F.median(dot(position, normal)).alias("offset"))
+    middle = written(middle)
+    counts = points.join(F.broadcast(middle), "scene_id").where(F.abs(dot(position, normal) - F.col("offset")) < near).groupBy("scene_id").agg(F.count(F.lit(1)).alias("inliers"))
+    better = middle.join(counts, "scene_id", "left").select("scene_id", "nx", "ny", "nz", "offset", F.coalesce("inliers", F.lit(0)).alias("inliers"))
+    kept = planes.join(F.broadcast(better), "scene_id", "left_anti").select(better.columns)
+    return better.unionByName(kept)
+
+
 def floor_report(points: DataFrame, centres: DataFrame, planes: DataFrame) -> DataFrame:
     """For each scene: the share of points below its plane, the share of cameras above it (1 without cameras), percentiles of height."""
     normal = [F.col(f"n{c}") for c in "xyz"]
