@@ -104,6 +104,17 @@ def test_floor_is_refined_by_all_its_inliers(spark):
     assert frames.fit_floor(points.repartition(13), ups).collect() == [found]
 
 
+def test_paths_of_a_long_chain(spark):
+    step = [1.0, 0.0, 0.0, 1.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0]
+    rows = [("long", k, k, k + 1, step) for k in range(11)] + [("ring", k, k, (k + 1) % 5, step) for k in range(5)]
+    edges = spark.createDataFrame(rows, "scene_id string, ordinal long, source long, target long, matrix array<double>")
+    got = {(r["scene_id"], r["source"], r["target"]): (r["hops"], r["matrix"][3]) for r in frames.frame_paths(edges).collect()}
+    chain = {("long", a, b): (abs(a - b), float(b - a)) for a in range(12) for b in range(12)}
+    assert {k: v for k, v in got.items() if k[0] == "long"} == chain
+    ring = {("ring", a, b): min(abs(a - b), 5 - abs(a - b)) for a in range(5) for b in range(5)}
+    assert {k: v[0] for k, v in got.items() if k[0] == "ring"} == ring
+
+
 def test_split_does_not_depend_on_partitions(spark):
     f = view(spark, SF, "frames")
     one = {r["frame_id"]: r["split"] for r in dataset.assign_split(f.repartition(1), seed=3).collect()}

@@ -14,6 +14,8 @@ from vistaframe.sources.tables import written
 
 #: Random triples, how near a point is to count, how level a plane must be, and the fewest points.
 HYPOTHESES, NEAR, LEVEL, LEAST_POINTS = 800, 0.04, 0.75, 32
+#: Rounds of paths after which all that is found is written as one table.
+ROUNDS = 16
 #: The fewest inliers that refine a plane.
 LEAST_INLIERS = 16
 
@@ -143,11 +145,12 @@ def rigid_inverse(m: Column) -> Column:
     return F.array(*rows, *[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)])
 
 
-def frame_paths(edges: DataFrame, depth: int = 8) -> DataFrame:
+def frame_paths(edges: DataFrame) -> DataFrame:
     """(scene_id, source, target, hops, matrix): the shortest path between all frames of a scene that transforms link.
 
     edges: scene_id, ordinal, source, target, matrix (similarities), walked in both directions. A frame reaches itself by the
-    identity. Of paths with equal hops the one of earlier edges wins. Frames of a scene are few, so a path set is too.
+    identity. Of paths with equal hops the one of earlier edges wins. Rounds go on until one finds no new pair: as many as the
+    longest shortest path has hops. Frames of a scene are few, so a path set is too.
     """
     from vistaframe.functions.geometry import matmul44
 
@@ -157,12 +160,17 @@ def frame_paths(edges: DataFrame, depth: int = 8) -> DataFrame:
     found = frames.select("scene_id", F.col("frame").alias("source"), F.col("frame").alias("target"), F.lit(0).alias("hops"), F.array().cast("array<long>").alias("edges"), identity.alias("matrix"))
     step = both.select("scene_id", F.col("source").alias("_via"), F.col("ordinal").alias("_edge"), F.col("target").alias("_to"), F.col("matrix").alias("_next"))
     step, found = written(step), written(found)
-    front = found
-    for hops in range(1, depth + 1):
+    front, before, hops = found, found.limit(0), 0
+    while True:
+        hops += 1
         grown = front.join(step, (front["scene_id"] == step["scene_id"]) & (front["target"] == step["_via"])).select(front["scene_id"], "source", F.col("_to").alias("target"), F.lit(hops).alias("hops"), F.concat("edges", F.array(F.col("_edge").cast("long"))).alias("edges"), matmul44(F.col("_next"), F.col("matrix")).alias("matrix"))
         shortest = grown.groupBy("scene_id", "source", "target").agg(F.min_by(F.struct("hops", "edges", "matrix"), "edges").alias("_p")).select("scene_id", "source", "target", "_p.*")
-        front = written(shortest.join(found.select("scene_id", "source", "target"), ["scene_id", "source", "target"], "left_anti"))
+        # As edges go both ways, what was found earlier can only be of this front or of the one before.
+        late = front.unionByName(before).select("scene_id", "source", "target")
+        before, front = front, written(shortest.join(late, ["scene_id", "source", "target"], "left_anti"))
         if front.isEmpty():
             break
         found = found.unionByName(front)
+        if hops % ROUNDS == 0:
+            found = written(found)
     return found.drop("edges")
