@@ -38,6 +38,16 @@ def test_ids_are_the_librarys(name, drops, text):
     assert e.ids(text).tolist() == e.known.library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize(("name", "drops"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_ids_are_the_librarys_where_parts_differ(name, drops):
+    e = ENCODERS.setdefault(name, Encoder(public_tokenizers.path(name), drops))
+    marks = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|endof", "|>"]
+    letters = [f"{c}{m}" for c in "HJTWYa" for m in ("\u030c", "\u0331", "\u030a", "\u0308", "\u3099\u030c", "\u05b0\u0331\u030c")]
+    texts = [f"{a}{t}{b}" for t in marks + letters for a, b in (("", ""), ("foo\n\n", ""), ("A b \t", "\n x"), ("a\u00a0", " B."))]
+    for t in texts:
+        assert e.ids(t).tolist() == e.known.library.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
 ENCODERS: dict[str, Encoder] = {}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from array import array
 from functools import lru_cache
 
@@ -16,6 +17,8 @@ PART = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 WORD_PART = re.compile(f"[^{SPACE}]+")
 #: str.split() also cuts at these, which are no white space to a vocabulary.
 SEPARATORS = re.compile("[\\x1c-\\x1f]")
+#: An ASCII capital and a mark: the two may compose, or the marks after it may be put in order first.
+MARKED = re.compile("[A-Z][" + "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.combining(c)) + "]")
 #: Parts kept with their ids in each of two generations.
 KEPT_PARTS = 1 << 19
 LONGEST_KEPT = 64
@@ -47,19 +50,26 @@ class Known(dict):
         return ids
 
 
+def added_tokens(library, any_case: bool) -> re.Pattern:
+    """The library's added tokens. Written without flags, so that their common start is searched for as fast as a literal."""
+    either = lambda c: f"[{c.lower()}{c.upper()}]" if any_case and c.isascii() and c.isalpha() else re.escape(c)
+    return re.compile("|".join("".join(map(either, t.content)) for t in library.get_added_tokens_decoder().values()) or "(?!)")
+
+
 class Encoder:
     """Ids of texts. As words recur, most parts of a text have been encoded before and are only looked up.
 
     The pre-tokenizers of the vocabularies cut at every boundary of PART (or of WORD_PART, with drops_space, where ASCII
-    case is lost too), so the ids of a text are those of its parts in order; tests hold this against the library's ids of
-    whole texts. Null and empty texts have no ids.
+    case is lost too), so the ids of a text are those of its parts in order; texts of which this may fail go to the library
+    whole. Tests hold this against the library's ids of whole texts. Null and empty texts have no ids.
     """
 
     def __init__(self, path: str, drops_space: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.drops_space = drops_space
-        self.known = Known(Tokenizer.from_file(path))
+        library = Tokenizer.from_file(path)
+        self.known, self.added = Known(library), added_tokens(library, drops_space)
 
     def parts(self, text: str) -> list[str]:
         if not self.drops_space:
@@ -67,7 +77,14 @@ class Encoder:
         text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
         return WORD_PART.findall(text) if SEPARATORS.search(text) else text.split()
 
+    def whole(self, text: str) -> bool:
+        """Whether the parts of a text may have other ids than the whole: the library splits at added tokens before all else, and
+        where case is lost it composes letters and marks before that."""
+        return bool(self.added.search(text) or self.drops_space and not text.isascii() and MARKED.search(text))
+
     def ids(self, text: str | None) -> np.ndarray:
+        if text and self.whole(text):
+            return np.array(self.known.library.encode(text, add_special_tokens=False).ids, "<u4")
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.parts(text or ""))), "<u4")
 
 
