@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vistaframe.sources.tables import written
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, written: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """(id, component) of every id in edges (a, b): component is the smallest id that links reach.
 
     Each round gives an id the smallest label among its own and its neighbours', then the label of that label, so a path
     shortens by half or more. A node of many edges is a partial aggregate and a join that may be split. Every round is a
-    written table; only whether a label changed comes to the driver. No edges give no rows.
+    table that `written` makes; only whether a label changed comes to the driver. No edges give no rows.
     """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
     labels = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).withColumnRenamed("a", "id"))

@@ -27,9 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset a local master gets a new local one; a cluster raises."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -41,3 +43,22 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables in the shared folder that a computation needs until its result is written."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[SparkSession, str]] = []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        table = written(df)
+        self.held += [(df.sparkSession, path) for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}]
+        return table
+
+    def drop(self) -> None:
+        """Deletes the tables through the file system that Spark wrote them to."""
+        for spark, path in self.held:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        self.held = []
