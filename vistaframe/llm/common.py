@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vistaframe.sources.tables import shared_dir, ship, table, written
+from vistaframe.sources.tables import Scratch, shared_dir, ship, table, written
 
-__all__ = ["WORD", "held_out", "shared_dir", "ship", "table", "word_count", "written"]
+__all__ = ["WORD", "Scratch", "held_out", "shared_dir", "ship", "table", "word_count", "written"]
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
