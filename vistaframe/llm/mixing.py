@@ -8,7 +8,7 @@ then cut at its budget, whole epochs first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vistaframe.llm.common import table, word_count, written
@@ -17,6 +17,8 @@ from vistaframe.llm.common import table, word_count, written
 RANGE_DIGITS = 3
 #: A source is repeated at most so often.
 MAX_EPOCHS = 3
+#: Sources whose cuts are sent to all executors (about 100 bytes each); with more of them texts and cuts are joined by shuffle.
+SENT_SOURCES = 1 << 16
 
 
 def source_targets(sizes: DataFrame, cycle: int = 3, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -48,49 +50,76 @@ def source_targets(sizes: DataFrame, cycle: int = 3, max_epochs: int = MAX_EPOCH
     return ranked.select("source", "source_size", "weight", shared.alias("target"))
 
 
-def mix(sized: DataFrame) -> DataFrame:
-    """Adds source_size, target and taken to rows that have doc_id, source and size.
+def placed_rows(sized: DataFrame) -> DataFrame:
+    """row (all columns of sized), size, key, of_source, source_size, target, whole and part of every row of sized.
 
-    taken is how many words of the row the mix takes: size for each whole epoch of its source, then in key order what is
-    left of the budget, so the row at the cut gives only its first words. Other columns pass through. A null source is a
-    source of its own; rows of size 0 take nothing; repeated rows are separate rows with tied keys, of which any may come
-    first. No rows in, no rows out. Column names starting with _ are kept for the operator's own use.
+    whole is how many epochs of its source the mix takes in full, part how many words of the row it takes beside those.
     """
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")).cast("binary"))
-    keyed = sized.withColumns({"_key": key, "_source": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))})
-    keyed = keyed.withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
-    ranges = keyed.groupBy("_source", "_range").agg(F.sum("size").alias("_words"), F.first("source").alias("source"))
-    sizes = ranges.groupBy("_source").agg(F.sum("_words").alias("source_size"), F.first("source").alias("source"))
-    targets = source_targets(sizes.select("source", "source_size"))
-    targets = targets.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_source"), "source_size", "target")
-    earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.select("_source", "_range", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_start")).join(targets, "_source")
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["_source", "_range"])
+    held = sized.select(F.struct(*[F.col(f"`{c}`") for c in sized.columns]).alias("row"), F.col("doc_id").alias("id"), F.col("size").cast("long").alias("size"), "source", mix_key().alias("key"), of_source(F.col("source")).alias("of_source"))
+    held = held.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    ranges = held.groupBy("of_source", "range").agg(F.sum("size").alias("words"), F.first("source").alias("source"))
+    sizes = ranges.groupBy("of_source").agg(F.sum("words").alias("source_size"), F.first("source").alias("source"))
+    targets = source_targets(sizes.select("source", "source_size")).select(of_source(F.col("source")).alias("of_source"), "source_size", "target")
+    earlier = Window.partitionBy("of_source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("of_source", "range", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("start")).join(targets, "of_source")
+    inside = Window.partitionBy("of_source", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = held.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["of_source", "range"])
     budget = F.round("target").cast("long")
     whole = F.coalesce(F.floor(budget / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)).cast("long")
-    left = budget - whole * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("_start") - F.col("_inside")))
-    taken = (whole * F.col("size") + part).cast("long")
-    return placed.select(*sized.columns, "source_size", "target", taken.alias("taken"))
+    part = F.greatest(F.lit(0), F.least(F.col("size"), budget - whole * F.col("source_size") - F.col("start") - F.col("inside")))
+    return placed.select("row", "size", "key", "of_source", "source_size", "target", whole.alias("whole"), part.alias("part"))
+
+
+def mix_key() -> Column:
+    """The hash-random key of a row by its doc_id and size."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")).cast("binary"))
+
+
+def of_source(source: Column) -> Column:
+    """A text for each source that also names the null source."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
+def mix(sized: DataFrame) -> DataFrame:
+    """Adds source_size, target and taken to rows that have doc_id, source and size; columns of these names are replaced.
+
+    taken is how many words of the row the mix takes: size for each whole epoch of its source, then in key order what is
+    left of the budget, so the row at the cut gives only its first words. Other columns pass through, whatever their names.
+    A null source is a source of its own; rows of size 0 take nothing; repeated rows are separate rows with tied keys, of
+    which any may come first. No rows in, no rows out.
+    """
+    added = ["source_size", "target", "taken"]
+    taken = (F.col("whole") * F.col("size") + F.col("part")).cast("long").alias("taken")
+    return placed_rows(sized).select(*[F.col(f"row.`{c}`").alias(c) for c in sized.columns if c not in added], "source_size", "target", taken)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: the rows of docs (doc_id, text, source and others), each as often as it is taken.
 
-    The row at a source's cut keeps its first words only, with n_chars to match where docs has it. A row without words is
-    in no mix. Columns that the operator adds are dropped again, so docs may have columns of any name not starting with _.
+    The cut of each source is found on sizes alone: a key, the words that its row gives, and the whole epochs. Then one
+    pass over docs decides every row by its own key, so texts are never shuffled. The row at a source's cut keeps its
+    first words only, with n_chars to match where docs has it. Rows repeated with their doc_id and size that lie at the cut
+    share its words evenly, rounded down. A row without words is in no mix. Other columns pass through, whatever their names.
     """
-    mine = docs.select(F.col("doc_id"), "source", word_count(F.col("text")).alias("size"), F.struct(*docs.columns).alias("_row"))
-    takes = mix(mine).where("taken > 0")
-    epochs = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
-    rows = takes.select("_row", "size", "taken", epochs.alias("_epoch"))
-    words = F.least(F.col("size"), F.col("taken") - (F.col("_epoch") - 1) * F.col("size"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    placed = written(placed_rows(sized).select("key", "of_source", "whole", "part"))
+    cuts = placed.groupBy("of_source").agg(F.first("whole").alias("whole"), F.max(F.when(F.col("part") > 0, F.col("key"))).alias("cut"))
+    at_cut = placed.join(cuts.select("of_source", F.col("cut").alias("key")), ["of_source", "key"])
+    shares = at_cut.groupBy("of_source").agg(F.floor(F.sum("part") / F.count(F.lit(1))).cast("long").alias("share"))
+    cuts = written(cuts.join(shares, "of_source", "left"))
+    if cuts.count() <= SENT_SOURCES:
+        cuts = F.broadcast(cuts)
+
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", of_source(F.col("source")).alias("of_source"), word_count(F.col("text")).alias("size"))
+    part = F.when(mix_key() < F.col("cut"), F.col("size")).when(mix_key() == F.col("cut"), F.col("share")).otherwise(0)
+    takes = held.join(cuts, "of_source").withColumn("taken", F.col("whole") * F.col("size") + part).where("taken > 0")
+    rows = takes.select("row", "size", "taken", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))).alias("epoch"))
+    words = F.least(F.col("size"), F.col("taken") - (F.col("epoch") - 1) * F.col("size"))
     # Pieces that end with a word each; only rows at a cut are split.
-    pieces = F.split(F.col("_row.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    text = F.when(words == F.col("size"), F.col("_row.text")).otherwise(F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), ""))
+    pieces = F.split(F.col("row.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    text = F.when(words == F.col("size"), F.col("row.text")).otherwise(F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), ""))
     changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return rows.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+    return rows.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

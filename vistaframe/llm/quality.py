@@ -213,7 +213,7 @@ def scores(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
             for start, end, texts in text_lists(batch, 1):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(field.score(texts), pa.float64())], ["kept", "score"])
 
-    plain = docs.select(F.struct(*keep).alias("kept"), F.col("text").cast("binary"))
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), F.col("text").cast("binary"))
     return plain.mapInArrow(run, plain.select("kept", F.lit(0.0).alias("score")).schema)
 
 
@@ -224,7 +224,7 @@ def field_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Field:
 
 def good_documents(docs: DataFrame, field: Field) -> DataFrame:
     """docs without the rows whose score is below PREDICTED."""
-    return scores(docs, field, docs.columns).where(F.col("score") >= PREDICTED).select("kept.*")
+    return scores(docs, field, docs.columns).where(F.col("score") >= PREDICTED).select(*[F.col(f"kept.`{c}`").alias(c) for c in docs.columns])
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

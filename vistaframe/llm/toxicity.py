@@ -197,7 +197,7 @@ def scores(docs: DataFrame, net: Network, keep: list[str]) -> DataFrame:
                 found = pa.array([model.score(r) for r in word_rows(texts)], pa.float64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), found], ["kept", "score"])
 
-    plain = docs.select(F.struct(*keep).alias("kept"), F.col("text").cast("binary"))
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), F.col("text").cast("binary"))
     return plain.mapInArrow(run, plain.select("kept", F.lit(0.0).alias("score")).schema)
 
 
@@ -212,7 +212,7 @@ def without_toxic(docs: DataFrame, net: Network) -> DataFrame:
     if "lang" in docs.columns:
         for lang, own in net.thresholds.items():
             limit = F.when(F.col("kept.lang") == lang, own).otherwise(limit)
-    return scores(docs, net, docs.columns).where(F.col("score") < limit).select("kept.*")
+    return scores(docs, net, docs.columns).where(F.col("score") < limit).select(*[F.col(f"kept.`{c}`").alias(c) for c in docs.columns])
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
