@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,30 +34,106 @@ def poses_with_cameras(images: DataFrame, cameras: DataFrame, strict: bool = Fal
     return known.withColumn("model", F.coalesce("model", missing))
 
 
+def projected(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """keep, image_id, width, height, u, v and depth of rows that hold a point and a pose with its camera."""
+    camera = G.camera_space(xyz(), quaternion(), translation())
+    fx, fy = G.focal_terms(F.col("model"), F.col("fx"), F.col("fy"))
+    u, v, depth = G.pinhole(camera, fx, fy, F.col("cx"), F.col("cy"))
+    return rows.select(*keep, "image_id", "width", "height", u.alias("u"), v.alias("v"), depth.alias("depth"))
+
+
+TERMS = ("image_id", *POSE, "model", "width", "height", "fx", "fy", "cx", "cy")
+CELL = ("scene_id", "_gx", "_gy", "_gz")
+#: Points of a cell, about; cells along a scene's side, at most; and parts that a scene's cells are dealt to.
+CELL_POINTS, MOST_CELLS, CELL_PARTS = 64, 32, 16
+
+
 def projections(points: DataFrame, poses: DataFrame) -> DataFrame:
-    """(scene_id, point_id, image_id, u, v, depth) of every point in every image of its scene. poses: from poses_with_cameras().
+    """(scene_id, point_id, image_id, u, v, depth) of every point in every image of its scene, seen or not. poses: from poses_with_cameras().
 
-    The scene is a true column on both sides, so this is a hash join whose output streams into what follows; nothing is
-    collected by scene.
+    Its rows are all points times all images of a scene; visible_projections() has those inside the frames only, and makes
+    no more.
     """
-    camera = G.camera_space(xyz(), quaternion(), translation())
+    return projected(points.join(poses.select("scene_id", *TERMS), "scene_id"), points.columns)
+
+
+def with_cells(points: DataFrame) -> DataFrame:
+    """The points at finite places, with the cell of a grid over their scene's extent that holds about CELL_POINTS on average."""
+    placed = points.where(reduce(and_, [G.finite(c) for c in xyz()]))
+    spans = placed.groupBy("scene_id").agg(F.count(F.lit(1)).alias("_n"), *[f(c).alias(f"_{n}{c}") for c in "xyz" for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    side = F.least(F.greatest(F.ceil(F.cbrt(F.col("_n") / CELL_POINTS)), F.lit(1)), F.lit(MOST_CELLS))
+    spans = spans.withColumn("_side", side)
+    at = lambda c: F.least(F.floor((F.col(c) - F.col(f"_lo{c}")) / F.nullif(F.col(f"_hi{c}") - F.col(f"_lo{c}"), F.lit(0.0)) * F.col("_side")), F.col("_side") - 1)
+    return placed.join(spans, "scene_id").select(*points.columns, *[F.coalesce(at(c), F.lit(0)).cast("int").alias(f"_g{c}") for c in "xyz"])
+
+
+def cells_in_frames(celled: DataFrame, poses: DataFrame, margin: float, max_depth: float | None) -> DataFrame:
+    """CELL, TERMS and whole: the cells that an image may see points of; whole: it surely sees all of them.
+
+    A frustum is a few half-spaces that are linear in the place, so over the box of a cell's points each has its least and
+    largest value at once. Both are kept off zero by more than rounding can do; what is near goes on point by point.
+    """
+    boxes = celled.groupBy(*CELL).agg(*[f(c).alias(f"_{n}{c}") for c in "xyz" for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    boxes = boxes.select(*CELL, *[((F.col(f"_lo{c}") + F.col(f"_hi{c}")) / 2).alias(f"_m{c}") for c in "xyz"], *[((F.col(f"_hi{c}") - F.col(f"_lo{c}")) / 2).alias(f"_h{c}") for c in "xyz"])
+    boxes = boxes.withColumn("_part", F.pmod(F.xxhash64("_gx", "_gy", "_gz"), F.lit(CELL_PARTS)))
+    r, t = G.quat_to_rotmat(quaternion()), translation()
     fx, fy = G.focal_terms(F.col("model"), F.col("fx"), F.col("fy"))
-    u, v, depth = G.pinhole(camera, fx, fy, F.col("cx"), F.col("cy"))
-    terms = poses.select("scene_id", "image_id", *POSE, "model", "width", "height", "fx", "fy", "cx", "cy")
-    return points.join(terms, "scene_id").select(*points.columns, "image_id", "width", "height", u.alias("u"), v.alias("v"), depth.alias("depth"))
+    right, down, depth = ([*r[k : k + 3], t[k // 3]] for k in (0, 3, 6))
+    mix = lambda a, p, b, q: [x * p + y * q for x, y in zip(a, b, strict=True)]
+    flat = F.lit(0.0)
+    planes = [
+        (depth, flat - 1e-6, F.lit(1.0)),
+        (mix(right, fx, depth, F.col("cx") + margin), flat, fx),
+        (mix(right, -fx, depth, F.col("width") + margin - F.col("cx")), flat, fx),
+        (mix(down, fy, depth, F.col("cy") + margin), flat, fy),
+        (mix(down, -fy, depth, F.col("height") + margin - F.col("cy")), flat, fy),
+    ]
+    if max_depth is not None:
+        planes.append(([-x for x in depth], flat + max_depth, F.lit(1.0)))
+    sides = [c.alias(f"_p{k}{n}") for k, (terms, shift, scale) in enumerate(planes) for c, n in zip([*terms[:3], terms[3] + shift, F.abs(terms[3]) + F.abs(scale) * (1 + F.abs("width") + F.abs("height"))], "xyzts", strict=True)]
+    dealt = poses.select("scene_id", *TERMS, *sides).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CELL_PARTS - 1).cast("long"))).alias("_part"))
+    middle, half = ([F.col(f"_{n}{c}") for c in "xyz"] for n in "mh")
+    maybe, whole = [], []
+    for k in range(len(planes)):
+        terms = [F.col(f"_p{k}{c}") for c in "xyz"]
+        value = G.dot(terms, middle) + F.col(f"_p{k}t")
+        spread = G.dot([F.abs(c) for c in terms], half)
+        slack = 1e-9 * (G.dot([F.abs(c) for c in terms], [F.abs(m) + h for m, h in zip(middle, half, strict=True)]) + F.col(f"_p{k}s"))
+        maybe.append(value + spread >= -slack)
+        whole.append(value - spread > slack)
+    near = boxes.join(dealt, ["scene_id", "_part"]).where(reduce(and_, maybe))
+    return near.select(*CELL, *TERMS, reduce(and_, whole).alias("whole"))
+
+
+def in_frame(margin: float, max_depth: float | None) -> Column:
+    inside = (F.col("depth") > 1e-6) & (F.col("u") >= -margin) & (F.col("u") < F.col("width") + margin) & (F.col("v") >= -margin) & (F.col("v") < F.col("height") + margin)
+    return inside if max_depth is None else inside & (F.col("depth") < max_depth)
+
+
+def visible_projections(points: DataFrame, poses: DataFrame, margin: float = 1.0, max_depth: float | None = None) -> DataFrame:
+    """The rows of projections() that lie in front of the camera and in its frame widened by margin pixels.
+
+    Points meet poses by the cells of a grid that the pose's frustum reaches, so a scene is never joined as a whole and a
+    cell's points are spread over tasks as rows. Points that aren't finite are in no frame.
+    """
+    celled = with_cells(points)
+    near = cells_in_frames(celled, poses, margin, max_depth).drop("whole")
+    return projected(celled.join(near, list(CELL)), points.columns).where(in_frame(margin, max_depth))
 
 
 def view_counts(points: DataFrame, images: DataFrame, cameras: DataFrame, margin: float = 0.0, max_depth: float | None = None) -> DataFrame:
     """(scene_id, point_id, views): how many cameras of its scene see each point, 0 included.
 
     A camera sees what is deeper than 1e-6, less deep than max_depth if given, and projects into the half-open frame widened
-    by margin pixels. The projections are counted in the map stage; only counts are shuffled.
+    by margin pixels. Images that see all of a cell of points are counted once for the cell; only at the edges of frusta
+    points are projected. Counts are made in the map stage and shuffled as such.
     """
-    seen = projections(points.select("scene_id", "point_id", "x", "y", "z"), poses_with_cameras(images, cameras))
-    inside = (F.col("depth") > 1e-6) & (F.col("u") >= -margin) & (F.col("u") < F.col("width") + margin) & (F.col("v") >= -margin) & (F.col("v") < F.col("height") + margin)
-    if max_depth is not None:
-        inside = inside & (F.col("depth") < max_depth)
-    counts = seen.where(inside).groupBy("scene_id", "point_id").agg(F.count(F.lit(1)).alias("views"))
+    celled = with_cells(points.select("scene_id", "point_id", "x", "y", "z"))
+    near = cells_in_frames(celled, poses_with_cameras(images, cameras), margin, max_depth)
+    whole = near.where("whole").groupBy(*CELL).agg(F.count(F.lit(1)).alias("views"))
+    edges = projected(celled.join(near.where("NOT whole").drop("whole"), list(CELL)), ["scene_id", "point_id"]).where(in_frame(margin, max_depth)).select("scene_id", "point_id", F.lit(1).cast("long").alias("views"))
+    seen = celled.join(whole, list(CELL)).select("scene_id", "point_id", "views").union(edges)
+    counts = seen.groupBy("scene_id", "point_id").agg(F.sum("views").alias("views"))
     return points.select("scene_id", "point_id").join(counts, ["scene_id", "point_id"], "left").withColumn("views", F.coalesce("views", F.lit(0)))
 
 

@@ -61,6 +61,12 @@ def rename_instances(rows: DataFrame, names: DataFrame, columns: tuple[str, ...]
     return rows
 
 
+def frame_grid(frames: DataFrame) -> DataFrame:
+    """Every pixel (u from 1 to width, v from 1 to height) of frames (scene_id, frame, width, height)."""
+    rows = frames.select("scene_id", "frame", "width", F.explode(F.sequence(F.lit(1), F.col("height"))).alias("v"))
+    return rows.select("scene_id", "frame", F.explode(F.sequence(F.lit(1), F.col("width"))).alias("u"), "v")
+
+
 def keep_masks(pixels: DataFrame, frame_grid: DataFrame) -> DataFrame:
     """The pixels (scene_id, frame, u, v) of a frame that no instance covers."""
     return frame_grid.join(pixels.select("scene_id", "frame", "u", "v").distinct(), ["scene_id", "frame", "u", "v"], "left_anti")
@@ -114,3 +120,33 @@ def runs(pixels: DataFrame) -> DataFrame:
     w = Window.partitionBy("scene_id", "instance_id", "frame", "v").orderBy("u")
     marked = pixels.withColumn("_group", F.col("u") - F.row_number().over(w))
     return marked.groupBy("scene_id", "instance_id", "frame", "v", "_group").agg(F.min("u").alias("start"), F.count(F.lit(1)).alias("length")).drop("_group")
+
+
+def binarize_masks(values: DataFrame, threshold: int = 127) -> DataFrame:
+    """Pixel rows of the mask images' pixels (PIXEL, value) that are brighter than the threshold."""
+    return values.where(F.col("value") > threshold).select(*PIXEL)
+
+
+def import_corrected_masks(pixels: DataFrame, objects: DataFrame, corrected: DataFrame, threshold: int = 127) -> tuple[DataFrame, DataFrame]:
+    """(pixels, objects) after corrected mask images (PIXEL, value) replaced the masks of their instance and frame; the review of those
+    instances starts again. A mask without a pixel above the threshold is an empty one."""
+    mask, instance = ["scene_id", "instance_id", "frame"], ["scene_id", "instance_id"]
+    kept = pixels.join(corrected.select(mask).distinct(), mask, "left_anti").select(*PIXEL)
+    again = corrected.select(*instance, F.lit("pending").alias("_state")).distinct()
+    reviewed = objects.join(again, instance, "left").select(*[F.coalesce("_state", c).alias(c) if c == "review_state" else F.col(c) for c in objects.columns])
+    return kept.unionByName(binarize_masks(corrected, threshold)), reviewed
+
+
+def import_masks(objects: DataFrame, tracks: DataFrame, reports: DataFrame, min_views: int) -> DataFrame:
+    """objects (scene_id, instance_id, display_name, class_name, review_state, warnings) after the masks of tracks (scene_id, instance_id,
+    class_name) came in: each track's object takes its class and is pending; new ones are added under the track's name. With fewer
+    than min_views frames in reports (mask_report()) a warning is added once."""
+    key = ["scene_id", "instance_id"]
+    found = tracks.select(*key, F.col("class_name").alias("_class")).join(reports.select(*key, F.col("frames").alias("_frames")), key, "left").withColumn("_frames", F.coalesce("_frames", F.lit(0)))
+    said = F.when(F.col("_frames") < min_views, F.array(F.format_string(f"Only %d valid masks; need {min_views}", F.col("_frames").cast("long")))).otherwise(F.array().cast("array<string>"))
+    rows = objects.join(found, key, "full")
+    taken, old = F.col("_class").isNotNull(), F.coalesce("warnings", F.array().cast("array<string>"))
+    return rows.select(
+        *key, F.coalesce("display_name", F.initcap(F.replace("instance_id", F.lit("_"), F.lit(" ")))).alias("display_name"), F.coalesce("_class", "class_name").alias("class_name"),
+        F.when(taken, "pending").otherwise(F.col("review_state")).alias("review_state"), F.when(taken, F.array_union(old, said)).otherwise(old).alias("warnings"),
+    )

@@ -84,11 +84,11 @@ def c2w_to_w2c(spark, d):
     return rounded(rows.select("scene_id", "image_id", *[out[k].alias(f"w{k}") for k in (0, 1, 2, 9, 10, 11)]))
 
 
-@R.query(f"WITH {PROJECTED} SELECT scene_id, point_id, image_id, round(u, 4) AS u, round(v, 4) AS v, round(c, 6) AS depth FROM proj WHERE model IN ('SIMPLE_PINHOLE', 'PINHOLE', 'OPENCV') AND c > 0.5 AND point_id % 5 = 0", "points", "images", "cameras")
+@R.query(f"WITH {PROJECTED} SELECT scene_id, point_id, image_id, round(u, 4) AS u, round(v, 4) AS v, round(c, 6) AS depth FROM proj WHERE model IN ('SIMPLE_PINHOLE', 'PINHOLE', 'OPENCV') AND c > 0.5", "points", "images", "cameras")
 def project_w2c(spark, d):
     poses = C.poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")).where(F.col("model").isin(*G.PROJECTED))
     u, v, z = G.project_w2c(C.xyz(), C.quaternion(), C.translation(), *[F.col(c) for c in ("model", "fx", "fy", "cx", "cy")])
-    rows = view(spark, d, "points").where("point_id % 5 = 0").join(poses, "scene_id").select("scene_id", "point_id", "image_id", u.alias("u"), v.alias("v"), z.alias("depth"))
+    rows = view(spark, d, "points").join(poses, "scene_id").select("scene_id", "point_id", "image_id", u.alias("u"), v.alias("v"), z.alias("depth"))
     return rows.where("depth > 0.5").select("scene_id", "point_id", "image_id", F.round("u", 4).alias("u"), F.round("v", 4).alias("v"), F.round("depth", 6).alias("depth"))
 
 

@@ -64,10 +64,10 @@ def neighbor_counts(spark, d):
     return S.neighbor_counts(view(spark, d, "points").select("scene_id", F.col("point_id").alias("id"), "x", "y", "z"), 0.5)
 
 
-@R.query("SELECT a.scene_id, a.point_id AS a_id, b.point_id AS b_id, round(sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2), 6) AS distance FROM points a JOIN points b ON a.scene_id = b.scene_id AND a.point_id % 10 = 0 AND (a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2 <= 0.16", "points")
+@R.query("SELECT a.scene_id, a.point_id AS a_id, b.point_id AS b_id, round(sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2), 6) AS distance FROM points a JOIN points b ON a.scene_id = b.scene_id AND (a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2 <= 0.16", "points")
 def radius_join(spark, d):
     points = view(spark, d, "points").select("scene_id", F.col("point_id").alias("id"), "x", "y", "z")
-    return rounded(S.radius_join(points.where("id % 10 = 0"), points, 0.4))
+    return rounded(S.radius_join(points, points, 0.4))
 
 
 @R.query("SELECT a.scene_id, a.point_id AS a_id, arg_min(b.point_id, sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2)) AS b_id, round(min(sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2)), 6) AS distance FROM points a JOIN points b ON a.scene_id = b.scene_id AND a.point_id % 2 = 0 AND b.point_id % 2 = 1 GROUP BY ALL", "points")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vistaframe.operators import masks as K
 from vistaframe.operators import meshes as H
 from vistaframe.operators import tracks as T
-from vistaframe.operators.cameras import poses_with_cameras, projections
+from vistaframe.operators.cameras import poses_with_cameras, visible_projections
 from vistaframe.plans.helpers import Registry, rounded
 from vistaframe.sources.fixtures import view
 
@@ -59,13 +59,11 @@ def rename_instances(spark, d):
     return K.rename_instances(pixels, names).groupBy("scene_id", "instance_id").agg(F.count(F.lit(1)).alias("pixels"))
 
 
-@R.query("WITH g AS (SELECT DISTINCT a.scene_id, a.frame, u, v FROM (SELECT DISTINCT scene_id, frame FROM mask_pixels) a, (SELECT DISTINCT u, v FROM mask_pixels) b), m AS (SELECT DISTINCT scene_id, frame, u, v FROM mask_pixels WHERE instance_id <> 'i5') SELECT g.scene_id, g.frame, count(*) AS kept FROM g ANTI JOIN m ON g.scene_id = m.scene_id AND g.frame = m.frame AND g.u = m.u AND g.v = m.v GROUP BY ALL", "mask_pixels")
+@R.query("WITH g AS (SELECT scene_id, frame, u + 1 AS u, v + 1 AS v FROM (SELECT DISTINCT scene_id, frame FROM mask_pixels) CROSS JOIN range(50) a(u) CROSS JOIN range(7) b(v)), m AS (SELECT DISTINCT scene_id, frame, u, v FROM mask_pixels WHERE instance_id <> 'i5') SELECT g.scene_id, g.frame, count(*) AS kept FROM g ANTI JOIN m ON g.scene_id = m.scene_id AND g.frame = m.frame AND g.u = m.u AND g.v = m.v GROUP BY ALL", "mask_pixels")
 def keep_masks(spark, d):
     pixels = view(spark, d, "mask_pixels")
-    row = pixels.select("u", "v").distinct().agg(F.collect_list(F.struct("u", "v")).alias("g"))
-    frames = pixels.select("scene_id", "frame").distinct().withColumn("_k", F.lit(1))
-    grid = frames.join(F.broadcast(row.withColumn("_k", F.lit(1))), "_k").select("scene_id", "frame", F.explode("g").alias("p")).select("scene_id", "frame", "p.u", "p.v")
-    return K.keep_masks(pixels.where("instance_id <> 'i5'"), grid).groupBy("scene_id", "frame").agg(F.count(F.lit(1)).alias("kept"))
+    frames = pixels.select("scene_id", "frame").distinct().withColumns({"width": F.lit(50), "height": F.lit(7)})
+    return K.keep_masks(pixels.where("instance_id <> 'i5'"), K.frame_grid(frames)).groupBy("scene_id", "frame").agg(F.count(F.lit(1)).alias("kept"))
 
 
 @R.query("WITH i AS (SELECT scene_id, frame, u, v, min(instance_id) AS value FROM mask_pixels GROUP BY ALL), m AS (SELECT DISTINCT scene_id, frame, u, v FROM mask_pixels WHERE instance_id = 'i2') SELECT i.scene_id, i.frame, i.u, i.v, CASE WHEN m.u IS NOT NULL AND i.u % 2 = 0 THEN 'plate' ELSE value END AS value FROM i LEFT JOIN m ON i.scene_id = m.scene_id AND i.frame = m.frame AND i.u = m.u AND i.v = m.v", "mask_pixels")
@@ -95,7 +93,7 @@ votes AS (SELECT px.scene_id, instance_id, point_id, count(*) AS votes FROM px J
 
 def _votes(spark, d):
     """Points against masks on a grid of 53 by 8 pixels."""
-    projected = projections(view(spark, d, "points"), poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")))
+    projected = visible_projections(view(spark, d, "points"), poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")))
     rows = projected.select("scene_id", "point_id", (F.col("image_id") % 20).alias("frame"), (F.col("u") / 12).alias("u"), (F.col("v") / 60).alias("v"), "depth", F.lit(53).alias("width"), F.lit(8).alias("height"))
     return K.mask_votes(rows, view(spark, d, "mask_pixels"))
 
@@ -126,28 +124,27 @@ def rank_tracks(spark, d):
     return rounded(T.rank_tracks(T.track_summary(members), 20, 5))
 
 
-@R.query("SELECT scene_id, class_name, ordinal % 7 AS track, arg_max(ordinal, (confidence, -ordinal)) AS ordinal FROM detections WHERE ordinal % 3 <> 0 AND frame IN (SELECT frame FROM detections WHERE ordinal % 10 < 4) GROUP BY ALL", "detections")
+@R.query("SELECT scene_id, class_name, ordinal % 7 AS track, arg_max(ordinal, (confidence, -ordinal)) AS ordinal FROM detections WHERE ordinal % 3 <> 0 AND (scene_id, frame) IN (SELECT (scene_id, frame) FROM detections WHERE ordinal % 10 < 4) GROUP BY ALL", "detections")
 def best_prompt(spark, d):
     det = view(spark, d, "detections").withColumn("track", F.col("ordinal") % 7)
-    frames = det.where("ordinal % 10 < 4").select("frame").distinct().join(det.select("scene_id").distinct().withColumn("_k", F.lit(1)), F.lit(1) == F.col("_k")).select("scene_id", "frame")
-    return T.best_prompt(det.where("ordinal % 3 <> 0"), frames)
+    return T.best_prompt(det.where("ordinal % 3 <> 0"), det.where("ordinal % 10 < 4").select("scene_id", "frame").distinct())
 
 
-VERTICES = "v0 AS (SELECT row_number() OVER (ORDER BY point_id) - 1 AS vid, round(x, 0) AS x, round(y, 0) AS y, round(z, 0) AS z FROM points WHERE scene_id = 's0')"
-CLEAN = f"""{VERTICES}, m AS (SELECT *, min(vid) OVER (PARTITION BY x, y, z) AS t FROM v0),
-f1 AS (SELECT fid, ma.t AS a, mb.t AS b, mc.t AS c FROM faces JOIN m ma ON a = ma.vid JOIN m mb ON b = mb.vid JOIN m mc ON c = mc.vid),
-f2 AS (SELECT min(fid) AS fid, arg_min(a, fid) AS a, arg_min(b, fid) AS b, arg_min(c, fid) AS c FROM f1 WHERE a <> b AND b <> c AND a <> c GROUP BY list_sort([a, b, c])),
+VERTICES = "v0 AS (SELECT scene_id, (row_number() OVER (PARTITION BY scene_id ORDER BY point_id) - 1) * 10 + CAST(substr(scene_id, 2) AS INT) AS vid, round(x, 0) AS x, round(y, 0) AS y, round(z, 0) AS z FROM points)"
+CLEAN = f"""{VERTICES}, m AS (SELECT *, min(vid) OVER (PARTITION BY scene_id, x, y, z) AS t FROM v0),
+f1 AS (SELECT faces.scene_id, fid, ma.t AS a, mb.t AS b, mc.t AS c FROM faces JOIN m ma ON a = ma.vid JOIN m mb ON b = mb.vid JOIN m mc ON c = mc.vid),
+f2 AS (SELECT any_value(scene_id) AS scene_id, min(fid) AS fid, arg_min(a, fid) AS a, arg_min(b, fid) AS b, arg_min(c, fid) AS c FROM f1 WHERE a <> b AND b <> c AND a <> c GROUP BY list_sort([a, b, c])),
 used AS (SELECT DISTINCT unnest([a, b, c]) AS vid FROM f2),
 v2 AS (SELECT * FROM v0 WHERE vid IN (SELECT vid FROM used))"""
 
 
 def _mesh(spark, d):
-    """The points of a scene, on whole coordinates so that some coincide, as vertices of one mesh."""
+    """The points of each scene, on whole coordinates so that some coincide, as vertices of its mesh."""
     from pyspark.sql import Window
 
-    points = view(spark, d, "points").where("scene_id = 's0'")
-    vid = F.row_number().over(Window.partitionBy("scene_id").orderBy("point_id")) - 1
-    vertices = points.select(F.col("scene_id").alias("mesh_id"), vid.alias("vid"), *[(F.round(c, 0) + 0.0).alias(c) for c in "xyz"])
+    points = view(spark, d, "points")
+    vid = (F.row_number().over(Window.partitionBy("scene_id").orderBy("point_id")) - 1) * 10 + F.substring("scene_id", 2, 9).cast("int")
+    vertices = points.select(F.col("scene_id").alias("mesh_id"), vid.cast("long").alias("vid"), *[(F.round(c, 0) + 0.0).alias(c) for c in "xyz"])
     return vertices, view(spark, d, "faces").withColumnRenamed("scene_id", "mesh_id")
 
 
@@ -156,12 +153,20 @@ def mesh_clean(spark, d):
     return H.mesh_clean(*_mesh(spark, d))[1].select("fid", "a", "b", "c")
 
 
-@R.query(f"WITH {CLEAN}, p AS (SELECT f2.*, va.x AS ax, va.y AS ay, va.z AS az, vb.x AS bx, vb.y AS by_, vb.z AS bz, vc.x AS cx, vc.y AS cy, vc.z AS cz FROM f2 JOIN v2 va ON a = va.vid JOIN v2 vb ON b = vb.vid JOIN v2 vc ON c = vc.vid), s AS (SELECT count(*) AS faces, abs(sum(ax*(by_*cz-bz*cy)+ay*(bz*cx-bx*cz)+az*(bx*cy-by_*cx)))/6 AS volume FROM p), e AS (SELECT count(*) AS n FROM (SELECT unnest([[least(a,b), greatest(a,b)], [least(b,c), greatest(b,c)], [least(a,c), greatest(a,c)]]) AS e FROM f2) GROUP BY e) SELECT (SELECT count(*) FROM v2) AS vertices, faces, (SELECT count(*) FROM e) AS edges, round(volume, 3) AS volume, (SELECT bool_and(n = 2) FROM e) AS watertight FROM s", "points", "faces")
+LOCATED = "p AS (SELECT f2.*, va.x AS ax, va.y AS ay, va.z AS az, vb.x AS bx, vb.y AS by_, vb.z AS bz, vc.x AS cx, vc.y AS cy, vc.z AS cz FROM f2 JOIN v2 va ON a = va.vid JOIN v2 vb ON b = vb.vid JOIN v2 vc ON c = vc.vid)"
+REPORTED = f"""{CLEAN}, {LOCATED}, s AS (SELECT scene_id, count(*) AS faces, abs(sum(ax*(by_*cz-bz*cy)+ay*(bz*cx-bx*cz)+az*(bx*cy-by_*cx)))/6 AS volume FROM p GROUP BY 1),
+ed AS (SELECT scene_id, e, count(*) AS n FROM (SELECT scene_id, unnest([[least(a,b), greatest(a,b)], [least(b,c), greatest(b,c)], [least(a,c), greatest(a,c)]]) AS e FROM f2) GROUP BY ALL),
+ee AS (SELECT scene_id, count(*) AS edges, bool_and(n = 2) AS watertight FROM ed GROUP BY 1),
+vv AS (SELECT scene_id, count(*) AS vertices, {", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in "xyz")} FROM v2 GROUP BY 1)"""
+
+
+@R.query(f"WITH {REPORTED} SELECT scene_id, vertices, faces, edges, round(volume, 3) AS volume, watertight, min_x, max_x, min_y, max_y, min_z, max_z FROM vv JOIN s USING (scene_id) JOIN ee USING (scene_id)", "points", "faces")
 def mesh_report(spark, d):
-    return H.mesh_report(*H.mesh_clean(*_mesh(spark, d))).select("vertices", "faces", "edges", F.round("volume", 3).alias("volume"), "watertight")
+    found = H.mesh_report(*H.mesh_clean(*_mesh(spark, d)))
+    return found.select(F.col("mesh_id").alias("scene_id"), "vertices", "faces", "edges", F.round("volume", 3).alias("volume"), "watertight", *[f"{n}_{c}" for c in "xyz" for n in ("min", "max")])
 
 
-@R.query("WITH r AS (SELECT fid, row_number() OVER (ORDER BY fid) - 1 AS pos, ceil(count(*) OVER () / 400e0) AS step FROM faces) SELECT fid FROM r WHERE pos % step = 0", "faces")
+@R.query("WITH r AS (SELECT fid, row_number() OVER (PARTITION BY scene_id ORDER BY fid) - 1 AS pos, ceil(count(*) OVER (PARTITION BY scene_id) / 400e0) AS step FROM faces) SELECT fid FROM r WHERE pos % step = 0", "faces")
 def nth_face_decimate(spark, d):
     return H.nth_face_decimate(view(spark, d, "faces").withColumnRenamed("scene_id", "mesh_id"), 400).select("fid")
 
@@ -172,18 +177,23 @@ def planar_uv(spark, d):
     return rounded(H.planar_uv(vertices).select(F.col("mesh_id").alias("scene_id"), F.col("vid").alias("point_id"), "tu", "tv"))
 
 
-@R.query("WITH RECURSIVE e AS (SELECT a, b FROM faces WHERE fid < 500 UNION SELECT b, a FROM faces WHERE fid < 500 UNION SELECT b, c FROM faces WHERE fid < 500 UNION SELECT c, b FROM faces WHERE fid < 500), n AS (SELECT a AS id FROM e WHERE a <> b), r(id, reach) AS (SELECT DISTINCT id, id FROM n UNION SELECT r.id, e.b FROM r JOIN e ON r.reach = e.a) SELECT id, min(reach) AS component FROM r GROUP BY 1", "faces")
+REACHED = "n AS (SELECT DISTINCT a AS id FROM e WHERE a <> b), r(id, reach) AS (SELECT id, id FROM n UNION SELECT r.id, e.b FROM r JOIN e ON r.reach = e.a), linked AS (SELECT id, min(reach) AS component FROM r GROUP BY 1)"
+
+
+@R.query(f"WITH RECURSIVE e AS (SELECT a, b FROM faces UNION SELECT b, a FROM faces UNION SELECT b, c FROM faces UNION SELECT c, b FROM faces), {REACHED} SELECT id, component FROM linked", "faces")
 def components(spark, d):
-    """Vertices that the edges of the first faces link."""
+    """Vertices that the edges of faces link."""
     from vistaframe.operators.graph import components as linked
 
-    faces = view(spark, d, "faces").where("fid < 500")
+    faces = view(spark, d, "faces")
     return linked(faces.select("a", "b").union(faces.select("b", "c")))
 
 
-@R.query(f"WITH {CLEAN}, p AS (SELECT f2.*, va.x AS ax, va.y AS ay, va.z AS az, vb.x AS bx, vb.y AS by_, vb.z AS bz, vc.x AS cx, vc.y AS cy, vc.z AS cz FROM f2 JOIN v2 va ON a = va.vid JOIN v2 vb ON b = vb.vid JOIN v2 vc ON c = vc.vid), n AS (SELECT fid % 40 AS component, az, bz, cz, (by_-ay)*(cz-az)-(bz-az)*(cy-ay) AS nx, (bz-az)*(cx-ax)-(bx-ax)*(cz-az) AS ny, (bx-ax)*(cy-ay)-(by_-ay)*(cx-ax) AS nz FROM p), l AS (SELECT *, sqrt(nx*nx+ny*ny+nz*nz) AS len FROM n), g AS (SELECT component, min(least(az,bz,cz)) AS low, abs(avg(CASE WHEN len > 0 THEN nz/len ELSE 0 END)) AS level, sum(len/2) AS area FROM l GROUP BY 1) SELECT component, CASE WHEN low <= (SELECT min(low) FROM g) + 0.15 AND level >= 0.75 THEN 'floor' WHEN area >= greatest(1, (SELECT sum(area) FROM g)*0.05) THEN 'architecture' ELSE 'obstacle' END AS kind, round(area, 3) AS area FROM g", "points", "faces")
+@R.query(f"WITH RECURSIVE {CLEAN}, {LOCATED}, e AS (SELECT a, b FROM f2 UNION SELECT b, a FROM f2 UNION SELECT b, c FROM f2 UNION SELECT c, b FROM f2), {REACHED}, nn AS (SELECT p.scene_id, component, az, bz, cz, (by_-ay)*(cz-az)-(bz-az)*(cy-ay) AS nx, (bz-az)*(cx-ax)-(bx-ax)*(cz-az) AS ny, (bx-ax)*(cy-ay)-(by_-ay)*(cx-ax) AS nz FROM p JOIN linked ON p.a = linked.id), l AS (SELECT *, sqrt(nx*nx+ny*ny+nz*nz) AS len FROM nn), g AS (SELECT scene_id, component, min(least(az,bz,cz)) AS low, abs(avg(CASE WHEN len > 0 THEN nz/len ELSE 0 END)) AS level, sum(len/2) AS area FROM l GROUP BY ALL), t AS (SELECT *, min(low) OVER (PARTITION BY scene_id) AS floor_, sum(area) OVER (PARTITION BY scene_id) AS total FROM g) SELECT scene_id, component, CASE WHEN low <= floor_ + 0.15 AND level >= 0.75 THEN 'floor' WHEN area >= greatest(1, total*0.05) THEN 'architecture' ELSE 'obstacle' END AS kind, round(area, 3) AS area FROM t", "points", "faces")
 def classify_components(spark, d):
     from vistaframe.operators.graph import classify_components as classified
+    from vistaframe.operators.graph import face_components
 
-    located = H.face_normals(H.with_corners(*H.mesh_clean(*_mesh(spark, d)))).withColumn("component", F.col("fid") % 40)
-    return classified(located).select("component", "kind", F.round("area", 3).alias("area"))
+    vertices, faces = H.mesh_clean(*_mesh(spark, d))
+    located = H.face_normals(H.with_corners(vertices, face_components(faces)))
+    return classified(located).select(F.col("mesh_id").alias("scene_id"), "component", "kind", F.round("area", 3).alias("area"))
