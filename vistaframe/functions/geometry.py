@@ -95,7 +95,7 @@ def camera_up(q: Vector) -> list[Column]:
 
 def c2w_to_w2c(c2w: Column) -> list[Column]:
     """Rotation (nine) and translation (three) from world to camera of a camera-to-world matrix."""
-    m = [F.element_at(c2w, k + 1) for k in range(16)]
+    m = [F.get(c2w, F.lit(k)) for k in range(16)]
     r = [m[0], m[4], m[8], m[1], m[5], m[9], m[2], m[6], m[10]]
     return [*r, *[-c for c in rotate(r, [m[3], m[7], m[11]])]]
 
@@ -142,12 +142,12 @@ def rescale_intrinsics(width: Column, height: Column, terms: Vector, k: int) ->
 
 def apply_transform(xyz: Vector, m: Column) -> list[Column]:
     """A homogeneous 4x4 matrix times a column vector."""
-    return [dot([F.element_at(m, 4 * row + k + 1) for k in range(3)], xyz) + F.element_at(m, 4 * row + 4) for row in range(3)]
+    return [dot([F.get(m, F.lit(4 * row + k)) for k in range(3)], xyz) + F.get(m, F.lit(4 * row + 3)) for row in range(3)]
 
 
 def matmul44(a: Column, b: Column) -> Column:
     """The product of two 4x4 matrices."""
-    cell = lambda i, j: dot([F.element_at(a, 4 * i + k + 1) for k in range(4)], [F.element_at(b, 4 * k + j + 1) for k in range(4)])
+    cell = lambda i, j: dot([F.get(a, F.lit(4 * i + k)) for k in range(4)], [F.get(b, F.lit(4 * k + j)) for k in range(4)])
     return F.array(*[cell(i, j) for i in range(4) for j in range(4)])
 
 
@@ -155,15 +155,15 @@ def transform_aabb(low: Vector, high: Vector, m: Column, scale: float = 1.0) ->
     """The axis-aligned box of a transformed one: per axis, each matrix term takes the nearer or the farther face."""
     lows, highs = [], []
     for row in range(3):
-        ends = [(F.element_at(m, 4 * row + k + 1) * low[k], F.element_at(m, 4 * row + k + 1) * high[k]) for k in range(3)]
-        shift = F.element_at(m, 4 * row + 4)
+        ends = [(F.get(m, F.lit(4 * row + k)) * low[k], F.get(m, F.lit(4 * row + k)) * high[k]) for k in range(3)]
+        shift = F.get(m, F.lit(4 * row + 3))
         lows.append((reduce(add, (F.least(a, b) for a, b in ends)) + shift) * scale)
         highs.append((reduce(add, (F.greatest(a, b) for a, b in ends)) + shift) * scale)
     return lows, highs
 
 
 def linear_columns(m: Column) -> list[list[Column]]:
-    return [[F.element_at(m, 4 * row + k + 1) for row in range(3)] for k in range(3)]
+    return [[F.get(m, F.lit(4 * row + k)) for row in range(3)] for k in range(3)]
 
 
 def determinant(m: Column) -> Column:
@@ -182,7 +182,7 @@ def is_similarity(m: Column) -> Column:
     columns = linear_columns(m)
     off = [F.abs(dot(columns[i], columns[j])) / (scale * scale) < 1e-6 for i, j in ((0, 1), (0, 2), (1, 2))]
     on = [F.abs(norm(c) / scale - 1) < 1e-5 for c in columns]
-    last = [F.element_at(m, 13 + k) == (1.0 if k == 3 else 0.0) for k in range(4)]
+    last = [F.get(m, F.lit(12 + k)) == (1.0 if k == 3 else 0.0) for k in range(4)]
     return F.coalesce((determinant(m) > 1e-12) & reduce(and_, [*off, *on, *last]), F.lit(False))
 
 
@@ -235,3 +235,80 @@ def slerp(q0: Vector, q1: Vector, t: Column) -> list[Column]:
     mixed = [x * a + y * b for x, y in zip(q0, q1, strict=True)]
     n = norm(mixed)
     return [c / n for c in mixed]
+
+
+def project_c2w(xyz: Vector, c2w: Column, model: Column, fx: Column, fy: Column, cx: Column, cy: Column) -> tuple[Column, Column, Column]:
+    """(u, v, depth) by a camera-to-world matrix; an error for camera models other than PROJECTED."""
+    terms = c2w_to_w2c(c2w)
+    camera = [a + b for a, b in zip(rotate(terms[:9], xyz), terms[9:], strict=True)]
+    known = F.when(model.isin(*PROJECTED), fx).otherwise(F.raise_error(F.concat(F.lit("no projection for camera model "), model)).cast("double"))
+    return pinhole(camera, *focal_terms(model, known, fy), cx, cy)
+
+
+def transform_pose(c2w: Column, m: Column) -> Column:
+    """A camera-to-world pose seen from the frame that m leads to."""
+    return matmul44(m, c2w)
+
+
+def matrix_of(r: Vector, t: Vector) -> Column:
+    """A 4x4 matrix of nine linear terms and a translation."""
+    rows = [x for k in range(3) for x in (*r[3 * k : 3 * k + 3], t[k])]
+    return F.array(*rows, *[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)])
+
+
+def whole_matrix(m: Column) -> Column:
+    """A 3x4 matrix (12 numbers) completed to 4x4; one of 16 numbers as it is."""
+    return F.when(F.size(m) == 12, F.concat(m, F.array(*[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)]))).otherwise(m)
+
+
+def apply_capture_transform(xyz: Vector, m: Column) -> list[Column]:
+    """Points of the capture in the frame of its exported cameras; a null matrix leaves them."""
+    return [F.coalesce(a, b) for a, b in zip(apply_transform(xyz, whole_matrix(m)), xyz, strict=True)]
+
+
+def apply_trained_transform(xyz: Vector, m: Column, scale: Column) -> list[Column]:
+    """Points in the frame a model was trained in: the matrix (3x4 or 4x4), then one scale."""
+    return [c * scale for c in apply_transform(xyz, whole_matrix(m))]
+
+
+def compose_similarity(r: Vector, t: Vector, scale: Column) -> Column:
+    """The 4x4 matrix of a rotation, translation and scale; an error for a scale of 0 or less, or for what is no right-handed rotation."""
+    rows = [r[3 * k : 3 * k + 3] for k in range(3)]
+    columns = [[r[k], r[k + 3], r[k + 6]] for k in range(3)]
+    square = reduce(and_, [F.abs(dot(columns[i], columns[j]) - (1.0 if i == j else 0.0)) <= 1.1e-6 for i in range(3) for j in range(i, 3)])
+    right = dot(rows[0], cross(rows[1], rows[2])) > 0
+    wrong = lambda text: F.raise_error(F.lit(text)).cast("double")
+    checked = F.when(~(scale > 0), wrong("scale must be positive")).when(~square, wrong("rotation must be orthonormal")).when(~right, wrong("rotation must be right-handed")).otherwise(scale)
+    return matrix_of([c * checked for c in r], t)
+
+
+def meters_per_unit(known: Column, measured: Column) -> Column:
+    """Metres of one unit from a known and a measured length; an error unless both are above 0."""
+    return F.when((known > 0) & (measured > 0), known / measured).otherwise(F.raise_error(F.lit("lengths must be positive")).cast("double"))
+
+
+def apply_metric_scale(m: Column, metres: Column) -> Column:
+    """A similarity with its scale replaced: metres times (R p + t), R and t without the scale it had."""
+    now = uniform_scale(m)
+    by = F.when(metres > 0, metres).otherwise(F.raise_error(F.lit("metres of a unit must be positive")).cast("double"))
+    terms = [F.get(m, F.lit(4 * i + j)) / now * by for i in range(3) for j in range(4)]
+    return F.array(*terms, *[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)])
+
+
+def measured_length(p: Vector, q: Vector, m: Column) -> Column:
+    """The distance of two picked points after a transform."""
+    return norm([a - b for a, b in zip(apply_transform(p, m), apply_transform(q, m), strict=True)])
+
+
+def render_camera_pose(c2w: Column, m: Column) -> Column:
+    """A camera-to-world pose in another frame with y and z turned round, its axes at length 1 again."""
+    moved = matmul44(m, c2w)
+    axes = [[F.get(moved, F.lit(4 * row + k)) * sign for row in range(3)] for k, sign in ((0, 1.0), (1, -1.0), (2, -1.0))]
+    unit = [[c / F.greatest(norm(a), F.lit(1e-12)) for c in a] for a in axes]
+    return matrix_of([unit[k][row] for row in range(3) for k in range(3)], [F.get(moved, F.lit(4 * row + 3)) for row in range(3)])
+
+
+def obb_corner(centre: Vector, r: Vector, half: Vector, k: Column) -> list[Column]:
+    """Corner k (0 to 7, its bits choose the side on each axis) of a box turned by r."""
+    ends = [F.when(k.bitwiseAND(1 << axis) == 0, -half[axis]).otherwise(half[axis]) for axis in range(3)]
+    return [a + b for a, b in zip(centre, rotate(r, ends), strict=True)]

@@ -136,7 +136,7 @@ def alignment_confidence(ratio: Column) -> Column:
 
 def rigid_inverse(m: Column) -> Column:
     """The inverse of a similarity's 4x4 matrix: the transposed rotation over the squared scale."""
-    g = lambda i, j: F.element_at(m, 4 * i + j + 1)
+    g = lambda i, j: F.get(m, F.lit(4 * i + j))
     square = g(0, 0) * g(0, 0) + g(1, 0) * g(1, 0) + g(2, 0) * g(2, 0)
     rows = []
     for j in range(3):
@@ -174,3 +174,35 @@ def frame_paths(edges: DataFrame) -> DataFrame:
         if hops % ROUNDS == 0:
             found = written(found)
     return found.drop("edges")
+
+
+def floor_gate(reports: DataFrame, most_below: float = 1.0, least_ratio: float = 0.0, least_above: float = 0.9) -> DataFrame:
+    """reports (scene_id, below, cameras_above, ratio and others) with problem: the first of what is wrong with a floor, or null.
+
+    below: more of the points than most_below lie under it, it floats; ratio: too few points lie on it; cameras: more than
+    the rest of least_above of the cameras lie under it.
+    """
+    floating = F.when(F.col("below") > most_below, "below")
+    thin = F.when(F.col("ratio") < least_ratio, "ratio")
+    ceiling = F.when(F.col("cameras_above") < least_above, "cameras")
+    return reports.withColumn("problem", F.coalesce(floating, thin, ceiling))
+
+
+def align_scene(points: DataFrame, images: DataFrame, strict: bool = True, most_below: float = 1.0, least_ratio: float = 0.0, seed: int = 0) -> DataFrame:
+    """(scene_id, matrix, confidence, below, cameras_above, ratio, problem): up, floor, matrix, report and gate of each scene.
+
+    strict: a problem is an error. Scenes without a floor (see fit_floor()) have no row.
+    """
+    from vistaframe.operators import cameras as C
+
+    from vistaframe.functions import geometry as G
+
+    planes = written(fit_floor(points, C.scene_up(images), seed=seed))
+    centres = images.select("scene_id", *[c.alias(n) for c, n in zip(G.camera_center(C.quaternion(), C.translation()), "xyz", strict=True)])
+    report = floor_report(points, centres, planes).join(planes.select("scene_id", "ratio"), "scene_id")
+    gated = floor_gate(report, most_below, least_ratio)
+    if strict:
+        wrong = F.raise_error(F.concat(F.lit("floor of scene "), F.col("scene_id"), F.lit(" fails: "), F.col("problem"))).cast("string")
+        gated = gated.withColumn("problem", F.when(F.col("problem").isNotNull(), wrong))
+    rows = floor_to_world(points, planes).join(gated, "scene_id")
+    return rows.select("scene_id", "matrix", alignment_confidence(F.col("ratio")).alias("confidence"), "below", "cameras_above", "ratio", "problem")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -106,3 +106,60 @@ def sharpness(images: DataFrame, key: list[str]) -> DataFrame:
 
     kinds = dict(images.dtypes)
     return images.mapInPandas(measure, ", ".join(f"{k} {kinds[k]}" for k in key) + ", sharpness double")
+
+
+def resized(images: DataFrame, key: list[str], turn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """key, height, width and data of images turned one by one."""
+    ship(images.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [turn(np.frombuffer(data, np.uint8).reshape(h, w, -1)) for h, w, data in zip(b["height"], b["width"], b["data"], strict=True)]
+            yield b[key].assign(height=[x.shape[0] for x in found], width=[x.shape[1] for x in found], data=[np.ascontiguousarray(x).tobytes() for x in found])
+
+    kinds = dict(images.dtypes)
+    return images.mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", height int, width int, data binary")
+
+
+def downscale_images(images: DataFrame, key: list[str], k: int, masks: bool = False) -> DataFrame:
+    """Images reduced k times to whole pixels, one at least: by area average, or masks (one channel or more) by their nearest pixel."""
+
+    def turn(image: np.ndarray) -> np.ndarray:
+        h, w = max(1, image.shape[0] // k), max(1, image.shape[1] // k)
+        if masks:
+            at = lambda n, size: ((np.arange(n) + 0.5) * size / n).astype(int)
+            return image[at(h, image.shape[0])][:, at(w, image.shape[1])]
+        return np.clip(np.rint(shrink_to(image.astype(float), h, w)), 0, 255).astype(np.uint8)
+
+    return resized(images, key, turn)
+
+
+# Fixed values of de-lighting: gamma, weights of red, green and blue, least illumination, and where the median goes.
+GAMMA, LUMINANCE, LEAST_LIGHT, MEDIAN = 2.2, (0.2126, 0.7152, 0.0722), 0.05, 0.5
+
+
+def smoothed(plane: np.ndarray, sigma: float) -> np.ndarray:
+    """A separable Gaussian of any width; borders are mirrored without the edge itself."""
+    reach = max(1, int(np.ceil(4 * sigma)))
+    weights = np.exp(-(np.arange(-reach, reach + 1) ** 2) / (2 * sigma**2))
+    weights /= weights.sum()
+    for axis in (0, 1):
+        n = plane.shape[axis]
+        period = max(1, 2 * (n - 1))
+        at = np.abs((np.arange(-reach, n + reach) + n - 1) % period - (n - 1)) if n > 1 else np.zeros(n + 2 * reach, int)
+        wide = np.take(plane, at, axis=axis)
+        plane = np.apply_along_axis(np.convolve, axis, wide, weights, mode="valid")
+    return plane
+
+
+def delight(images: DataFrame, key: list[str]) -> DataFrame:
+    """Textures without their large-scale light: linear values over the blurred luminance, the median brought to the middle."""
+
+    def turn(image: np.ndarray) -> np.ndarray:
+        linear = (image.astype(float) / 255) ** GAMMA
+        light = smoothed(np.maximum(linear @ np.array(LUMINANCE), 1e-4), max(3.0, min(image.shape[:2]) / 32))
+        flat = linear / np.maximum(light, LEAST_LIGHT)[:, :, None]
+        flat = np.clip(flat * (MEDIAN / max(float(np.median(flat)), 1e-3)), 0, 1)
+        return np.rint(flat ** (1 / GAMMA) * 255).astype(np.uint8)
+
+    return resized(images, key, turn)

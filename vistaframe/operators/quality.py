@@ -124,6 +124,14 @@ def registration_error(errors: DataFrame, threshold: float) -> DataFrame:
     return found.withColumn("passed", F.col("median") <= threshold)
 
 
+def scene_registration(points: DataFrame, vertices: DataFrame, threshold: float, most_points: int = 5_000, most_vertices: int = 200_000, cell: float = 0.5) -> DataFrame:
+    """registration_error() of the distances from each scene's points to its nearest mesh vertex; of more points or vertices than given an
+    even sample in order of id, as the measure asks. points, vertices: scene_id, id, x, y, z."""
+    from vistaframe.operators.spatial import linspace_sample, nearest_join
+
+    return registration_error(nearest_join(linspace_sample(points, "scene_id", ["id"], most_points), linspace_sample(vertices, "scene_id", ["id"], most_vertices), cell), threshold)
+
+
 def lighting_estimate(pixels: DataFrame) -> DataFrame:
     """Exposure and white balance of each scene from pixels (scene_id, r, g, b from 0 to 1) that aren't saturated."""
     lit = [F.pow(F.col(c), 2.2) for c in "rgb"]

@@ -33,7 +33,7 @@ def _inside(spark, d):
     poses = C.poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras"))
     box = G.label_to_xyxy(*[F.col(c) for c in ("xc", "yc", "w", "h")], F.lit(640), F.lit(480))
     labels = view(spark, d, "labels2d").select("scene_id", "image_id", "ordinal", *[c.alias(n) for c, n in zip(box, ("x0", "y0", "x1", "y1"), strict=True)])
-    return B.points_in_boxes(C.projections(view(spark, d, "points"), poses), labels, inner=0.1)
+    return B.points_in_boxes(C.visible_projections(view(spark, d, "points"), poses), labels, inner=0.1)
 
 
 @R.query(f"WITH {IN_BOX} SELECT scene_id, image_id, ordinal, count(*) AS n, round(avg(depth), 4) AS depth, sum(point_id)::BIGINT AS ids FROM inside GROUP BY ALL", *VIEWS)
@@ -99,11 +99,11 @@ def floor_to_world(spark, d):
     return rounded(m.select("scene_id", *[F.element_at("matrix", 4 * k + 4).alias(f"t{c}") for k, c in enumerate("xyz")]))
 
 
-@R.query("WITH RECURSIVE e AS (SELECT concat('s', s) AS scene_id, f AS a, f + 1 AS b FROM range(10) x(s), range(5) y(f) WHERE NOT (s = 3 AND f = 2)), e2 AS (SELECT * FROM e UNION ALL SELECT scene_id, b, a FROM e), r(scene_id, source, target, hops) AS (SELECT DISTINCT scene_id, a, a, 0 FROM e2 UNION SELECT r.scene_id, source, e2.b, hops + 1 FROM r JOIN e2 ON r.scene_id = e2.scene_id AND r.target = e2.a WHERE hops < 8), q AS (SELECT scene_id, source, target, min(hops) AS hops FROM r GROUP BY ALL) SELECT scene_id, source::BIGINT AS source, target::BIGINT AS target, hops::INT AS hops, round(power(2e0, target - source), 6) AS scale FROM q WHERE scene_id IN (SELECT scene_id FROM points)", "points")
+@R.query("WITH RECURSIVE f AS (SELECT concat('c', i // 6) AS scene_id, i AS a FROM fx_img), e AS (SELECT scene_id, a, a + 1 AS b FROM f WHERE a % 6 <> 5 AND a % 10 <> 3 AND a + 1 IN (SELECT a FROM f)), e2 AS (SELECT * FROM e UNION ALL SELECT scene_id, b, a FROM e), r(scene_id, source, target) AS (SELECT DISTINCT scene_id, a, a FROM e2 UNION SELECT r.scene_id, source, e2.b FROM r JOIN e2 ON r.scene_id = e2.scene_id AND r.target = e2.a) SELECT scene_id, source::BIGINT AS source, target::BIGINT AS target, abs(target - source)::INT AS hops, round(power(2e0, target - source), 6) AS scale FROM r", "fx_img")
 def frame_paths(spark, d):
-    """A chain of six frames in each scene, each twice as large as the one before; one scene's chain is broken."""
-    scenes = view(spark, d, "points").select("scene_id").distinct()
-    edges = scenes.select("scene_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("source")).where("NOT (scene_id = 's3' AND source = 2)")
+    """Chains of up to six images, each frame twice as large as the one before; some chains are broken."""
+    i = view(spark, d, "fx_img").select("i")
     turn = [0.0, -2.0, 0.0, 1.0, 2.0, 0.0, 0.0, 2.0, 0.0, 0.0, 2.0, 3.0, 0.0, 0.0, 0.0, 1.0]
-    edges = edges.select("scene_id", F.col("source").alias("ordinal"), "source", (F.col("source") + 1).alias("target"), F.array(*map(F.lit, turn)).alias("matrix"))
-    return rounded(W.frame_paths(edges).select("scene_id", "source", "target", "hops", G.uniform_scale(F.col("matrix")).alias("scale")))
+    steps = i.where("i % 6 <> 5 AND i % 10 <> 3").join(i.select((F.col("i") - 1).alias("i")), "i")
+    edges = steps.select(F.concat(F.lit("c"), F.floor(F.col("i") / 6)).alias("scene_id"), F.col("i").alias("ordinal"), F.col("i").alias("source"), (F.col("i") + 1).alias("target"), F.array(*map(F.lit, turn)).alias("matrix"))
+    return rounded(W.frame_paths(edges).select("scene_id", F.col("source").cast("long").alias("source"), F.col("target").cast("long").alias("target"), "hops", G.uniform_scale(F.col("matrix")).alias("scale")))

@@ -103,10 +103,11 @@ def experiment_compare(spark, d):
     return found.select("scene_id", F.col("A").alias("a"), F.col("B").alias("b"), F.col("C").alias("c"), "c_beats_a")
 
 
-@R.query("SELECT scene_id, round(median(psnr), 4) AS median, round(quantile_cont(psnr, 0.95), 4) AS p95, median(psnr) <= 15 AS passed FROM view_metrics WHERE isfinite(psnr) GROUP BY 1", "view_metrics")
+@R.query("WITH r AS (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY point_id) - 1 AS pos, count(*) OVER (PARTITION BY scene_id) AS n FROM points), a AS (SELECT * FROM r WHERE n <= 100 OR pos IN (SELECT CAST(trunc(k * ((n - 1) / 99e0)) AS BIGINT) FROM range(100) t(k))), b AS (SELECT * FROM points WHERE point_id % 3 = 0), d AS (SELECT a.scene_id, a.point_id, sqrt(min((a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2)) AS distance FROM a JOIN b USING (scene_id) GROUP BY ALL) SELECT scene_id, round(median(distance), 4) AS median, round(quantile_cont(distance, 0.95), 4) AS p95, median(distance) <= 0.9 AS passed FROM d GROUP BY 1", "points")
 def registration_error(spark, d):
-    rows = view(spark, d, "view_metrics").where(F.col("psnr") < float("inf")).withColumn("distance", F.col("psnr"))
-    return rounded(Q.registration_error(rows, 15.0), 4)
+    """A hundred points of each scene against a third of its points."""
+    points = view(spark, d, "points").select("scene_id", F.col("point_id").alias("id"), "x", "y", "z")
+    return rounded(Q.scene_registration(points, points.where("id % 3 = 0"), 0.9, most_points=100), 4)
 
 
 @R.query("WITH p AS (SELECT scene_id, r/255e0 AS r, g/255e0 AS g, b/255e0 AS b FROM points), u AS (SELECT scene_id, avg(power(r,2.2)) AS r, avg(power(g,2.2)) AS g, avg(power(b,2.2)) AS b FROM p WHERE least(r,g,b) > 0.02 AND greatest(r,g,b) < 0.98 GROUP BY 1) SELECT scene_id, round(log2(0.18/greatest(0.2126*r+0.7152*g+0.0722*b, 1e-6)), 6) AS exposure, round(least(greatest((r+g+b)/3/greatest(r,1e-5),0.5),2), 6) AS balance_r, round(least(greatest((r+g+b)/3/greatest(g,1e-5),0.5),2), 6) AS balance_g, round(least(greatest((r+g+b)/3/greatest(b,1e-5),0.5),2), 6) AS balance_b FROM u", "points")

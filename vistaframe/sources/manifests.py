@@ -106,3 +106,9 @@ def write_detection_dataset(rows: DataFrame, classes: list[str], path: str) -> N
     names = ", ".join(classes)
     lines = [f"path: {path}", "train: images/train", "val: images/val", f"nc: {len(classes)}", f"names: [{names}]"]
     spark.range(1).select(F.lit("\n".join(lines)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/data")
+
+
+def write_trials(trials: DataFrame, path: str) -> None:
+    """One JSON document of trials for each scene, in their order."""
+    own = [c for c in trials.columns if c not in ("scene_id", "ordinal")]
+    _with_maps(trials, own, "trials").write.mode("overwrite").partitionBy("scene_id").json(path)

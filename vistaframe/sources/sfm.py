@@ -20,7 +20,7 @@ POSE_LINE = rf"^\s*\d+(\s+{NUMBER}){{7}}\s+\d+\s+(?!{NUMBER}\s*$)\S+\s*$"
 
 
 def scene_of(path: Column) -> Column:
-    return F.url_decode(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1))
+    return F.url_decode(F.regexp_extract(path, r"(?:scene_id=)?([^/]+)/[^/]+$", 1))
 
 
 def lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -87,7 +87,7 @@ def read_camera_frames(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("scene_id", "ordinal", F.regexp_replace("_frame.file_path", r"^(\./)+", "").alias("file_path"), whole(F.col("_frame.transform_matrix")).alias("c2w"), *rows.columns[3:])
 
 
-def read_ply_points(spark: SparkSession, path: str) -> DataFrame:
+def read_ply_points(spark: SparkSession, path: str, pattern: str = "*.ply") -> DataFrame:
     """scene_id, point_id, x, y, z of PLY files, ASCII or little-endian with float x, y, z first; one file is one task's work."""
     ship(spark)
 
@@ -111,7 +111,7 @@ def read_ply_points(spark: SparkSession, path: str) -> DataFrame:
                     xyz = np.stack([rows[c].astype(np.float64) for c in "xyz"], axis=1)
                 yield pd.DataFrame({"scene_id": scene, "point_id": np.arange(n), "x": xyz[:, 0], "y": xyz[:, 1], "z": xyz[:, 2]})
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ply").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
     return files.select(scene_of(F.col("path")).alias("scene_id"), "content").mapInPandas(parse, "scene_id string, point_id long, x double, y double, z double")
 
 
@@ -150,3 +150,93 @@ def read_reports(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def write_reports(reports: DataFrame, path: str) -> None:
     """One JSON document for each scene."""
     reports.write.mode("overwrite").partitionBy("scene_id").json(path)
+
+
+def has_frames(spark: SparkSession, path: str) -> DataFrame:
+    """(scene_id, frames) of the folders that hold an image at all."""
+    return list_frames(spark, path).groupBy("scene_id").agg(F.count(F.lit(1)).alias("frames"))
+
+
+DETECTIONS = "frame string, cls array<int>, conf array<double>, xyxy array<array<double>>, names map<string, string>"
+
+
+def read_detections(spark: SparkSession, path: str, classes: list[str]) -> DataFrame:
+    """scene_id, frame, ordinal, class_name, confidence, x0..y1 of a detector's results, a JSON line for each frame.
+
+    A class is named by classes, else by the model's own names, else by its number as text.
+    """
+    files = spark.read.schema(DETECTIONS).option("recursiveFileLookup", "true").json(path)
+    rows = files.select(scene_of(F.col("_metadata.file_path")).alias("scene_id"), F.regexp_extract("frame", r"([^/]+)$", 1).alias("frame"), "names", F.posexplode(F.arrays_zip("cls", "conf", "xyxy")).alias("ordinal", "d"))
+    given = F.get(F.array(*[F.lit(c) for c in classes]).cast("array<string>"), F.col("d.cls"))
+    own = F.try_element_at("names", F.col("d.cls").cast("string"))
+    name = F.coalesce(F.when(F.col("d.cls") >= 0, given), own, F.col("d.cls").cast("string"))
+    return rows.select("scene_id", "frame", "ordinal", name.alias("class_name"), F.col("d.conf").alias("confidence"), *[F.get("d.xyxy", k).alias(c) for k, c in enumerate(("x0", "y0", "x1", "y1"))])
+
+
+def label_key_from_image_name(name: Column) -> Column:
+    """The key of an image's labels from its name in the reconstruction: no suffix, folders joined by underscores."""
+    from vistaframe.functions.names import frame_label_key
+
+    return frame_label_key(name)
+
+
+def write_ply_points(points: DataFrame, path: str) -> None:
+    """An ASCII PLY file of float x, y, z for each scene, path/scene_id=.../part-*, points in order of id; read_ply_points() with pattern
+    "part-*" reads it. The number of points, which the header needs, is counted first."""
+    lines_of = lambda n: ["ply", "format ascii 1.0", F.concat(F.lit("element vertex "), n.cast("string")), *[f"property float {c}" for c in "xyz"], "end_header"]
+    text = F.concat_ws("\n", *[F.lit(x) if isinstance(x, str) else x for x in lines_of(F.col("_n"))])
+    head = points.groupBy("scene_id").agg(F.count(F.lit(1)).alias("_n")).select("scene_id", F.lit(None).cast("long").alias("_at"), text.alias("value"))
+    rows = points.select("scene_id", F.col("point_id").cast("long").alias("_at"), F.concat_ws(" ", *[F.col(c).cast("float").cast("string") for c in "xyz"]).alias("value"))
+    ordered = head.unionByName(rows).repartition("scene_id").sortWithinPartitions("scene_id", F.col("_at").asc_nulls_first())
+    ordered.select("scene_id", "value").write.mode("overwrite").partitionBy("scene_id").text(path)
+
+
+GAUSSIAN = ("x", "y", "z", "opacity", "sx", "sy", "sz", "qw", "qx", "qy", "qz")
+
+
+def read_gaussians(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
+    """scene_id, gaussian_id, GAUSSIAN and sh (an array for each Gaussian) of Parquet exports of whole clouds.
+
+    An export has positions, scales and orientations as arrays of triples and quadruples, opacities, and packed coefficients sh_coeffs
+    of which width (by default their number over that of positions) belong to each Gaussian.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    rows = files.select(scene_of(F.col("_metadata.file_path")).alias("scene_id"), "*")
+    each = F.coalesce(F.lit(width).cast("int"), (F.size("sh_coeffs") / F.nullif(F.size("positions"), F.lit(0))).cast("int")).alias("_width")
+    one = rows.select("scene_id", "sh_coeffs", each, F.posexplode(F.arrays_zip("positions", "opacities", "scales", "orientations")).alias("gaussian_id", "g"))
+    terms = [F.get("g.positions", k).alias(c) for k, c in enumerate("xyz")] + [F.col("g.opacities").alias("opacity")] + [F.get("g.scales", k).alias(f"s{c}") for k, c in enumerate("xyz")] + [F.get("g.orientations", k).alias(f"q{c}") for k, c in enumerate("wxyz")]
+    return one.select("scene_id", F.col("gaussian_id").cast("long").alias("gaussian_id"), *terms, F.slice("sh_coeffs", F.col("gaussian_id") * F.col("_width") + 1, F.col("_width")).alias("sh"))
+
+
+OBJECT = ("class_id", "lo_x", "lo_y", "lo_z", "hi_x", "hi_y", "hi_z")
+
+
+def read_objects3d(spark: SparkSession, path: str, transforms: DataFrame | None = None) -> DataFrame:
+    """scene_id, class_id, cx.., r0.., hx.., lo_x..hi_z of object tables; without a turned box it is the upright one.
+
+    Objects in another frame than the capture's export (coord_frame) get their upright box through the scene's applied
+    transform (transforms: scene_id, matrix), where it has one.
+    """
+    from vistaframe.functions import geometry as G
+    from vistaframe.operators.transforms import OBB
+
+    rows = spark.read.parquet(path)
+    for c in OBB:
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast("double"))
+    low, high = ([F.col(f"{n}_{c}") for c in "xyz"] for n in ("lo", "hi"))
+    middle, half = [(a + b) / 2 for a, b in zip(low, high, strict=True)], [(b - a) / 2 for a, b in zip(low, high, strict=True)]
+    eye = [F.lit(1.0 if k % 4 == 0 else 0.0) for k in range(9)]
+    found = rows.select("scene_id", "coord_frame", *OBJECT, *[F.coalesce(c, x).alias(c) for c, x in zip(OBB, [*middle, *eye, *half], strict=True)])
+    if transforms is None:
+        return found.drop("coord_frame")
+    m = F.col("_m")
+    both = found.join(transforms.select("scene_id", F.col("matrix").alias("_m")), "scene_id", "left")
+    a, b = G.transform_aabb(low, high, m)
+    other = m.isNotNull() & (F.col("coord_frame") != "nerfstudio")
+    new = dict(zip(OBB, [*[(x + y) / 2 for x, y in zip(a, b, strict=True)], *eye, *[(y - x) / 2 for x, y in zip(a, b, strict=True)]], strict=True)) | {f"lo_{c}": x for c, x in zip("xyz", a, strict=True)} | {f"hi_{c}": x for c, x in zip("xyz", b, strict=True)}
+    return both.select(*[F.when(other, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in found.columns if c != "coord_frame"])
+
+
+def write_objects3d(objects: DataFrame, path: str, coord_frame: str = "nerfstudio") -> None:
+    objects.withColumn("coord_frame", F.lit(coord_frame)).write.mode("overwrite").parquet(path)
