@@ -116,6 +116,19 @@ def test_media_hold_the_text(spark, codec):
     assert audio.digests(audio.store_payloads(frame(spark, []), codec)).count() == 0
 
 
+def test_stored_sounds_are_what_the_files_hold(spark, monkeypatch):
+    texts = [*ODD, *ODD, "one", "one"]
+    monkeypatch.setattr(audio, "PART_BYTES", 500)
+    media = written(audio.store_payloads(frame(spark, texts)))
+    files = {(r["doc_id"]): bytes(r["media"]) for r in media.collect()}
+    sounds = {r["doc_id"]: bytes(r["pcm"]) for r in written(audio.decoded(media)).collect()}
+    assert len(sounds) == len(texts)
+    for k, f in files.items():
+        assert sounds[k] == audio.resample_double(audio.decode([f])[0]).tobytes()
+    none = spark.createDataFrame([(1, None)], "doc_id long, media binary")
+    assert [tuple(r) for r in audio.decoded(none).collect()] == [(1, None, None)]
+
+
 def test_decoders_on_known_values():
     assert audio.TABLES["mulaw"][[0, 127, 128, 255]].tolist() == [-32124, 0, 32124, 0]
     assert audio.TABLES["alaw"][[0x2A, 0xAA, 0xD5, 0x55]].tolist() == [-32256, 32256, 8, -8]
