@@ -19,7 +19,9 @@ def frame(spark, texts):
 
 
 def auc(score, y):
-    rank = np.argsort(np.argsort(score)) + 1
+    """The share of pairs of a positive and a negative that the score puts in order; ties count half."""
+    _, place, count = np.unique(score, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(count) - (count - 1) / 2)[place]
     return (rank[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() + 1) / 2) / ((y == 1).sum() * (y == 0).sum())
 
 
@@ -64,6 +66,24 @@ def test_odd_texts_have_scores(spark):
     assert 0 < quality.train([(b"a", 1, None)]).score([b"", b"a\nb"])[0] < 1
 
 
+def test_thresholds_are_calibrated_by_language():
+    numbers = np.random.default_rng(4)
+    y = np.tile([0, 0, 0, 1], 60)
+    lang = np.repeat(["aa", "bb", "cc"], 80)
+    # Positives of bb score lower than those of aa; cc has too few to have a threshold of its own.
+    scores = np.where(y == 1, np.where(lang == "bb", 0.62, 0.85), 0.3) + 0.02 * numbers.random(240)
+    y[lang == "cc"] = [1] * 5 + [0] * 75
+    net = toxicity.new_network(numbers)
+    toxicity.calibrate(net, [(float(s), int(v), str(g)) for s, v, g in zip(scores, y, lang, strict=True)])
+    assert set(net.thresholds) == {"aa", "bb"}
+    for g in ("aa", "bb"):
+        own = lang == g
+        assert ((scores[own] >= net.thresholds[g]) == (y[own] == 1)).all()
+    net = toxicity.new_network(numbers)
+    toxicity.calibrate(net, [(0.9, 1, None), (0.1, 0, None)])
+    assert (net.thresholds, net.threshold) == ({}, toxicity.PREDICTED)
+
+
 def test_pooling_over_parts_is_pooling_over_the_whole(monkeypatch):
     random_numbers = np.random.default_rng(3)
     net = toxicity.new_network(random_numbers)
