@@ -284,6 +284,36 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def plain_labels(text):
+    """Labels and score by sets of pairs in every block, without filters."""
+    words = licenses.template_words(text or "")
+    labels, best = set(), 0.0
+    for label, template in licenses.TEMPLATES:
+        n, pairs = len(licenses.template_words(template)), set(licenses.template_pairs(template))
+        for start in range(0, max(1, len(words)), n):
+            held = {f"{a} {b}" for a, b in zip(words[start : start + 2 * n], words[start + 1 : start + 2 * n + 1], strict=False)} & pairs
+            if 100 * len(held) >= 80 * len(pairs):
+                labels.add(label)
+                best = max(best, len(held) / len(pairs))
+    return labels, best
+
+
+def test_license_texts_and_what_only_looks_like_them(spark):
+    rnd = random.Random(2)
+    whole = [t for _, t in licenses.TEMPLATES if len(t) > 200]
+    spoilt = lambda t, every: " ".join("other" if k % every == 3 else w for k, w in enumerate(t.split()))
+    filler = lambda n: " ".join(rnd.choice(["the", "of", "software", "license", "x"]) for _ in range(n))
+    texts = [f"{filler(rnd.randrange(300))} {t} {filler(50)}" for t in whole] + [spoilt(t, e) for t in whole for e in (6, 12, 25)] + [filler(2000)]
+    texts += ["Released under the Apache License", "we released the song under a new license", "released in 2020 under the terms of the GPL license"] * 2
+    found = sorted(licenses.scan(frame(spark, texts)).collect(), key=lambda r: r["doc_id"])
+    for text, r in zip(texts, found, strict=True):
+        labels, best = plain_labels(text)
+        assert r["labels"] == ",".join(sorted(labels | set(filter(None, r["base_labels"].split(","))))), text
+        assert r["score"] == (1.0 if r["n_base"] else best)
+    assert [r["labels"] for r in found[: len(whole)]] == [label for label, t in licenses.TEMPLATES if len(t) > 200]
+    assert {r["labels"] for r in found[-6:]} == {""}
+
+
 # Revisits
 
 

@@ -1,16 +1,19 @@
 """License scans with DataFrame functions only: an exact set-similarity join of text blocks with license templates.
 
-Tokens of the templates are ordered by how many documents hold them, over all documents, rarest first. A block that holds
-at least the share THRESHOLD of a template's distinct words must hold one of the template's first
-|T| - need + 1 words (prefix filter), have `need` template words at all (length filter), and have enough of them left after
-the first word that both share (positional filter). What passes is compared in full. Blocks are windows of BLOCK_WORDS
-words that start every half block, so words that stand within half a block of each other share a block.
-
-Templates are a bounded parameter, so their index is a small literal table; documents are never grouped or broadcast.
+A template is the set of its pairs of successive words. Blocks are windows of twice the template's length that start every
+length, so a copy of it stands in one whole. A block matches where it holds at least the share THRESHOLD_PERCENT of the pairs.
+Pairs are ordered by how many documents hold them, over all documents, rarest first: a matching block holds one of the
+first |T| - need + 1 (prefix filter), `need` of the pairs at all (length filter), and no fewer are left from the first one
+that both share (positional filter). What passes is counted in full.
+
+One pass over the texts finds words, places of the phrases and places of template pairs; all else works on those places, of
+which ordinary text has few. Templates are a bounded parameter, so their index is a small literal table; documents are never
+grouped whole or broadcast.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,22 +21,40 @@ from pyspark.sql import functions as F
 
 from vistaframe.llm.common import table, written
 
-# The base phrases and their labels, and the templates.
+# The base phrases and their labels, and the templates: notices, and license texts as their publishers give them.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-TEMPLATES = {
-    "apache-2": "Licensed under the Apache License, Version 2.0",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    "cc-by-nc": "Licensed under CC BY-NC 4.0",
-    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike License",
-    "gpl-3": "This work is licensed under the GNU General Public License, version 3",
-    "mit": "Released under the MIT License",
-    "mit-full": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-}
+TEMPLATES = [
+    ("apache-2", "Licensed under the Apache License, Version 2.0"),
+    ("apache-2", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in
+writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
+express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the distribution."""),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike License"),
+    ("gpl-3", "licensed under the GNU General Public License, version 3"),
+    ("gpl-3", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed
+in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
+    ("mit", "Released under the MIT License"),
+    ("mit", "Released under MIT License"),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE
+OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word of a lower-cased text.
 LOWER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD_PERCENT = 80
-BLOCK_WORDS = 64
 
 
 def words_of(text: Column) -> Column:
@@ -42,81 +63,74 @@ def words_of(text: Column) -> Column:
 
 
 def template_words(text: str) -> list[str]:
-    return list(dict.fromkeys(re.findall(LOWER_WORD, text.lower())))
-
+    return re.findall(LOWER_WORD, text.lower())
 
-def held_of(vocabulary: list[str]) -> Column:
-    """The distinct words of the vocabulary among words."""
-    return F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary)))
 
+def template_pairs(text: str) -> list[str]:
+    words = template_words(text)
+    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
-def frequencies(held: DataFrame, words: list[str]) -> dict[str, int]:
-    """How many texts hold each of the words, a bounded vocabulary."""
-    counts = held.select(F.explode("held").alias("word")).groupBy("word").count()
-    return dict.fromkeys(words, 0) | {r["word"]: r["count"] for r in counts.collect()}
 
+def needed(pairs: list[str], percent: int) -> int:
+    return -(-len(pairs) * percent // 100)
 
-def places(words: Column, phrase: str) -> Column:
-    """Where a phrase's words stand one after the other, counted from 0."""
-    parts = phrase.split()
 
-    def starts(i: Column) -> Column:
-        found = F.get(words, i) == parts[0]
-        for k, part in enumerate(parts[1:], 1):
-            found = found & (F.get(words, i + k) == part)
-        return found
+def matches(placed: DataFrame, templates: list[tuple[str, str]], percent: int) -> DataFrame:
+    """(row, found, contained): labels of the templates that a block of the row matches, and the largest share. placed: row, at, pair."""
+    spark = placed.sparkSession
+    pairs = [template_pairs(text) for _, text in templates]
+    counts = placed.select("row", "pair").distinct().groupBy("pair").count()  # the templates' pairs at most
+    held = {r["pair"]: r["count"] for r in counts.collect()}
+    order = lambda p: (held.get(p, 0), p)
+    rows = [
+        (k, label, p, place, needed(own, percent), len(own), len(template_words(text)))
+        for k, ((label, text), own) in enumerate(zip(templates, pairs, strict=True)) for place, p in enumerate(sorted(own, key=order))
+    ]
+    names = ("template", "label", "pair", "place", "need", "size", "length")
+    kinds = ", ".join(f"{n}: {'string' if n in ('label', 'pair') else 'int'}" for n in names)
+    index = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps([dict(zip(names, r, strict=True)) for r in rows])), f"array<struct<{kinds}>>")))
+    both = F.array(F.floor(F.col("at") / F.col("length")), F.floor(F.col("at") / F.col("length")) - 1)
+    met = placed.join(F.broadcast(index), "pair").select("row", "template", "label", "place", "need", "size", F.explode(both).alias("block")).where("block >= 0")
+    blocks = met.groupBy("row", "template", "label", "need", "size", "block").agg(F.count_distinct("place").alias("both"), F.min("place").alias("first"))
+    prefix, long_enough, left = F.col("first") <= F.col("size") - F.col("need"), F.col("both") >= F.col("need"), F.col("size") - F.col("first") >= F.col("need")
+    found = blocks.where(prefix & left & long_enough)
+    return found.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("both") / F.col("size")).alias("contained"))
 
-    last = F.size(words) - len(parts)
-    return F.when(last >= 0, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), starts)).otherwise(F.array().cast("array<int>"))
 
-
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """License labels of every row of docs (doc_id, text): doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    n_base counts all places of the phrases, overlapping ones too; first_word and last_word are null and the labels empty
-    strings where there is nothing. score is the largest containment found that reaches the threshold, 1 where a phrase
-    stands, else 0. A null text is an empty one. Repeated rows give repeated results; other columns are not read.
+    templates: (label, text) of two words or more each. n_base counts all places of the phrases, overlapping ones too;
+    first_word and last_word are null and the labels empty strings where there is nothing. score is the largest share of a
+    template found that reaches the threshold, 1 where a phrase stands, else 0. A null text is an empty one. Repeated rows
+    give repeated results; other columns are not read.
     """
-    spark = docs.sparkSession
-    words = {label: template_words(text) for label, text in templates.items()}
-    vocabulary = sorted({w for ws in words.values() for w in ws} | {w for p in phrases for w in p.split()})
     text = F.coalesce("text", F.lit(""))
-    order = frequencies(docs.select(words_of(text).alias("words")).select(held_of(vocabulary).alias("held")), vocabulary)
-    rank = {w: k for k, w in enumerate(sorted(order, key=lambda w: (order[w], w)))}
-    ranks = {label: sorted(rank[w] for w in ws) for label, ws in words.items()}
-    need = {label: -(-len(ws) * percent // 100) for label, ws in words.items()}
-    prefixes = {label: r[: len(r) - need[label] + 1] for label, r in ranks.items()}
-    index = spark.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(label).alias("label"), F.lit(p).alias("rank"), F.lit(k).alias("place"), F.lit(need[label]).alias("need"), F.array(*map(F.lit, ranks[label])).alias("template"))
-        for label, prefix in prefixes.items() for k, p in enumerate(prefix)
-    ])).alias("t")).select("t.*")
-
-    # One pass over the texts: word counts, places of the phrases where a text holds all their words, and, of texts that hold
-    # a prefix word, the blocks as ranks of their template words.
+    vocabulary = sorted({w for _, t in templates for w in template_words(t)} | {w for p in phrases for w in p.split()})
+    pairs = sorted({p for _, t in templates for p in template_pairs(t)})
     row = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
     worded = docs.select("doc_id", row.alias("row"), words_of(text).alias("words"))
-    worded = worded.select("doc_id", "row", "words", held_of(vocabulary).alias("held"))
-    by_rank = [w for w, _ in sorted(rank.items(), key=lambda x: x[1])]
-    wanted = F.array(*[F.lit(w) for w in sorted({by_rank[r] for p in prefixes.values() for r in p})])
-    known = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
-    in_order = lambda block: F.array_sort(F.array_distinct(F.filter(F.transform(block, lambda w: F.try_element_at(known, w)), lambda r: r.isNotNull())))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(BLOCK_WORDS // 2))
-    blocks = F.when(F.arrays_overlap("held", wanted), F.filter(F.transform(starts, lambda s: in_order(F.slice("words", s, F.lit(BLOCK_WORDS)))), lambda b: F.size(b) > 0))
-    none = F.array().cast("array<int>")
+    # Places of words of the templates and phrases; what follows looks at these places only.
+    known = F.filter(F.sequence(F.lit(0), F.greatest(F.size("words"), F.lit(1)) - 1), lambda i: F.get("words", i).isin(vocabulary))
+    worded = worded.withColumn("known", known)
 
     def places_of(phrase: str) -> Column:
-        parts = F.array(*[F.lit(w) for w in dict.fromkeys(phrase.split())])
-        return F.when(F.size(F.array_intersect("held", parts)) == F.size(parts), places(F.col("words"), phrase)).otherwise(none)
+        words = phrase.split()
+
+        def starts(i: Column) -> Column:
+            found = F.get("words", i) == words[0]
+            for k, word in enumerate(words[1:], 1):
+                found = found & (F.get("words", i + k) == word)
+            return F.coalesce(found, F.lit(False))
+
+        return F.filter("known", starts)
 
     at = F.array(*[F.struct(places_of(p).alias("at"), F.lit(label).alias("label")) for p, label in phrases.items()])
-    rows = written(worded.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), at.alias("base"), blocks.alias("blocks")))
-    blocks = rows.where("blocks IS NOT NULL").select("row", F.explode("blocks").alias("block"))
-    met = blocks.select("row", "block", F.posexplode("block").alias("at", "rank")).join(F.broadcast(index), "rank")
-    met = met.where(F.size("block") >= F.col("need"))
-    met = met.where(1 + F.least(F.size("template") - F.col("place") - 1, F.size("block") - F.col("at") - 1) >= F.col("need") - F.col("place"))
-    both = F.size(F.array_intersect("block", "template"))
-    found = met.withColumn("both", both).where("both >= need")
-    found = found.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("both") / F.size("template")).alias("contained"))
+    pair_at = lambda i: F.concat_ws(" ", F.get("words", i), F.get("words", i + 1))
+    held = F.filter(F.transform(F.filter("known", lambda i: F.coalesce(F.get("words", i + 1).isin(vocabulary), F.lit(False))), lambda i: F.struct(i.alias("at"), pair_at(i).alias("pair"))), lambda x: x["pair"].isin(pairs))
+    rows = written(worded.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), at.alias("base"), held.alias("held")))
+    placed = rows.where(F.size("held") > 0).dropDuplicates(["row"]).select("row", F.explode("held").alias("h")).select("row", "h.*")
+    found = matches(placed, templates, percent)
 
     base = F.filter("base", lambda b: F.size(b["at"]) > 0)
     rows = rows.select("doc_id", "row", "n_words", F.flatten(F.transform(base, lambda b: b["at"])).alias("at"), F.transform(base, lambda b: b["label"]).alias("base"))
@@ -135,7 +149,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_license_scan": op7_license_scan}
-_templates = ", ".join(f"('{label}', [{', '.join(repr(w) for w in template_words(t))}])" for label, t in TEMPLATES.items())
+_templates = ", ".join(f"({k}, '{label}', {len(template_words(t))}, [{', '.join(repr(p) for p in template_pairs(t))}])" for k, (label, t) in enumerate(TEMPLATES))
 _places = " UNION ALL ".join(
     f"SELECT k, '{label}' AS label, unnest(list_filter(range(len(w)), lambda i: {' AND '.join(f'w[i + {j + 1}] = {part!r}' for j, part in enumerate(phrase.split()))})) AS i FROM worded" for phrase, label in PHRASES.items()
 )
@@ -146,10 +160,12 @@ WITH worded AS (
 ),
 base AS ({_places}),
 per_base AS (SELECT k, count(*) AS n_base, min(i)::BIGINT AS first_word, max(i)::BIGINT AS last_word, list_sort(list(DISTINCT label)) AS base FROM base GROUP BY k),
-blocks AS (SELECT k, unnest(list_transform(range(0, greatest(len(w), 1)::BIGINT, {BLOCK_WORDS // 2}), lambda s: list_distinct(w[s + 1 : s + {BLOCK_WORDS}]))) AS b FROM worded),
-templates(label, t) AS (VALUES {_templates}),
-per_label AS (SELECT k, label, max(len(list_intersect(b, t)) / len(t)::DOUBLE) AS c, bool_or(100 * len(list_intersect(b, t)) >= {THRESHOLD_PERCENT} * len(t)) AS hit FROM blocks, templates GROUP BY k, label),
-per_found AS (SELECT k, list(label) AS found, max(c) AS c FROM per_label WHERE hit GROUP BY k)
+templates(template, label, length, t) AS (VALUES {_templates}),
+tokens AS (SELECT template, label, length, len(t) AS size, unnest(t) AS g FROM templates),
+grams AS (SELECT k, i, w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT k, w, unnest(range(len(w) - 1)) AS i FROM worded)),
+met AS (SELECT k, template, label, size, g, unnest([i // length, i // length - 1]) AS block FROM grams JOIN tokens USING (g)),
+blocks AS (SELECT k, label, size, count(DISTINCT g) AS shared FROM met WHERE block >= 0 GROUP BY k, template, label, size, block),
+per_found AS (SELECT k, list(DISTINCT label) AS found, max(shared / size::DOUBLE) AS c FROM blocks WHERE 100 * shared >= {THRESHOLD_PERCENT} * size GROUP BY k)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(array_to_string(base, ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(found, [])))), ','), '') AS labels,
   CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score
