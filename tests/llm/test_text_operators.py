@@ -92,6 +92,28 @@ def test_mix_meets_targets(spark):
     assert words == +taken
 
 
+def test_mix_with_clashing_columns_and_repeated_rows(spark):
+    rows = [(k % 40, "a b c d " * (1 + k % 40 % 5), ["p", "q", None][k % 40 % 3], k, "mine", 7) for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` int, _key string, taken int")
+    sized = docs.withColumn("size", mixing.word_count(docs["text"]))
+    taken = mixing.mix(sized)
+    assert taken.columns == ["doc_id", "text", "source", "a.b", "_key", "size", "source_size", "target", "taken"]
+    got = taken.collect()
+    assert {r["_key"] for r in got} == {"mine"} and sorted(r["a.b"] for r in got) == list(range(80))
+    words = Counter()
+    for r in got:
+        words[r["source"]] += r["taken"]
+    assert all(abs(words[r["source"]] - r["target"]) <= 1 for r in got)
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    mixed = Counter()
+    for r in out.collect():
+        assert r["_key"] == "mine" and r["taken"] == 7
+        mixed[r["source"]] += len(r["text"].split())
+    # Two equal rows at a cut share its words, rounded down.
+    assert all(0 <= words[s] - mixed[s] <= 1 for s in words)
+
+
 def test_mix_of_nothing_and_of_odd_rows(spark):
     docs = frame(spark, ODD)
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
@@ -251,6 +273,49 @@ def test_any_boundary_gives_the_same_links(spark, monkeypatch, light_up_to):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute_components(texts, 4, 85)
 
 
+def family_texts(seed):
+    """Copies with edits around two bases that are near each other, so that families have members at every distance and visit each other."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(3))
+    base = [word() for _ in range(160)]
+    other = list(base)
+    for k in rnd.sample(range(160), 9):
+        other[k] = word()
+    pool = [(k, word()) for k in range(0, 160, 4) for _ in (0, 1)]
+    texts = []
+    for b in (base, other):
+        for _ in range(45):
+            own = list(b)
+            for k, w in rnd.sample(pool, rnd.randrange(0, 9)):
+                own[k] = w
+            texts.append(" ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize(("sets", "turns", "matches"), [(512, 3, 1 << 22), (7, 1, 40), (3, 3, 1)])
+def test_families_of_any_block_size_give_the_same_links(spark, monkeypatch, sets, turns, matches):
+    texts = family_texts(sets)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", sets)
+    monkeypatch.setattr(jaccard, "TURNS", turns)
+    monkeypatch.setattr(jaccard, "MATCHES", matches)
+    rows = jaccard.near_duplicates(frame(spark, texts), 5, 80).collect()
+    want = brute_components(texts, 5, 80)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
+    assert 2 < len({c for _, c in want.values()}) < len(texts)
+
+
+def test_repeated_rows_and_ids_of_near_duplicates(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    near, far = text.replace("w39", "other"), " ".join(f"x{k}" for k in range(40))
+    docs = spark.createDataFrame([(3, text, 1), (5, near, 2), (5, far, 3), (3, text, 4), (7, "", 5), (7, "", 6), (None, text, 7)], "doc_id long, text string, `a.b` int")
+    rows = jaccard.near_duplicates(docs, 5, 80).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in rows) == [(0, 0), (3, 3), (3, 3), (5, 3), (5, 5), (7, 7), (7, 7)]
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = sorted((r["doc_id"] or 0, r["a.b"]) for r in kept.collect())
+    assert [i for i, _ in ids] == [0, 3, 5, 7, 7] and (5, 3) in ids and (0, 7) in ids
+
+
 def test_near_duplicates_of_nothing_and_without_ids(spark):
     assert jaccard.near_duplicates(frame(spark, [])).count() == 0
     none = frame(spark, ["a b c d e f", "a b c d e f"]).selectExpr("CAST(NULL AS LONG) AS doc_id", "text")
