@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vistaframe.functions.names import frame_label_key, hash_bucket
+from vistaframe.operators.places import with_places
 
 
 def frame_qc(frames: DataFrame, min_sharpness: float = 0.0, min_features: int = 0) -> DataFrame:
@@ -21,7 +22,7 @@ def stride_filter(frames: DataFrame, stride: int, at: str) -> DataFrame:
 
 def saved_ordinal(checked: DataFrame, key: str, order: str, most: int | None = None) -> DataFrame:
     """The frames that stay, numbered from 1 in order within their key, up to `most`."""
-    kept = checked.where("reason IS NULL").withColumn("saved", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+    kept = with_places(checked.where("reason IS NULL"), key, [order], "saved").withColumn("saved", F.col("saved") + 1)
     return kept if most is None else kept.where(F.col("saved") <= most)
 
 
@@ -39,8 +40,7 @@ def held_out_views(images: DataFrame, ratio: float, key: str = "scene_id", name:
     if ratio <= 0:
         return images.limit(0)
     every = max(2, round(1 / ratio))
-    at = F.row_number().over(Window.partitionBy(key).orderBy(name)) - 1
-    return images.withColumn("_at", at).where(F.col("_at") % every == 0).drop("_at")
+    return with_places(images, key, [name]).where(F.col("_at") % every == 0).drop("_at")
 
 
 def _ranked_choice(keys: DataFrame, name: str, ratio: float, seed: int) -> DataFrame:

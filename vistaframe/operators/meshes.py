@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vistaframe.functions.geometry import apply_transform, cross, dot, matrix_of, norm
+from vistaframe.operators.places import with_places
 from vistaframe.sources.tables import ship
 
 CORNERS = ("a", "b", "c")
@@ -62,9 +63,8 @@ def mesh_report(vertices: DataFrame, faces: DataFrame) -> DataFrame:
 
 def nth_face_decimate(faces: DataFrame, target: int) -> DataFrame:
     """Every k-th face of a mesh in order of id, k its faces over the target rounded up; all if it has no more."""
-    w = Window.partitionBy("mesh_id")
-    step = F.ceil(F.count(F.lit(1)).over(w) / target)
-    return faces.withColumns({"_at": F.row_number().over(w.orderBy("fid")) - 1, "_step": F.greatest(F.lit(1), step)}).where(F.col("_at") % F.col("_step") == 0).drop("_at", "_step")
+    placed = with_places(faces, "mesh_id", ["fid"], total="_n")
+    return placed.where(F.col("_at") % F.greatest(F.lit(1), F.ceil(F.col("_n") / target)) == 0).drop("_at", "_n")
 
 
 def planar_uv(vertices: DataFrame) -> DataFrame:
