@@ -68,7 +68,24 @@ def project_aabb_to_label(spark, d):
     return rounded(found.select("scene_id", "image_id", "label.xc", "label.yc", "label.w", "label.h"))
 
 
-@R.query()
+def merged(source: str, distance: float) -> str:
+    """CTEs up to mo (scene_id, class_id, k, ordinal, merged): rows of source (scene_id, class_id, ordinal, cx, cy, cz, weight) taken in order,
+    each to the first centre within distance, which moves to the mean."""
+    near = "(c.x-d.cx)**2+(c.y-d.cy)**2+(c.z-d.cz)**2"
+    mean = lambda a: f"(c.{a}*c.w+c{a}*weight)/(c.w+weight)"
+    return f"""od AS (SELECT *, row_number() OVER (PARTITION BY scene_id, class_id ORDER BY ordinal) AS k FROM {source}),
+ms(scene_id, class_id, k, centres, ordinal, merged) AS (
+  SELECT DISTINCT scene_id, class_id, 0::BIGINT, []::STRUCT(i BIGINT, x DOUBLE, y DOUBLE, z DOUBLE, w DOUBLE)[], 0::BIGINT, 0::BIGINT FROM {source}
+  UNION ALL
+  SELECT scene_id, class_id, k, CASE WHEN got = len(centres) THEN list_append(centres, {{'i': got, 'x': cx, 'y': cy, 'z': cz, 'w': weight}})
+    ELSE list_transform(centres, lambda c: CASE WHEN c.i = got THEN {{'i': c.i, 'x': {mean("x")}, 'y': {mean("y")}, 'z': {mean("z")}, 'w': c.w+weight}} ELSE c END) END, ordinal, got
+  FROM (SELECT s.scene_id, s.class_id, d.k, s.centres, d.ordinal, d.cx, d.cy, d.cz, d.weight, coalesce(list_min(list_transform(list_filter(s.centres, lambda c: {near} <= {distance}*{distance}), lambda c: c.i)), len(s.centres)) AS got
+    FROM ms s JOIN od d ON d.scene_id = s.scene_id AND d.class_id = s.class_id AND d.k = s.k + 1)
+),
+mo AS (SELECT scene_id, class_id, k, ordinal, merged FROM ms WHERE k > 0)"""
+
+
+@R.query(f"WITH RECURSIVE src AS (SELECT scene_id, r % 3 AS class_id, point_id AS ordinal, x AS cx, y AS cy, z AS cz, 1e0 AS weight FROM points), {merged('src', 0.5)} SELECT scene_id, class_id, ordinal, merged FROM mo", "points")
 def merge_objects(spark, d):
     rows = view(spark, d, "points").select("scene_id", (F.col("r") % 3).cast("int").alias("class_id"), F.col("point_id").alias("ordinal"), F.col("x").alias("cx"), F.col("y").alias("cy"), F.col("z").alias("cz"), F.lit(1.0).alias("weight"))
     return B.merge_objects(rows, 0.5)

@@ -12,7 +12,7 @@ from vistaframe.operators import meshes as H
 from vistaframe.operators import quality as Q
 from vistaframe.operators import reports as P
 from vistaframe.operators.cameras import poses_with_cameras, visible_projections
-from vistaframe.plans.box_queries import FIT, VIEWS
+from vistaframe.plans.box_queries import FIT, VIEWS, merged
 from vistaframe.plans.camera_queries import M
 from vistaframe.plans.helpers import Registry, rounded
 from vistaframe.plans.quality_queries import SUMMARY, _summary
@@ -288,9 +288,10 @@ def lift_summary(spark, d):
     return rounded(P.lift_summary(_lifted(spark, d), 40), 4)
 
 
-@R.query()
+@R.query(f"""WITH RECURSIVE {DEBUGGED}, src AS (SELECT bb.scene_id, class_id, image_id*100000+ordinal AS ordinal, bx AS cx, by_ AS cy, bz AS cz, points::DOUBLE AS weight, hf, hr, hu FROM bb JOIN np USING (scene_id, image_id, ordinal) JOIN labels2d USING (scene_id, image_id, ordinal)), {merged('src', 2.0)}
+SELECT scene_id, class_id, merged AS object, round(sum(cx*weight)/sum(weight), 4) AS cx, round(sum(cy*weight)/sum(weight), 4) AS cy, round(sum(cz*weight)/sum(weight), 4) AS cz, round(max(hf), 4) AS half_x, round(max(hr), 4) AS half_y, round(max(hu), 4) AS half_z, count(*) AS observations, sum(weight)::BIGINT AS points FROM mo JOIN src USING (scene_id, class_id, ordinal) GROUP BY ALL""", *VIEWS)
 def lift_scene(spark, d):
-    return rounded(L.lift_scene(*[view(spark, d, v) for v in VIEWS]), 4)
+    return rounded(L.lift_scene(*[view(spark, d, v) for v in VIEWS], distance=2.0, inner=0.1), 4)
 
 
 CORED = f"""{VOTES}, n AS (SELECT scene_id, instance_id, count(*) FILTER (votes >= 2) AS many, count(*) AS every FROM votes GROUP BY ALL),

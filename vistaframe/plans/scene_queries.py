@@ -113,7 +113,23 @@ def frame_rank(spark, d):
     return T.frame_rank(view(spark, d, "detections")).select("ordinal", "rank")
 
 
-@R.query()
+IOU = "greatest(least(t.x1, d.x1) - greatest(t.x0, d.x0), 0) * greatest(least(t.y1, d.y1) - greatest(t.y0, d.y0), 0)"
+AREAS = "greatest(t.x1 - t.x0, 0) * greatest(t.y1 - t.y0, 0) + greatest(d.x1 - d.x0, 0) * greatest(d.y1 - d.y0, 0)"
+ASSOCIATED = f"""WITH RECURSIVE rk AS (SELECT *, dense_rank() OVER (PARTITION BY scene_id ORDER BY frame) AS rank FROM detections),
+de AS (SELECT *, row_number() OVER (PARTITION BY scene_id, class_name ORDER BY rank, confidence DESC, ordinal) AS k FROM rk),
+st(scene_id, class_name, k, tracks, number, ordinal, given) AS (
+  SELECT DISTINCT scene_id, class_name, 0::BIGINT, []::STRUCT(n BIGINT, last BIGINT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE)[], 0::BIGINT, 0::BIGINT, 0::BIGINT FROM detections
+  UNION ALL
+  SELECT scene_id, class_name, k, list_append(list_filter(tracks, lambda t: t.n <> got AND rank - t.last <= 2), {{'n': got, 'last': rank, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}}), greatest(number, got), ordinal, got
+  FROM (
+    SELECT s.scene_id, s.class_name, d.k, s.tracks, s.number, d.ordinal, d.rank, d.x0, d.y0, d.x1, d.y1,
+      coalesce(list_max(list_transform(list_filter(s.tracks, lambda t: t.last < d.rank AND d.rank - t.last <= 2 AND {IOU} / greatest({AREAS} - {IOU}, 1e-9) >= 0.25), lambda t: {{'o': {IOU} / greatest({AREAS} - {IOU}, 1e-9), 'n': t.n}})).n, s.number + 1) AS got
+    FROM st s JOIN de d ON d.scene_id = s.scene_id AND d.class_name = s.class_name AND d.k = s.k + 1
+  )
+) SELECT scene_id, class_name, ordinal, given AS track FROM st WHERE k > 0"""
+
+
+@R.query(ASSOCIATED, "detections")
 def associate_detections(spark, d):
     return T.associate_detections(view(spark, d, "detections"))
 
