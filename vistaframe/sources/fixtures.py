@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vistaframe.sources.tables import ship
 
-TABLES = ("nation", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings")
 
 
 #: Name: (views or tables it stands on, query). {E} takes an array's element, {S} is the text type, {T<n>} repeats each row with k from 0 to n - 1.
@@ -48,11 +47,19 @@ def ctes(names: tuple[str, ...], element: str, text: str, repeat: str) -> str:
     return ", ".join(f"{name} AS ({query})" for name, query in found.items())
 
 
+def tables_of(name: str) -> set[str]:
+    """The driver's tables that a view stands on."""
+    return {name} if name not in VIEWS else set().union(*map(tables_of, VIEWS[name][0]))
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view as a DataFrame over the tables of sf_dir."""
+    """A view as a DataFrame over the tables of sf_dir. A table is registered once for a session, until another sf_dir is asked for."""
     ship(spark)
-    for table in TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    known = spark.__dict__.setdefault("_vistaframe_tables", {})
+    for table in sorted(tables_of(name)):
+        if known.get(table) != sf_dir:
+            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+            known[table] = sf_dir
     return spark.sql(f"WITH {ctes((name,), 'element_at', 'STRING', 'LATERAL VIEW explode(sequence(0, {last})) x AS k')} SELECT * FROM {name}")
 
 
