@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vistaframe.functions import geometry as G
+from vistaframe.sources.tables import written
 
 POSE = ("qw", "qx", "qy", "qz", "tx", "ty", "tz")
 
@@ -116,7 +117,7 @@ def visible_projections(points: DataFrame, poses: DataFrame, margin: float = 1.0
     Points meet poses by the cells of a grid that the pose's frustum reaches, so a scene is never joined as a whole and a
     cell's points are spread over tasks as rows. Points that aren't finite are in no frame.
     """
-    celled = with_cells(points)
+    celled = written(with_cells(points))
     near = cells_in_frames(celled, poses, margin, max_depth).drop("whole")
     return projected(celled.join(near, list(CELL)), points.columns).where(in_frame(margin, max_depth))
 
@@ -128,8 +129,8 @@ def view_counts(points: DataFrame, images: DataFrame, cameras: DataFrame, margin
     by margin pixels. Images that see all of a cell of points are counted once for the cell; only at the edges of frusta
     points are projected. Counts are made in the map stage and shuffled as such.
     """
-    celled = with_cells(points.select("scene_id", "point_id", "x", "y", "z"))
-    near = cells_in_frames(celled, poses_with_cameras(images, cameras), margin, max_depth)
+    celled = written(with_cells(points.select("scene_id", "point_id", "x", "y", "z")))
+    near = written(cells_in_frames(celled, poses_with_cameras(images, cameras), margin, max_depth))
     whole = near.where("whole").groupBy(*CELL).agg(F.count(F.lit(1)).alias("views"))
     edges = projected(celled.join(near.where("NOT whole").drop("whole"), list(CELL)), ["scene_id", "point_id"]).where(in_frame(margin, max_depth)).select("scene_id", "point_id", F.lit(1).cast("long").alias("views"))
     seen = celled.join(whole, list(CELL)).select("scene_id", "point_id", "views").union(edges)
