@@ -6,11 +6,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vistaframe.llm import negatives, spellings
+from vistaframe.llm import negatives, repeats, spellings
 from vistaframe.llm.common import Scratch
 
 # Hard negatives
@@ -168,3 +169,84 @@ def test_no_edit_takes_more_grams_than_the_bound(word, at, letter, kind, chosen)
         kept = sum((p, g) in there or (p + shift, g) in there for p, g in found)
         bound = spellings.can_lose(found, len(a), most)
         assert len(found) - kept <= bound < len(found)
+
+
+# Repeated passages
+
+
+def brute_repeats(texts):
+    split = [(t or "").encode().split() for t in texts]
+    places = Counter(tuple(w[k : k + 35]) for w in split for k in range(len(w) - 34))
+    out = []
+    for w in split:
+        gone = set()
+        for k in range(len(w) - 34):
+            if places[tuple(w[k : k + 35])] > 1:
+                gone |= set(range(k, k + 35))
+        out.append((len(w), len(gone), b" ".join(x for k, x in enumerate(w) if k not in gone)))
+    return out
+
+
+def passages(rnd, letters, n):
+    """Texts with copies, near copies, shared passages and passages that repeat in one text."""
+    word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 4)))
+    shared = [[word() for _ in range(rnd.randrange(20, 120))] for _ in range(6)]
+    texts = []
+    for k in range(n):
+        w = []
+        for _ in range(rnd.randrange(1, 5)):
+            w += rnd.choice(shared)[rnd.randrange(10) :] if rnd.random() < 0.6 else [word() for _ in range(rnd.randrange(60))]
+        if texts and rnd.random() < 0.4:
+            w = (rnd.choice(texts) or "").split()
+            if w and rnd.random() < 0.7:
+                w[rnd.randrange(len(w))] = word()
+        texts.append(rnd.choice([" ", "\n", "\t \x0b", "  "]).join(w))
+    return [*texts, None, "", " \n ", "a " * 34, "b " * 35, "c " * 36, "d " * 400, "é ü x y " * 40, "Same Case " * 20, "same case " * 17]
+
+
+ROWS = "doc_id long, text string, `a.b` int, key string, words int"
+
+
+@pytest.mark.parametrize(("letters", "light", "part"), [("abcdefghijklmno", repeats.LIGHT, repeats.SLICE), ("ab", 2, 50), ("abcdefghijklmno", 0, 1000)])
+def test_repeats_equal_brute_force(spark, monkeypatch, letters, light, part):
+    monkeypatch.setattr(repeats, "LIGHT", light)
+    texts = passages(random.Random(len(letters) + light), letters, 250)
+    df = spark.createDataFrame([(k, t, k, "x", 3) for k, t in enumerate(texts)], ROWS).repartition(5)
+    want = brute_repeats(texts)
+    assert 1000 < sum(w[1] for w in want) < sum(w[0] for w in want)
+    got = {r["doc_id"]: r for r in repeats.repeated_passages(df).collect()}
+    assert [(got[k]["n_words"], got[k]["n_removed"], got[k]["kept_sha256"]) for k in range(len(texts))] == [(n, m, hashlib.sha256(k).hexdigest()) for n, m, k in want]
+    if light:
+        return
+    out = repeats.without_repeats(df)
+    assert out.columns == [*df.columns[:-1], "words", "words", "removed"]
+    rows = {r[0]: r for r in out.collect()}
+    assert all(rows[k][1] == (None if t is None else w[2].decode()) and rows[k][2:] == (k, "x", 3, w[0], w[1]) for k, (t, w) in enumerate(zip(texts, want, strict=True)))
+
+
+def test_slices_of_long_texts_agree(monkeypatch):
+    texts = [t.encode() for t in passages(random.Random(1), "abc", 40) if t]
+    whole = [c for p in repeats.cut(texts) for c in p.edges(np.arange(len(p.n))).tolist()]
+    monkeypatch.setattr(repeats, "SLICE", 64)
+    assert [c for p in repeats.cut(texts) for c in p.edges(np.arange(len(p.n))).tolist()] == whole
+    monkeypatch.setattr(repeats, "WINDOW", 35)
+    assert len(whole) == sum(max(0, len(t.split()) - 34) for t in texts)
+
+
+def test_rows_that_repeat_and_no_rows(spark):
+    text = " ".join(map(str, range(40)))
+    df = spark.createDataFrame([(1, text, 1, "", 1), (1, text, 1, "", 1), (None, None, None, None, None)], ROWS)
+    assert sorted(r["n_removed"] for r in repeats.repeated_passages(df).collect()) == [0, 40, 40]
+    assert repeats.repeated_passages(df.limit(0)).collect() == []
+
+
+def test_paths_that_follow_each_other_are_joined(spark):
+    """Copies give a text one joined path, whatever its length; a branch in one of them splits it."""
+    words = [str(k) for k in range(900)]
+    texts = [" ".join(words), " ".join(words), " ".join(words[:500])]
+    scratch = Scratch()
+    df = spark.createDataFrame([(k, t, 1, "", 1) for k, t in enumerate(texts)], ROWS)
+    rows = repeats._applied(df, lambda kept: repeats.pa.array([len(k) for k in kept]).cast("string")).collect()
+    joined = {r["row"]["doc_id"]: len(r["joined"]) for r in rows}
+    assert joined[0] == joined[1] <= 4 and joined[2] <= 2
+    scratch.drop()

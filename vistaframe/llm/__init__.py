@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("revisits", "mixing", "jaccard", "toxicity", "quality", "audio", "licenses", "records", "neighbours", "packing", "negatives", "spellings")
+MODULES = ("revisits", "mixing", "jaccard", "toxicity", "quality", "audio", "licenses", "records", "neighbours", "packing", "negatives", "repeats", "spellings")
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}

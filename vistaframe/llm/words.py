@@ -35,7 +35,7 @@ def place_values(n: int) -> np.ndarray:
     return PLACE_VALUE if n <= len(PLACE_VALUE) else np.multiply.accumulate(np.full(n, STEP, np.uint64))
 
 
-def hash_block(data: np.ndarray, prefixes: tuple[int, ...] = (), is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def hash_block(data: np.ndarray, prefixes: tuple[int, ...] = (), is_word: np.ndarray = IS_WORD, fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Starts and hashes of the words in a run of bytes, and hashes of their first k bytes for each k of prefixes."""
     inside = is_word[data]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
@@ -45,16 +45,17 @@ def hash_block(data: np.ndarray, prefixes: tuple[int, ...] = (), is_word: np.nda
     first = np.zeros(len(starts), np.int64)
     np.cumsum(lengths[:-1], out=first[1:])
     place = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
-    value = BYTE_VALUE[LOWER[data[inside]]] * place_values(int(lengths.max()))[place]
+    value = BYTE_VALUE[fold[data[inside]]] * place_values(int(lengths.max()))[place]
     whole = mixed(np.add.reduceat(value, first) + lengths.astype(np.uint64))
     parts = [mixed(np.add.reduceat(np.where(place < k, value, np.uint64(0)), first) + np.uint64(k << 32)) for k in prefixes]
     return starts, whole, parts
 
 
-def word_hashes(texts: list[bytes], prefixes: tuple[int, ...] = (), is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def word_hashes(texts: list[bytes], prefixes: tuple[int, ...] = (), is_word: np.ndarray = IS_WORD, fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Hashes of all words of the texts in order, how many words each text has, and the hashes of the words' first k bytes for each k of prefixes.
 
-    Words are runs of the bytes of is_word, by default of anything but ASCII white space; A-Z count as a-z.
+    Words are runs of the bytes of is_word, by default of anything but ASCII white space; A-Z count as a-z, or
+    as another fold of bytes says.
     """
     counts = np.zeros(len(texts), np.int64)
     found, parts = [], []
@@ -66,7 +67,7 @@ def word_hashes(texts: list[bytes], prefixes: tuple[int, ...] = (), is_word: np.
             end += 1
         for k, block in _cut(texts, at, end):
             data = np.frombuffer(block, np.uint8)
-            starts, whole, part = hash_block(data, prefixes, is_word)
+            starts, whole, part = hash_block(data, prefixes, is_word, fold)
             if k is None:
                 bounds = np.cumsum([len(t) + 1 for t in texts[at:end]])
                 counts[at:end] = np.diff(np.searchsorted(starts, bounds), prepend=0)
