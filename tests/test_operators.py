@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vistaframe.functions import geometry as G
 from vistaframe.functions import names as N
-from vistaframe.operators import boxes, cloud, dataset, frames, meshes, quality, spatial, tracks
+from vistaframe.operators import boxes, cloud, dataset, frames, meshes, quality, quantiles, spatial, tracks
 from vistaframe.operators import cameras as C
 from vistaframe.sources import sfm
 from vistaframe.sources.fixtures import view
@@ -137,12 +137,78 @@ def test_greedy_association(spark):
     assert {r["ordinal"]: r["track"] for r in tracks.associate_detections(d).collect()} == {0: 1, 1: 1, 2: 2, 3: 1, 4: 1, 5: 4, 6: 3}
 
 
+OBSERVED = "scene_id string, class_id int, ordinal long, cx double, cy double, cz double, ox double, oy double, oz double, gx double, gy double, gz double, points array<struct<x: double, y: double, z: double>>"
+
+
 def test_merge_takes_the_first_near_object(spark):
-    rows = [("s", 1, k, x, 0.0, 0.0, 1.0) for k, x in enumerate([0.0, 0.5, 0.3, 5.0])]
-    d = spark.createDataFrame(rows, "scene_id string, class_id int, ordinal long, cx double, cy double, cz double, weight double")
+    rows = [("s", 1, k, x, 0.0, 0.0, 0.0, -3.0, 0.0, 0.0, 0.0, 1.0, [(x, 0.0, 0.0)]) for k, x in enumerate([0.0, 0.5, 0.3, 5.0])]
+    d = spark.createDataFrame(rows, OBSERVED)
     assert {r["ordinal"]: r["merged"] for r in boxes.merge_objects(d, 0.35).collect()} == {0: 0, 1: 1, 2: 0, 3: 2}
 
 
+def test_merging_fits_again_on_all_points(spark):
+    """Against a plain list of objects: centres move as objects grow, so members depend on the fits."""
+    rnd = np.random.default_rng(4)
+    up, rows, want = np.array([0.0, 0.0, 1.0]), [], {}
+    objects: dict[tuple, list] = {}
+    for k in range(120):
+        scene, kind = f"s{k % 2}", k % 3
+        points = rnd.normal(rnd.integers(0, 3, 3) * 0.8, [0.5, 0.2, 0.1], (rnd.integers(1, 30), 3))
+        origin = rnd.normal(0, 4, 3)
+        centre = boxes.view_centre(points, origin, up, 5.0)
+        rows.append((scene, kind, k, *centre.tolist(), *origin.tolist(), *up.tolist(), [tuple(p) for p in points.tolist()]))
+        held = objects.setdefault((scene, kind), [])
+        for j, (c, o, p) in enumerate(held):
+            if np.linalg.norm(c - centre) <= 0.7:
+                both, seen = np.concatenate([p, points]), (o * len(p) + origin * len(points)) / (len(p) + len(points))
+                held[j] = (boxes.view_centre(both, seen, up, 5.0), seen, both)
+                want[k] = j
+                break
+        else:
+            want[k] = len(held)
+            held.append((centre, origin, points))
+    got = {r["ordinal"]: r["merged"] for r in boxes.merge_objects(spark.createDataFrame(rows[::-1], OBSERVED), 0.7).collect()}
+    assert got == want and max(want.values()) > 3 and len(want) > 2 * sum(len(o) for o in objects.values()) / 2
+
+
+def test_fitted_box_follows_the_view(spark):
+    rnd = np.random.default_rng(5)
+    turn = np.array([[0.6, -0.8, 0.0], [0.8, 0.6, 0.0], [0.0, 0.0, 1.0]])
+    points = (rnd.uniform(-1, 1, (4000, 3)) * [2.0, 0.5, 0.25]) @ turn.T + [3.0, 4.0, 1.0]
+    rows = [("a", *p, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0) for p in points.tolist()] + [("b", 1.0, 2.0, 3.0, 1.0, 2.0, 0.0, 0.0, 0.0, 1.0)]
+    d = spark.createDataFrame(rows, "k string, x double, y double, z double, ox double, oy double, oz double, gx double, gy double, gz double")
+    got = {r["k"]: r for r in boxes.fit_obb_view(d, ["k"]).collect()}
+    a, b = got["a"], got["b"]
+    assert all(abs(a[c] - v) < 0.05 for c, v in (("cx", 3), ("cy", 4), ("cz", 1), ("half_f", 1.8), ("half_r", 0.45), ("half_u", 0.225), ("fx", 0.6), ("fy", 0.8)))
+    # Seen from straight below: x turned about up.
+    assert (b["fx"], b["fy"], b["fz"], b["half_f"], b["points"]) == (0.0, 1.0, 0.0, 1e-3, 1)
+    few = boxes.fit_obb_view(d, ["k"], max_extent=1.0, light=100).where("k = 'a'").first()
+    assert few["half_f"] == 0.5 and abs(few["half_u"] - a["half_u"]) < 1e-12 and abs(few["fx"] - a["fx"]) < 1e-12
+
+
+@pytest.mark.parametrize("light", [50, quantiles.LIGHT])
+def test_quantiles_of_keys_of_any_size(spark, light):
+    rnd = np.random.default_rng(6)
+    held = {"even": rnd.normal(0, 1, 3000), "ties": np.repeat([1.0, 2.0, 7.0], [990, 2005, 5]), "far": np.concatenate([rnd.normal(0, 1e-6, 1500), rnd.normal(1e12, 1, 1500)]), "one": np.full(2000, 3.5), "nearly": np.concatenate([np.linspace(0, 1, 30), np.full(2970, 1.5)]), "few": np.array([4.0, 1.0]), None: rnd.uniform(0, 1, 400)}
+    rows = [(k, float(v), None if k == "few" else float(-v)) for k, vs in held.items() for v in vs] + [("few", None, None)]
+    d = spark.createDataFrame(rows, "k string, v double, w double").repartition(7)
+    shares = [0.0, 0.05, 0.5, 1 / 3, 0.95, 1.0]
+    got = {r["k"]: r for r in quantiles.quantiles(d, ["k"], {"v": shares, "w": [0.5]}, light).collect()}
+    assert set(got) == set(held)
+    for k, v in held.items():
+        assert np.allclose(got[k]["v"], np.quantile(v, shares), rtol=1e-12, atol=1e-15) and got[k]["n"] == len(v) + (k == "few")
+        assert got[k]["w"] is None if k == "few" else np.isclose(got[k]["w"][0], -np.median(v), rtol=1e-12, atol=1e-15)
+
+
+def test_large_and_small_boxes_hold_the_same_points(spark):
+    rnd = np.random.default_rng(7)
+    rows = [("s", 1, k, *rnd.uniform(0, 100, 2).tolist(), float(rnd.choice([rnd.normal(5, 0.3), rnd.uniform(1, 40)]))) for k in range(3000)]
+    projected = spark.createDataFrame(rows, "scene_id string, image_id long, point_id long, u double, v double, depth double")
+    found = spark.createDataFrame([("s", 1, k, 10.0 * k, 0.0, 10.0 * k + 25, 100.0 / (k + 1)) for k in range(8)], "scene_id string, image_id long, ordinal long, x0 double, y0 double, x1 double, y1 double")
+    plain = {tuple(r) for r in boxes.points_in_boxes(projected, found).select("ordinal", "point_id").collect()}
+    assert plain == {tuple(r) for r in boxes.points_in_boxes(projected, found, light=60).select("ordinal", "point_id").collect()} and len(plain) > 500
+
+
 def test_mass_of_a_cube(spark):
     corners = [(k, *(1.0 + 2 * (k >> b & 1) for b in range(3))) for k in range(8)]
     faces = [(0, 2, 1), (1, 2, 3), (4, 5, 6), (5, 7, 6), (0, 1, 4), (1, 5, 4), (2, 6, 3), (3, 6, 7), (0, 4, 2), (2, 4, 6), (1, 3, 5), (3, 7, 5)]

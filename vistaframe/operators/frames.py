@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vistaframe.functions.geometry import clip, cross, dot, norm, rotation_to_up
+from vistaframe.operators.quantiles import quantiles
 from vistaframe.sources.tables import written
 
 #: Random triples, how near a point is to count, how level a plane must be, and the fewest points.
@@ -40,7 +41,7 @@ def fit_floor(points: DataFrame, ups: DataFrame, hypotheses: int = HYPOTHESES, n
     up = [F.col(f"up_{c}") for c in "xyz"]
     named = points.select("scene_id", "point_id", "x", "y", "z").join(F.broadcast(ups.select("scene_id", *[F.col(c).alias(f"up_{c}") for c in "xyz"])), "scene_id")
     raised = named.withColumn("_height", dot([F.col(c) for c in "xyz"], up))
-    cut = raised.groupBy("scene_id").agg(F.percentile("_height", 0.2).alias("_cut"), F.count(F.lit(1)).alias("_all")).where(F.col("_all") >= LEAST_POINTS)
+    cut = quantiles(raised, ["scene_id"], {"_height": [0.2]}).select("scene_id", F.element_at("_height", 1).alias("_cut"), F.col("n").alias("_all")).where(F.col("_all") >= LEAST_POINTS)
     low = raised.join(F.broadcast(cut), "scene_id").withColumn("_low", F.col("_height") <= F.col("_cut"))
     lows = low.groupBy("scene_id").agg(F.count_if("_low").alias("_lows"))
     candidates = low.join(F.broadcast(lows), "scene_id").where(F.col("_low") | (F.col("_lows") < 16)).select("scene_id", "point_id", "x", "y", "z", *[f"up_{c}" for c in "xyz"])
@@ -101,8 +102,9 @@ def _refined(points: DataFrame, planes: DataFrame, near: float, level: float) ->
     slope = dot([F.col(f"r{c}") for c in "xyz"], [F.col(f"up_{c}") for c in "xyz"])
     turned = turned.join(F.broadcast(ups), "scene_id").withColumn("_slope", slope).where(F.abs("_slope") >= level)
     turned = written(turned.select("scene_id", *[(F.col(f"r{c}") * F.when(F.col("_slope") < 0, -1.0).otherwise(1.0)).alias(f"n{c}") for c in "xyz"]))
-    middle = inside.join(F.broadcast(turned), "scene_id").groupBy("scene_id", "nx", "ny", "nz").agg(F.median(dot(position, normal)).alias("offset"))
-    middle = written(middle)
+    along = inside.join(turned, "scene_id").select("scene_id", dot(position, normal).alias("_along"))
+    middle = quantiles(along, ["scene_id"], {"_along": [0.5]}).select("scene_id", F.element_at("_along", 1).alias("offset"))
+    middle = written(turned.join(middle, "scene_id").select("scene_id", "nx", "ny", "nz", "offset"))
     counts = points.join(F.broadcast(middle), "scene_id").where(F.abs(dot(position, normal) - F.col("offset")) < near).groupBy("scene_id").agg(F.count(F.lit(1)).alias("inliers"))
     better = middle.join(counts, "scene_id", "left").select("scene_id", "nx", "ny", "nz", "offset", F.coalesce("inliers", F.lit(0)).alias("inliers"))
     kept = planes.join(F.broadcast(better), "scene_id", "left_anti").select(better.columns)
@@ -113,8 +115,10 @@ def floor_report(points: DataFrame, centres: DataFrame, planes: DataFrame) -> Da
     """For each scene: the share of points below its plane, the share of cameras above it (1 without cameras), percentiles of height."""
     normal = [F.col(f"n{c}") for c in "xyz"]
     height = dot([F.col(c) for c in "xyz"], normal) - F.col("offset")
-    small = F.broadcast(planes.select("scene_id", "nx", "ny", "nz", "offset"))
-    below = points.join(small, "scene_id").groupBy("scene_id").agg(F.avg(F.when(height < -NEAR, 1.0).otherwise(0.0)).alias("below"), F.percentile(height, F.array(*[F.lit(p) for p in (0.01, 0.05, 0.5, 0.95, 0.99)])).alias("_p"))
+    small = planes.select("scene_id", "nx", "ny", "nz", "offset")
+    raised = points.join(small, "scene_id").select("scene_id", height.alias("_p"))
+    spread = quantiles(raised, ["scene_id"], {"_p": [0.01, 0.05, 0.5, 0.95, 0.99]}).drop("n")
+    below = raised.groupBy("scene_id").agg(F.avg(F.when(F.col("_p") < -NEAR, 1.0).otherwise(0.0)).alias("below")).join(spread, "scene_id")
     above = centres.join(small, "scene_id").groupBy("scene_id").agg(F.avg(F.when(height > 0, 1.0).otherwise(0.0)).alias("above"))
     return below.join(above, "scene_id", "left").select("scene_id", "below", F.coalesce("above", F.lit(1.0)).alias("cameras_above"), *[F.element_at("_p", k).alias(n) for k, n in enumerate(("z1", "z5", "z50", "z95", "z99"), 1)])
 
@@ -122,9 +126,9 @@ def floor_report(points: DataFrame, centres: DataFrame, planes: DataFrame) -> Da
 def floor_to_world(points: DataFrame, planes: DataFrame) -> DataFrame:
     """(scene_id, matrix): turns the plane's normal to +z, puts the plane at 0 and the median point over the origin."""
     r = rotation_to_up([F.col(f"n{c}") for c in "xyz"])
-    turned = points.join(F.broadcast(planes), "scene_id")
+    turned = points.join(planes, "scene_id")
     xy = [dot(r[3 * k : 3 * k + 3], [F.col(c) for c in "xyz"]) for k in (0, 1)]
-    middle = turned.select("scene_id", xy[0].alias("_x"), xy[1].alias("_y")).groupBy("scene_id").agg(F.median("_x").alias("_x"), F.median("_y").alias("_y"))
+    middle = quantiles(turned.select("scene_id", xy[0].alias("_x"), xy[1].alias("_y")), ["scene_id"], {"_x": [0.5], "_y": [0.5]}).select("scene_id", F.element_at("_x", 1).alias("_x"), F.element_at("_y", 1).alias("_y"))
     shift = [-F.col("_x"), -F.col("_y"), -F.col("offset")]
     terms = [t for k in range(3) for t in (*r[3 * k : 3 * k + 3], shift[k])]
     return planes.join(middle, "scene_id").select("scene_id", F.array(*[t + 0.0 for t in terms], *[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)]).alias("matrix"))

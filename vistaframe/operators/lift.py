@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,35 +44,71 @@ def label_boxes(labels: DataFrame, poses: DataFrame) -> DataFrame:
     return rows.select(*B.BOX, "class_id", *[c.alias(n) for c, n in zip(box, ("x0", "y0", "x1", "y1"), strict=True)])
 
 
-def lifted_boxes(points: DataFrame, images: DataFrame, cameras: DataFrame, labels: DataFrame, up: DataFrame | None = None, min_points: int = 8, inner: float = 0.12) -> DataFrame:
-    """(BOX, class_id, cx.., half_f.., axes, points): a box for each label that holds points enough. up: scene_up() or the like, else +z."""
+def poses_of_frames(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(images, cameras) of frames (scene_id, image_id, matrix camera to world, model, width, height, fx, fy, cx, cy): a camera for each frame."""
+    terms = G.c2w_to_w2c(G.whole_matrix(F.col("matrix")))
+    turn = [c.alias(n) for c, n in zip(G.rotmat_to_quat(terms[:9]), C.POSE[:4], strict=True)]
+    images = frames.select("scene_id", "image_id", F.col("image_id").alias("camera_id"), *turn, *[c.alias(n) for c, n in zip(terms[9:], C.POSE[4:], strict=True)])
+    return images, frames.select("scene_id", F.col("image_id").alias("camera_id"), "model", "width", "height", "fx", "fy", "cx", "cy")
+
+
+def label_points(points: DataFrame, images: DataFrame, cameras: DataFrame, labels: DataFrame, up: DataFrame | None = None, min_points: int = 8, inner: float = 0.12) -> DataFrame:
+    """(BOX, class_id, point_id, x, y, z, ox.., gx..): the points of every label, where they are seen from and what is up: scene_up() or the like, else +z. A table."""
     poses = C.poses_with_cameras(images, cameras)
     found = label_boxes(labels, poses)
     reach = found.agg(F.max(F.greatest(-F.col("x0"), -F.col("y0"), F.lit(0.0))), F.max(F.greatest("x1", "y1"))).first()
     margin = 1.0 + max(reach[0] or 0.0, 0.0) if reach[1] is not None else 1.0
-    inside = written(B.points_in_boxes(C.visible_projections(points, poses, margin), found.drop("class_id"), min_points, inner))
+    inside = B.points_in_boxes(C.visible_projections(points.select("scene_id", "point_id", "x", "y", "z"), poses, margin), found.drop("class_id"), min_points, inner)
     centre = G.camera_center(C.quaternion(), C.translation())
     origins = images.select("scene_id", "image_id", *[c.alias(n) for c, n in zip(centre, ("ox", "oy", "oz"), strict=True)])
-    seen = inside.join(origins, ["scene_id", "image_id"])
+    seen = inside.join(origins, ["scene_id", "image_id"]).join(found.select(*B.BOX, "class_id"), list(B.BOX))
     if up is None:
         seen = seen.withColumns({"gx": F.lit(0.0), "gy": F.lit(0.0), "gz": F.lit(1.0)})
     else:
         seen = seen.join(up.select("scene_id", *[F.col(c).alias(f"g{c}") for c in "xyz"]), "scene_id")
-    return B.fit_obb_view(seen, list(B.BOX)).join(found.select(*B.BOX, "class_id"), list(B.BOX))
+    return written(seen.select(*B.BOX, "class_id", "point_id", *"xyz", "ox", "oy", "oz", "gx", "gy", "gz"))
 
 
-def lift_scene(points: DataFrame, images: DataFrame, cameras: DataFrame, labels: DataFrame, up: DataFrame | None = None, distance: float = 0.6, min_points: int = 8, inner: float = 0.12) -> DataFrame:
-    """(scene_id, class_id, object, cx, cy, cz, half_x, half_y, half_z, observations, points): labels lifted to boxes and merged.
+def lifted_boxes(points: DataFrame, images: DataFrame, cameras: DataFrame, labels: DataFrame, up: DataFrame | None = None, min_points: int = 8, inner: float = 0.12) -> DataFrame:
+    """(BOX, class_id, cx.., half_f.., axes, points): a box for each label that holds points enough."""
+    return B.fit_obb_view(label_points(points, images, cameras, labels, up, min_points, inner), [*B.BOX, "class_id"])
 
-    Boxes of a class whose centres lie within distance of the object's are one object, in order of image and label; its centre
-    is their mean by points and its half sides the largest.
-    """
-    boxes = written(lifted_boxes(points, images, cameras, labels, up, min_points, inner))
+
+def merged_labels(seen: DataFrame, distance: float) -> DataFrame:
+    """seen, as label_points() makes it, with object: the number of the object of its class that each label was merged into, in order of image and label."""
     ordinal = F.col("image_id") * 100_000 + F.col("ordinal")
-    given = B.merge_objects(boxes.select("scene_id", F.col("class_id").cast("int").alias("class_id"), ordinal.alias("ordinal"), "cx", "cy", "cz", F.col("points").cast("double").alias("weight")), distance)
-    rows = boxes.withColumn("ordinal", ordinal).join(given.withColumnRenamed("merged", "object"), ["scene_id", "class_id", "ordinal"])
-    mean = lambda c: F.sum(F.col(c) * F.col("points")) / F.sum("points")
-    return rows.groupBy("scene_id", "class_id", "object").agg(*[mean(c).alias(c) for c in ("cx", "cy", "cz")], *[F.max(f"half_{a}").alias(f"half_{n}") for a, n in zip("fru", "xyz", strict=True)], F.count(F.lit(1)).alias("observations"), F.sum("points").alias("points"))
+    boxes = B.fit_obb_view(seen, [*B.BOX, "class_id"]).select(*B.BOX, "class_id", "cx", "cy", "cz")
+    held = seen.groupBy(*B.BOX, "class_id").agg(*[F.first(c).alias(c) for c in ("ox", "oy", "oz", "gx", "gy", "gz")], F.collect_list(F.struct(*"xyz")).alias("points"))
+    observed = held.join(boxes, [*B.BOX, "class_id"]).withColumns({"class_id": F.col("class_id").cast("int"), "ordinal": ordinal})
+    given = B.merge_objects(observed, distance).withColumnRenamed("ordinal", "_at").withColumnRenamed("merged", "object")
+    return seen.withColumn("_at", ordinal).join(given, ["scene_id", "class_id", "_at"]).drop("_at")
+
+
+def lift_scene(points: DataFrame, images: DataFrame, cameras: DataFrame, labels: DataFrame, up: DataFrame | None = None, distance: float = 0.6, min_points: int = 8, inner: float = 0.12, frames: DataFrame | None = None, captures: DataFrame | None = None) -> DataFrame:
+    """(scene_id, class_id, object, cx, cy, cz, half_f, half_r, half_u, axes, points, observations): labels lifted to boxes and merged; see merged_labels().
+
+    Scenes that frames (as for poses_of_frames()) has are lifted by those cameras, with up as their mean; the others by the
+    registered images, with the given up or +z. Where captures (scene_id, matrix, x, y, z) has a scene of the latter, its
+    objects' points and origins go through the matrix and are fitted again with x, y, z turned by it as up.
+    """
+    seen = []
+    if frames is not None:
+        own, terms = poses_of_frames(frames)
+        seen.append(label_points(points, own, terms, labels, C.scene_up(own), min_points, inner))
+        images = images.join(frames.select("scene_id").distinct(), "scene_id", "left_anti")
+    seen.append(label_points(points, images, cameras, labels, up, min_points, inner))
+    given = [merged_labels(s, distance) for s in seen]
+    if captures is not None:
+        last = given[-1].join(captures.select("scene_id", "matrix", *[F.col(c).alias(f"_u{c}") for c in "xyz"]), "scene_id", "left")
+        moved = {n: c for names in ("xyz", ("ox", "oy", "oz")) for n, c in zip(names, G.apply_capture_transform([F.col(n) for n in names], F.col("matrix")), strict=True)}
+        linear = [F.get(G.whole_matrix(F.col("matrix")), F.lit(k)) for k in (0, 1, 2, 4, 5, 6, 8, 9, 10)]
+        turned = G.rotate(linear, [F.col(f"_u{c}") for c in "xyz"])
+        ups = {f"g{c}": F.coalesce(t / (G.norm(turned) + 1e-12), F.col(f"g{c}")) for c, t in zip("xyz", turned, strict=True)}
+        given[-1] = last.withColumns({**moved, **ups}).drop("matrix", "_ux", "_uy", "_uz")
+    rows = written(reduce(DataFrame.unionByName, given))
+    key = ["scene_id", "class_id", "object"]
+    counts = rows.groupBy(*key).agg(F.count_distinct("image_id", "ordinal").alias("observations"))
+    return B.fit_obb_view(rows, key).join(counts, key)
 
 
 def lift_debug(points: DataFrame, images: DataFrame, cameras: DataFrame, labels: DataFrame, up: DataFrame | None = None, min_points: int = 8, inner: float = 0.12) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vistaframe.functions import geometry as G
+from vistaframe.operators.quantiles import quantiles
 from vistaframe.sources.tables import ship
 
 POSE = ("qw", "qx", "qy", "qz", "px", "py", "pz")
@@ -85,7 +86,7 @@ def fit_obb_pca(points: DataFrame, key: list[str], pct: float = 5.0) -> DataFram
     turned = sums.mapInPandas(turn, ", ".join([f"{c} {kinds[c]}" for c in columns] + [f"{a} double" for a in axes]))
     part = lambda k: sum((F.col(c) - F.col(f"m{c}")) * F.col(f"a{k}{c}") for c in "xyz")
     local = points.join(turned, key).select(*key, *[part(k).alias(f"l{k}") for k in range(3)])
-    spans = local.groupBy(*key).agg(*[F.percentile(f"l{k}", F.array(F.lit(pct / 100), F.lit(1 - pct / 100))).alias(f"p{k}") for k in range(3)])
+    spans = quantiles(local, key, {f"l{k}": [pct / 100, 1 - pct / 100] for k in range(3)}).select(*key, *[F.col(f"l{k}").alias(f"p{k}") for k in range(3)])
     middle = [(F.element_at(f"p{k}", 1) + F.element_at(f"p{k}", 2)) / 2 for k in range(3)]
     centre = [(F.col(f"m{c}") + sum(middle[k] * F.col(f"a{k}{c}") for k in range(3))).alias(f"c{c}") for c in "xyz"]
     half = [F.greatest((F.element_at(f"p{k}", 2) - F.element_at(f"p{k}", 1)) / 2, F.lit(1e-3)).alias(f"half{k}") for k in range(3)]

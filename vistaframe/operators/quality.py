@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vistaframe.functions.geometry import clip, finite
+from vistaframe.operators.quantiles import quantiles
 
 
 def psnr(pairs: DataFrame, key: list[str]) -> DataFrame:
@@ -120,7 +121,7 @@ def experiment_compare(metrics: DataFrame, names: list[str]) -> DataFrame:
 
 def registration_error(errors: DataFrame, threshold: float) -> DataFrame:
     """Median and 95th percentile of distance for each scene, and whether the median stays within the threshold."""
-    found = errors.groupBy("scene_id").agg(F.median("distance").alias("median"), F.percentile("distance", 0.95).alias("p95"))
+    found = quantiles(errors, ["scene_id"], {"distance": [0.5, 0.95]}).select("scene_id", F.element_at("distance", 1).alias("median"), F.element_at("distance", 2).alias("p95"))
     return found.withColumn("passed", F.col("median") <= threshold)
 
 

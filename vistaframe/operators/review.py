@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vistaframe.operators.quantiles import quantiles
+
 #: Keys that an object's physics must have before it is approved.
 PHYSICS_KEYS = ("mass_kg", "density_kg_m3", "friction", "restitution", "collider")
 
@@ -94,7 +96,7 @@ def pipeline_progress(*evidence: DataFrame) -> DataFrame:
 def dense_core(points: DataFrame, key: list[str]) -> DataFrame:
     """The points within the middle half of each axis where a key has 32 or more and at least 16 stay; else within percentiles 10 to 90
     if at least 8 stay; else all."""
-    spans = points.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *[F.percentile(c, F.array(*[F.lit(p) for p in (0.1, 0.25, 0.75, 0.9)])).alias(f"_{c}") for c in "xyz"])
+    spans = quantiles(points, key, {c: [0.1, 0.25, 0.75, 0.9] for c in "xyz"}).select(*key, F.col("n").alias("_n"), *[F.col(c).alias(f"_{c}") for c in "xyz"])
     inside = lambda lo, hi: (F.col("x").between(F.element_at("_x", lo), F.element_at("_x", hi))) & (F.col("y").between(F.element_at("_y", lo), F.element_at("_y", hi))) & (F.col("z").between(F.element_at("_z", lo), F.element_at("_z", hi)))
     marked = points.join(spans, key).withColumns({"_half": inside(2, 3), "_wide": inside(1, 4)})
     counts = marked.groupBy(*key).agg(F.count_if("_half").alias("_halves"), F.count_if("_wide").alias("_wides"))

@@ -8,8 +8,10 @@ from vistaframe.functions import geometry as G
 from vistaframe.operators import boxes as B
 from vistaframe.operators import cameras as C
 from vistaframe.operators import frames as W
+from vistaframe.operators import lift as L
 from vistaframe.plans.helpers import Registry, rounded
 from vistaframe.sources.fixtures import view
+from vistaframe.sources.tables import written
 
 R = Registry()
 
@@ -41,11 +43,16 @@ def points_in_boxes(spark, d):
     return _inside(spark, d).groupBy("scene_id", "image_id", "ordinal").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("depth"), 4).alias("depth"), F.sum("point_id").alias("ids"))
 
 
+def level(term: str) -> str:
+    """A term of the level direction of (vx, vy, vz); along y where that is nearly upright."""
+    return f"CASE WHEN vx*vx+vy*vy > 0 AND sqrt(vx*vx+vy*vy) >= 1e-3*sqrt(vx*vx+vy*vy+vz*vz) THEN {term}/sqrt(vx*vx+vy*vy) ELSE {int(term == 'vy')} END"
+
+
 FIT = f"""{IN_BOX},
 cen AS (SELECT *, -(r0*tx+r3*ty+r6*tz) AS ox, -(r1*tx+r4*ty+r7*tz) AS oy, -(r2*tx+r5*ty+r8*tz) AS oz FROM rot),
 md AS (SELECT scene_id, image_id, ordinal, median(x) AS mx, median(y) AS my, median(z) AS mz FROM inside GROUP BY ALL),
-ax0 AS (SELECT md.*, mx-ox AS vx, my-oy AS vy FROM md JOIN cen USING (scene_id, image_id)),
-ax AS (SELECT *, CASE WHEN sqrt(vx*vx+vy*vy) > 1e-9 THEN vx/sqrt(vx*vx+vy*vy) ELSE 1 END AS fx_, CASE WHEN sqrt(vx*vx+vy*vy) > 1e-9 THEN vy/sqrt(vx*vx+vy*vy) ELSE 0 END AS fy_ FROM ax0),
+ax0 AS (SELECT md.*, mx-ox AS vx, my-oy AS vy, mz-oz AS vz FROM md JOIN cen USING (scene_id, image_id)),
+ax AS (SELECT *, {level("vx")} AS fx_, {level("vy")} AS fy_ FROM ax0),
 loc AS (SELECT scene_id, image_id, ordinal, (x-mx)*fx_+(y-my)*fy_ AS lf, (x-mx)*(-fy_)+(y-my)*fx_ AS lr, z-mz AS lu FROM inside JOIN ax USING (scene_id, image_id, ordinal)),
 sp AS (SELECT scene_id, image_id, ordinal, quantile_cont(lf,0.05) AS f0, quantile_cont(lf,0.95) AS f1, quantile_cont(lr,0.05) AS a0, quantile_cont(lr,0.95) AS a1, quantile_cont(lu,0.05) AS u0, quantile_cont(lu,0.95) AS u1 FROM loc GROUP BY ALL)"""
 
@@ -54,7 +61,7 @@ sp AS (SELECT scene_id, image_id, ordinal, quantile_cont(lf,0.05) AS f0, quantil
 def fit_obb_view(spark, d):
     centre = G.camera_center(C.quaternion(), C.translation())
     origins = view(spark, d, "images").select("scene_id", "image_id", *[c.alias(n) for c, n in zip(centre, ("ox", "oy", "oz"), strict=True)])
-    points = _inside(spark, d).join(origins, ["scene_id", "image_id"]).withColumns({"gx": F.lit(0.0), "gy": F.lit(0.0), "gz": F.lit(1.0)})
+    points = written(_inside(spark, d)).join(origins, ["scene_id", "image_id"]).withColumns({"gx": F.lit(0.0), "gy": F.lit(0.0), "gz": F.lit(1.0)})
     boxes = B.fit_obb_view(points, ["scene_id", "image_id", "ordinal"])
     return rounded(boxes.select("scene_id", "image_id", "ordinal", "cx", "cy", "cz", "half_f", "half_r", "half_u"), 4)
 
@@ -68,27 +75,38 @@ def project_aabb_to_label(spark, d):
     return rounded(found.select("scene_id", "image_id", "label.xc", "label.yc", "label.w", "label.h"))
 
 
-def merged(source: str, distance: float) -> str:
-    """CTEs up to mo (scene_id, class_id, k, ordinal, merged): rows of source (scene_id, class_id, ordinal, cx, cy, cz, weight) taken in order,
-    each to the first centre within distance, which moves to the mean."""
-    near = "(c.x-d.cx)**2+(c.y-d.cy)**2+(c.z-d.cz)**2"
-    mean = lambda a: f"(c.{a}*c.w+c{a}*weight)/(c.w+weight)"
-    return f"""od AS (SELECT *, row_number() OVER (PARTITION BY scene_id, class_id ORDER BY ordinal) AS k FROM {source}),
-ms(scene_id, class_id, k, centres, ordinal, merged) AS (
-  SELECT DISTINCT scene_id, class_id, 0::BIGINT, []::STRUCT(i BIGINT, x DOUBLE, y DOUBLE, z DOUBLE, w DOUBLE)[], 0::BIGINT, 0::BIGINT FROM {source}
+SEEN = f"""{FIT},
+src AS (SELECT i.scene_id, class_id, i.image_id*100000+i.ordinal AS ordinal, any_value(mx+(f0+f1)/2*fx_-(a0+a1)/2*fy_) AS cx, any_value(my+(f0+f1)/2*fy_+(a0+a1)/2*fx_) AS cy, any_value(mz+(u0+u1)/2) AS cz, any_value(ox) AS ox, any_value(oy) AS oy, any_value(oz) AS oz, list(i.x ORDER BY point_id) AS px, list(i.y ORDER BY point_id) AS py, list(i.z ORDER BY point_id) AS pz
+  FROM inside i JOIN ax USING (scene_id, image_id, ordinal) JOIN sp USING (scene_id, image_id, ordinal) JOIN cen ON cen.scene_id = i.scene_id AND cen.image_id = i.image_id JOIN labels2d l ON l.scene_id = i.scene_id AND l.image_id = i.image_id AND l.ordinal = i.ordinal GROUP BY ALL)"""
+
+
+def merged(distance: float) -> str:
+    """CTEs up to mo (scene_id, class_id, k, ordinal, merged): rows of src taken in order, each to the first object within distance, which is fitted again on all its points."""
+    q = lambda a, share: f"list_aggregate(l{a}, 'quantile_cont', {share})"
+    middle = lambda a: f"({q(a, 0.05)}+{q(a, 0.95)})/2"
+    return f"""od AS (SELECT *, row_number() OVER (PARTITION BY scene_id, class_id ORDER BY ordinal) AS k FROM src),
+ms(scene_id, class_id, k, objects, ordinal, merged) AS (
+  SELECT DISTINCT scene_id, class_id, 0::BIGINT, []::STRUCT(i BIGINT, x DOUBLE, y DOUBLE, z DOUBLE, ox DOUBLE, oy DOUBLE, oz DOUBLE, px DOUBLE[], py DOUBLE[], pz DOUBLE[])[], 0::BIGINT, 0::BIGINT FROM src
   UNION ALL
-  SELECT scene_id, class_id, k, CASE WHEN got = len(centres) THEN list_append(centres, {{'i': got, 'x': cx, 'y': cy, 'z': cz, 'w': weight}})
-    ELSE list_transform(centres, lambda c: CASE WHEN c.i = got THEN {{'i': c.i, 'x': {mean("x")}, 'y': {mean("y")}, 'z': {mean("z")}, 'w': c.w+weight}} ELSE c END) END, ordinal, got
-  FROM (SELECT s.scene_id, s.class_id, d.k, s.centres, d.ordinal, d.cx, d.cy, d.cz, d.weight, coalesce(list_min(list_transform(list_filter(s.centres, lambda c: {near} <= {distance}*{distance}), lambda c: c.i)), len(s.centres)) AS got
-    FROM ms s JOIN od d ON d.scene_id = s.scene_id AND d.class_id = s.class_id AND d.k = s.k + 1)
+  SELECT scene_id, class_id, k, CASE WHEN was IS NULL THEN list_append(objects, {{'i': got, 'x': cx, 'y': cy, 'z': cz, 'ox': ox, 'oy': oy, 'oz': oz, 'px': px, 'py': py, 'pz': pz}})
+    ELSE list_transform(objects, lambda o: CASE WHEN o.i = got THEN {{'i': got, 'x': mx+{middle("f")}*fx_-{middle("r")}*fy_, 'y': my+{middle("f")}*fy_+{middle("r")}*fx_, 'z': mz+{middle("u")}, 'ox': ox, 'oy': oy, 'oz': oz, 'px': px, 'py': py, 'pz': pz}} ELSE o END) END, ordinal, got
+  FROM (SELECT *, list_transform(list_zip(px, py), lambda p: (p[1]-mx)*fx_+(p[2]-my)*fy_) AS lf, list_transform(list_zip(px, py), lambda p: (p[2]-my)*fx_-(p[1]-mx)*fy_) AS lr, list_transform(pz, lambda z: z-mz) AS lu
+    FROM (SELECT *, {level("vx")} AS fx_, {level("vy")} AS fy_
+      FROM (SELECT *, mx-ox AS vx, my-oy AS vy, mz-oz AS vz
+        FROM (SELECT * REPLACE (CASE WHEN was IS NULL THEN ox ELSE (was.ox*len(was.px)+ox*len(px))/(len(was.px)+len(px)) END AS ox, CASE WHEN was IS NULL THEN oy ELSE (was.oy*len(was.px)+oy*len(px))/(len(was.px)+len(px)) END AS oy, CASE WHEN was IS NULL THEN oz ELSE (was.oz*len(was.px)+oz*len(px))/(len(was.px)+len(px)) END AS oz,
+            list_concat(was.px, px) AS px, list_concat(was.py, py) AS py, list_concat(was.pz, pz) AS pz), list_aggregate(list_concat(was.px, px), 'median') AS mx, list_aggregate(list_concat(was.py, py), 'median') AS my, list_aggregate(list_concat(was.pz, pz), 'median') AS mz
+          FROM (SELECT *, coalesce(list_min(list_transform(near, lambda o: o.i)), len(objects)) AS got, list_filter(near, lambda o: o.i = list_min(list_transform(near, lambda n: n.i)))[1] AS was
+            FROM (SELECT d.*, s.objects, list_filter(s.objects, lambda o: (o.x-d.cx)**2+(o.y-d.cy)**2+(o.z-d.cz)**2 <= {distance}*{distance}) AS near
+              FROM ms s JOIN od d ON d.scene_id = s.scene_id AND d.class_id = s.class_id AND d.k = s.k + 1))))))
 ),
 mo AS (SELECT scene_id, class_id, k, ordinal, merged FROM ms WHERE k > 0)"""
 
 
-@R.query(f"WITH RECURSIVE src AS (SELECT scene_id, r % 3 AS class_id, point_id AS ordinal, x AS cx, y AS cy, z AS cz, 1e0 AS weight FROM points), {merged('src', 0.5)} SELECT scene_id, class_id, ordinal, merged FROM mo", "points")
+@R.query(f"WITH RECURSIVE {SEEN}, {merged(0.5)} SELECT scene_id, class_id, ordinal, merged FROM mo", *VIEWS)
 def merge_objects(spark, d):
-    rows = view(spark, d, "points").select("scene_id", (F.col("r") % 3).cast("int").alias("class_id"), F.col("point_id").alias("ordinal"), F.col("x").alias("cx"), F.col("y").alias("cy"), F.col("z").alias("cz"), F.lit(1.0).alias("weight"))
-    return B.merge_objects(rows, 0.5)
+    seen = L.label_points(*[view(spark, d, v) for v in VIEWS], inner=0.1)
+    rows = L.merged_labels(seen, 0.5)
+    return rows.select("scene_id", "class_id", (F.col("image_id") * 100_000 + F.col("ordinal")).alias("ordinal"), F.col("object").alias("merged")).distinct()
 
 
 @R.query()

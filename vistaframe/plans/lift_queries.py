@@ -12,7 +12,7 @@ from vistaframe.operators import meshes as H
 from vistaframe.operators import quality as Q
 from vistaframe.operators import reports as P
 from vistaframe.operators.cameras import poses_with_cameras, visible_projections
-from vistaframe.plans.box_queries import FIT, VIEWS, merged
+from vistaframe.plans.box_queries import FIT, SEEN, VIEWS, level, merged
 from vistaframe.plans.camera_queries import M
 from vistaframe.plans.helpers import Registry, rounded
 from vistaframe.plans.quality_queries import SUMMARY, _summary
@@ -288,10 +288,15 @@ def lift_summary(spark, d):
     return rounded(P.lift_summary(_lifted(spark, d), 40), 4)
 
 
-@R.query(f"""WITH RECURSIVE {DEBUGGED}, src AS (SELECT bb.scene_id, class_id, image_id*100000+ordinal AS ordinal, bx AS cx, by_ AS cy, bz AS cz, points::DOUBLE AS weight, hf, hr, hu FROM bb JOIN np USING (scene_id, image_id, ordinal) JOIN labels2d USING (scene_id, image_id, ordinal)), {merged('src', 2.0)}
-SELECT scene_id, class_id, merged AS object, round(sum(cx*weight)/sum(weight), 4) AS cx, round(sum(cy*weight)/sum(weight), 4) AS cy, round(sum(cz*weight)/sum(weight), 4) AS cz, round(max(hf), 4) AS half_x, round(max(hr), 4) AS half_y, round(max(hu), 4) AS half_z, count(*) AS observations, sum(weight)::BIGINT AS points FROM mo JOIN src USING (scene_id, class_id, ordinal) GROUP BY ALL""", *VIEWS)
+@R.query(f"""WITH RECURSIVE {SEEN}, {merged(2.0)},
+mp AS (SELECT scene_id, class_id, merged AS object, ordinal, ox, oy, oz, unnest(px) AS x, unnest(py) AS y, unnest(pz) AS z FROM mo JOIN src USING (scene_id, class_id, ordinal)),
+mm AS (SELECT scene_id, class_id, object, count(*) AS points, count(DISTINCT ordinal) AS observations, median(x) AS mx, median(y) AS my, median(z) AS mz, median(x)-avg(ox) AS vx, median(y)-avg(oy) AS vy, median(z)-avg(oz) AS vz FROM mp GROUP BY ALL),
+ml AS (SELECT *, {level("vx")} AS fx_, {level("vy")} AS fy_ FROM mm),
+mq AS (SELECT scene_id, class_id, object, {", ".join(f"quantile_cont({e}, {q}) AS {a}{k}" for a, e in (("f", "(x-mx)*fx_+(y-my)*fy_"), ("r", "(y-my)*fx_-(x-mx)*fy_"), ("u", "z-mz")) for k, q in ((0, 0.05), (1, 0.95)))} FROM mp JOIN ml USING (scene_id, class_id, object) GROUP BY ALL)
+SELECT scene_id, class_id, object, round(mx+(f0+f1)/2*fx_-(r0+r1)/2*fy_, 4) AS cx, round(my+(f0+f1)/2*fy_+(r0+r1)/2*fx_, 4) AS cy, round(mz+(u0+u1)/2, 4) AS cz, {", ".join(f"round(greatest(({a}1-{a}0)/2, 1e-3), 4) AS half_{a}" for a in "fru")}, observations, points FROM ml JOIN mq USING (scene_id, class_id, object)""", *VIEWS)
 def lift_scene(spark, d):
-    return rounded(L.lift_scene(*[view(spark, d, v) for v in VIEWS], distance=2.0, inner=0.1), 4)
+    found = L.lift_scene(*[view(spark, d, v) for v in VIEWS], distance=2.0, inner=0.1)
+    return rounded(found.select("scene_id", "class_id", "object", "cx", "cy", "cz", "half_f", "half_r", "half_u", "observations", "points"), 4)
 
 
 CORED = f"""{VOTES}, n AS (SELECT scene_id, instance_id, count(*) FILTER (votes >= 2) AS many, count(*) AS every FROM votes GROUP BY ALL),
