@@ -113,43 +113,53 @@ def can_lose(found: list[tuple[int, str]], length: int, most: int) -> int:
     return max(sum(1 for a, e in spans if a <= i < e or i == e == length or (a > i and e <= i + most)) for i in range(length + 1))
 
 
+def letters(word: str) -> int:
+    """A bit for each code point that a word holds (of 64 by remainder). An edit takes away one and adds one at most."""
+    bits = 0
+    for c in set(word):
+        bits |= 1 << (ord(c) & 63)
+    return bits - (bits >> 63 << 64)
+
+
 def index_rows(words: DataFrame, heavy: frozenset[str]) -> DataFrame:
-    """(class, word, n, grams, keep): for each word its grams as a word of its own length's class, and as the longer one of the class below; keep is its bound and one."""
+    """(class, word, n, letters, grams, keep): for each word its grams as a word of its own length's class, and as the longer one of the class below; keep is its bound and one."""
     known = words.sparkSession.sparkContext.broadcast(heavy)
 
     def decompose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                held = letters(word)
                 for size in (len(word), len(word) - 1):
                     if size >= LEAST_LENGTH:
                         found = grams(word, known.value, longest(size))
-                        for column, value in zip(out, (size, word, n, [{"at": a, "gram": g} for a, g in found], can_lose(found, len(word), longest(size)) + 1), strict=True):
+                        for column, value in zip(out, (size, word, n, held, [{"at": a, "gram": g} for a, g in found], can_lose(found, len(word), longest(size)) + 1), strict=True):
                             column.append(value)
-            types = (pa.int32(), pa.string(), pa.int64(), pa.list_(pa.struct([("at", pa.int32()), ("gram", pa.string())])), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["class", "word", "n", "grams", "keep"])
+            types = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.struct([("at", pa.int32()), ("gram", pa.string())])), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["class", "word", "n", "letters", "grams", "keep"])
 
-    return words.select("word", "n").mapInArrow(decompose, "class int, word string, n long, grams array<struct<at: int, gram: string>>, keep int")
+    return words.select("word", "n").mapInArrow(decompose, "class int, word string, n long, letters long, grams array<struct<at: int, gram: string>>, keep int")
 
 
 def near_words(words: DataFrame, scratch: Scratch, share: int = HEAVY) -> DataFrame:
     """(a, b, n_a, n_b): each pair of near words of words (word, n; words distinct, LEAST_LENGTH or longer) once, a the shorter one, or the smaller.
 
     A list is the words of a class that have a gram at a place among their rarest. The shorter words of a list, and the equally
-    long ones, meet the others. A list with many words is split by Spark's handling of skewed joins; pairs are verified before
-    they are shuffled.
+    long ones, meet the others. A list with many words is split by Spark's handling of skewed joins; pairs are verified, first by
+    the letters they hold, before they are shuffled.
     """
     rows = scratch.written(index_rows(words, heavy_grams(words, share)))
-    each = rows.select("class", "word", "n", "keep", F.explode("grams").alias("g")).select("class", "word", "n", "keep", "g.at", "g.gram")
+    each = rows.select("class", "word", "n", "letters", "keep", F.explode("grams").alias("g")).select("class", "word", "n", "letters", "keep", "g.at", "g.gram")
     often = each.groupBy("class", "gram").agg(F.count(F.lit(1)).alias("often"))
-    ordered = each.join(often, ["class", "gram"]).groupBy("class", "word", "n", "keep").agg(F.slice(F.array_sort(F.collect_list(F.struct("often", "gram", "at"))), 1, F.col("keep")).alias("kept"))
-    lists = scratch.written(ordered.select("class", "word", "n", F.explode("kept").alias("g")).select("class", "word", "n", "g.gram", "g.at"))
+    ordered = each.join(often, ["class", "gram"]).groupBy("class", "word", "n", "letters", "keep").agg(F.slice(F.array_sort(F.collect_list(F.struct("often", "gram", "at"))), 1, F.col("keep")).alias("kept"))
+    lists = scratch.written(ordered.select("class", "word", "n", "letters", F.explode("kept").alias("g")).select("class", "word", "n", "letters", "g.gram", "g.at"))
     longer = F.char_length("word") > F.col("class")
     # A gram of the longer word stands at the same place in the shorter one, or one earlier.
     places = F.explode(F.when(longer, F.array(F.col("at"), F.col("at") - 1)).otherwise(F.array("at"))).alias("at")
-    left = lists.where(~longer).select("class", "gram", "at", F.col("word").alias("a"), F.col("n").alias("n_a"))
-    right = lists.select("class", "gram", places, F.col("word").alias("b"), F.col("n").alias("n_b"), longer.alias("_longer"))
-    met = left.join(right, ["class", "gram", "at"]).where(F.col("_longer") | (F.col("a") < F.col("b"))).where(F.levenshtein("a", "b", 1) == 1)
+    left = lists.where(~longer).select("class", "gram", "at", F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("letters").alias("_a"))
+    right = lists.select("class", "gram", places, F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("letters").alias("_b"), longer.alias("_longer"))
+    few = F.bit_count(F.col("_a").bitwiseXOR(F.col("_b"))) <= 2
+    met = left.join(right, ["class", "gram", "at"]).where(few & (F.col("_longer") | (F.col("a") < F.col("b")))).where(F.levenshtein("a", "b", 1) == 1)
     return met.groupBy("a", "b").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
 
 
