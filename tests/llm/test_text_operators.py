@@ -349,6 +349,32 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def test_license_filters_drop_candidates(spark):
+    """Only blocks with one of a template's rarest pairs are candidates; the positional filter drops more before they are counted."""
+    F = licenses.F
+    rnd = random.Random(12)
+    texts = []
+    for _ in range(120):
+        words = licenses.template_words(rnd.choice(licenses.TEMPLATES)[1])
+        cut = rnd.randrange(len(words))
+        texts.append(" ".join(words[cut : cut + rnd.randrange(2, 60)] + [rnd.choice(words) for _ in range(5)]))
+    pairs = {p for _, t in licenses.TEMPLATES for p in licenses.template_pairs(t)}
+    rows = []
+    for k, t in enumerate(texts):
+        words = licenses.template_words(t)
+        rows.append((str(k), [(i, f"{a} {b}") for i, (a, b) in enumerate(zip(words, words[1:], strict=False)) if f"{a} {b}" in pairs]))
+    held = spark.createDataFrame(rows, "row string, held array<struct<at: int, pair: string>>")
+    sharing = set()
+    for k, places in rows:
+        for t, (_, text) in enumerate(licenses.TEMPLATES):
+            own, n = set(licenses.template_pairs(text)), len(licenses.template_words(text))
+            sharing |= {(k, t, b) for at, pair in places if pair in own for b in (at // n, at // n - 1) if b >= 0}
+    got = licenses.candidates(held, licenses.TEMPLATES, 80)
+    candidates = {(r["row"], r["template"], r["block"]) for r in got.select("row", "template", "block").collect()}
+    assert candidates < sharing and len(candidates) < 0.6 * len(sharing)
+    assert licenses.matches(held, licenses.TEMPLATES, 80).where(F.col("contained") >= 0.8).count() > 5
+
+
 def plain_labels(text):
     """Labels and score by sets of pairs in every block, without filters."""
     words = licenses.template_words(text or "")

@@ -2,9 +2,10 @@
 
 A template is the set of its pairs of successive words. Blocks are windows of twice the template's length that start every
 length, so a copy of it stands in one whole. A block matches where it holds at least the share THRESHOLD_PERCENT of the pairs.
-Pairs are ordered by how many documents hold them, over all documents, rarest first: a matching block holds one of the
-first |T| - need + 1 (prefix filter), `need` of the pairs at all (length filter), and no fewer are left from the first one
-that both share (positional filter). What passes is counted in full.
+Pairs are ordered by how many documents hold them, over all documents, rarest first. Only the first |T| - need + 1 pairs of a
+template are looked up (prefix filter: a matching block holds one of them). A block that holds one goes on where it holds `need`
+known pairs at all (length filter), and `need` of them from the first one that both share on (positional filter). What is left
+is counted in full.
 
 One pass over the texts finds words, places of the phrases and places of template pairs; all else works on those places, of
 which ordinary text has few. Templates are a bounded parameter, so their index is a small literal table; documents are never
@@ -20,8 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaframe.llm.common import table, written
+from vistaframe.operators.quantiles import let
 
-# The base phrases and their labels, and the templates: notices, and license texts as their publishers give them.
+# The base phrases and their labels, and the templates: notices as their publishers give them, the text of the
+# MIT license, and the first two clauses of the BSD licenses, which all of them share.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 TEMPLATES = [
     ("apache-2", "Licensed under the Apache License, Version 2.0"),
@@ -75,25 +78,48 @@ def needed(pairs: list[str], percent: int) -> int:
     return -(-len(pairs) * percent // 100)
 
 
-def matches(placed: DataFrame, templates: list[tuple[str, str]], percent: int) -> DataFrame:
-    """(row, found, contained): labels of the templates that a block of the row matches, and the largest share. placed: row, at, pair."""
-    spark = placed.sparkSession
-    pairs = [template_pairs(text) for _, text in templates]
+def literal(spark: SparkSession, rows: list[dict], kinds: str) -> DataFrame:
+    """A small table of constants, as a literal."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{kinds}>>")))
+
+
+def candidates(held: DataFrame, templates: list[tuple[str, str]], percent: int) -> DataFrame:
+    """(row, template, block, first, and the template's label, length, need, size, ranks) of the blocks that hold one of a template's first pairs.
+
+    held: row, held (array of at, pair), a row once. ranks: the template's pairs as their places in the order of all pairs, first: the
+    first of them that the block holds; order: map from pair to place. All are bounded by the templates.
+    """
+    spark = held.sparkSession
+    placed = held.select("row", F.explode("held").alias("h")).select("row", "h.*")
     counts = placed.select("row", "pair").distinct().groupBy("pair").count()  # the templates' pairs at most
-    held = {r["pair"]: r["count"] for r in counts.collect()}
-    order = lambda p: (held.get(p, 0), p)
-    rows = [
-        (k, label, p, place, needed(own, percent), len(own), len(template_words(text)))
-        for k, ((label, text), own) in enumerate(zip(templates, pairs, strict=True)) for place, p in enumerate(sorted(own, key=order))
+    often = {r["pair"]: r["count"] for r in counts.collect()}
+    own = [template_pairs(text) for _, text in templates]
+    order = {p: k for k, p in enumerate(sorted({p for pairs in own for p in pairs}, key=lambda p: (often.get(p, 0), p)))}
+    known = [
+        {"template": k, "label": label, "length": len(template_words(text)), "need": needed(pairs, percent), "size": len(pairs), "ranks": sorted(order[p] for p in pairs)}
+        for k, ((label, text), pairs) in enumerate(zip(templates, own, strict=True))
     ]
-    names = ("template", "label", "pair", "place", "need", "size", "length")
-    kinds = ", ".join(f"{n}: {'string' if n in ('label', 'pair') else 'int'}" for n in names)
-    index = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps([dict(zip(names, r, strict=True)) for r in rows])), f"array<struct<{kinds}>>")))
-    both = F.array(F.floor(F.col("at") / F.col("length")), F.floor(F.col("at") / F.col("length")) - 1)
-    met = placed.join(F.broadcast(index), "pair").select("row", "template", "label", "place", "need", "size", F.explode(both).alias("block")).where("block >= 0")
-    blocks = met.groupBy("row", "template", "label", "need", "size", "block").agg(F.count_distinct("place").alias("both"), F.min("place").alias("first"))
-    prefix, long_enough, left = F.col("first") <= F.col("size") - F.col("need"), F.col("both") >= F.col("need"), F.col("size") - F.col("first") >= F.col("need")
-    found = blocks.where(prefix & left & long_enough)
+    names = sorted(order, key=order.get)
+    probes = [{"template": t["template"], "length": t["length"], "rank": r, "pair": names[r]} for t in known for r in t["ranks"][: t["size"] - t["need"] + 1]]
+    probe = literal(spark, probes, "template: int, length: int, rank: int, pair: string")
+    block = F.floor(F.col("at") / F.col("length"))
+    hits = placed.join(F.broadcast(probe), "pair").select("row", "template", "rank", F.explode(F.array(block, block - 1)).alias("block")).where("block >= 0")
+    first = hits.groupBy("row", "template", "block").agg(F.min("rank").alias("first"))
+    index = literal(spark, known, "template: int, label: string, length: int, need: int, size: int, ranks: array<int>")
+    places = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
+    return first.join(F.broadcast(index), "template").withColumn("order", places)
+
+
+def matches(held: DataFrame, templates: list[tuple[str, str]], percent: int) -> DataFrame:
+    """(row, found, contained): labels of the templates that a block of the row matches, and the largest share. held: row, held (array of at, pair), a row once."""
+    met = candidates(held, templates, percent).join(held, "row")
+    start = F.col("block") * F.col("length")
+    inside = F.filter("held", lambda h: (h["at"] >= start) & (h["at"] < start + 2 * F.col("length")))
+    ranks = F.array_distinct(F.transform(inside, lambda h: F.element_at("order", h["pair"])))
+    long_enough = lambda r: F.size(r) >= F.col("need")
+    left = lambda r: F.size(F.filter(r, lambda x: x >= F.col("first"))) >= F.col("need")
+    both = let(ranks, lambda r: F.when(long_enough(r) & left(r), F.size(F.array_intersect(r, F.col("ranks")))))
+    found = met.withColumn("both", both).where(F.col("both") >= F.col("need"))
     return found.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("both") / F.col("size")).alias("contained"))
 
 
@@ -129,8 +155,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases:
     pair_at = lambda i: F.concat_ws(" ", F.get("words", i), F.get("words", i + 1))
     held = F.filter(F.transform(F.filter("known", lambda i: F.coalesce(F.get("words", i + 1).isin(vocabulary), F.lit(False))), lambda i: F.struct(i.alias("at"), pair_at(i).alias("pair"))), lambda x: x["pair"].isin(pairs))
     rows = written(worded.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), at.alias("base"), held.alias("held")))
-    placed = rows.where(F.size("held") > 0).dropDuplicates(["row"]).select("row", F.explode("held").alias("h")).select("row", "h.*")
-    found = matches(placed, templates, percent)
+    found = matches(rows.where(F.size("held") > 0).dropDuplicates(["row"]).select("row", "held"), templates, percent)
 
     base = F.filter("base", lambda b: F.size(b["at"]) > 0)
     rows = rows.select("doc_id", "row", "n_words", F.flatten(F.transform(base, lambda b: b["at"])).alias("at"), F.transform(base, lambda b: b["label"]).alias("base"))
