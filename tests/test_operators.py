@@ -137,6 +137,29 @@ def test_greedy_association(spark):
     assert {r["ordinal"]: r["track"] for r in tracks.associate_detections(d).collect()} == {0: 1, 1: 1, 2: 2, 3: 1, 4: 1, 5: 4, 6: 3}
 
 
+def test_sessions_give_the_tracks_of_one_pass(spark):
+    """A class seen now and then is many sessions; numbers are those of one pass over all its frames."""
+    rnd = random.Random(8)
+    rows, at = [], 0
+    for frame in range(400):
+        rows.append(("s", at, f"f{frame:04}", "every", 0.5, 0.0, 0.0, 1.0, 1.0))  # makes every frame ranked
+        at += 1
+        if frame % 9 < 4:
+            for _ in range(rnd.randrange(1, 4)):
+                x = rnd.choice([0.0, 4.0, 30.0]) + rnd.random() * 4
+                rows.append(("s", at, f"f{frame:04}", rnd.choice(["chair", None]), rnd.random(), x, 0.0, x + 10, 10.0))
+                at += 1
+    d = spark.createDataFrame(rows, "scene_id string, ordinal long, frame string, class_name string, confidence double, x0 double, y0 double, x1 double, y1 double").repartition(6)
+    want = {}
+    for name in ("every", "chair", None):
+        matcher = tracks.Matcher()
+        for frame in range(400):
+            mine = [r for r in rows if r[3] == name and r[2] == f"f{frame:04}"]
+            want |= dict(zip([r[1] for r in mine], matcher.frame(frame + 1, [(r[4], r[5:]) for r in mine]), strict=True)) if mine else {}
+    assert {r["ordinal"]: r["track"] for r in tracks.associate_detections(d).collect()} == want
+    assert tracks.sessions(tracks.frame_rank(d)).where("class_name = 'chair'").select("session").distinct().count() > 30
+
+
 OBSERVED = "scene_id string, class_id int, ordinal long, cx double, cy double, cz double, ox double, oy double, oz double, gx double, gy double, gz double, points array<struct<x: double, y: double, z: double>>"
 
 

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vistaframe.sources.tables import written
+
 #: Ranked frames that a track outlives without a detection, and the overlap that continues it.
 MAX_GAP, MIN_IOU = 2, 0.25
 DETECTION = ("ordinal", "frame", "class_name", "confidence", "x0", "y0", "x1", "y1")
@@ -55,15 +57,26 @@ class Matcher:
         return given
 
 
+def sessions(ranked: DataFrame) -> DataFrame:
+    """(scene_id, class_name, rank, session) of the frames in which a class is seen: a session ends where no track can go on, after more than MAX_GAP ranked frames without the class."""
+    order = Window.partitionBy("scene_id", "class_name").orderBy("rank")
+    seen = ranked.select("scene_id", "class_name", "rank").distinct()
+    parted = seen.withColumn("_new", F.coalesce((F.col("rank") - F.lag("rank").over(order) > MAX_GAP).cast("long"), F.lit(0)))
+    return parted.select("scene_id", "class_name", "rank", F.sum("_new").over(order).alias("session"))
+
+
 def associate_detections(detections: DataFrame) -> DataFrame:
     """(scene_id, class_name, ordinal, track): each detection's track number within its scene and class.
 
     A detection continues the free track with the largest overlap, MIN_IOU at least, last seen at most MAX_GAP ranked frames
-    ago; of equal ones the later. It needs the frames in order, so a scene and class is one group: sorted by Spark, streamed
-    to Python in batches, with only the active tracks held.
+    ago; of equal ones the later. It needs frames in order, so a scene and class is cut into sessions that no track outlives;
+    each is sorted by Spark and streamed to Python with only its active tracks held. Its tracks are numbered after those of
+    the sessions before it. Only the distinct frames of a class, and counts of its sessions, are ordered as a whole.
     """
-    ranked = frame_rank(detections).withColumn("_row", F.struct("rank", "ordinal", "confidence", "x0", "y0", "x1", "y1"))
-    ordered = ranked.select("scene_id", "class_name", "_row.*").repartition("scene_id", "class_name").sortWithinPartitions("scene_id", "class_name", "rank", "ordinal")
+    ranked = frame_rank(detections)
+    parts = sessions(ranked).select(F.col("scene_id").alias("_scene"), F.col("class_name").alias("_class"), F.col("rank").alias("_rank"), "session")
+    cut = ranked.join(parts, (F.col("scene_id") == F.col("_scene")) & F.col("class_name").eqNullSafe(F.col("_class")) & (F.col("rank") == F.col("_rank")))
+    ordered = cut.select("scene_id", "class_name", "session", "rank", "ordinal", "confidence", "x0", "y0", "x1", "y1").repartition("scene_id", "class_name", "session").sortWithinPartitions("scene_id", "class_name", "session", "rank", "ordinal")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, rank, matcher, pending = None, None, Matcher(), []
@@ -71,20 +84,25 @@ def associate_detections(detections: DataFrame) -> DataFrame:
         def close() -> Iterator[pd.DataFrame]:
             if pending:
                 numbers = matcher.frame(rank, [(p[1], p[2]) for p in pending])
-                yield pd.DataFrame({"scene_id": key[0], "class_name": key[1], "ordinal": [p[0] for p in pending], "track": numbers})
+                yield pd.DataFrame({"scene_id": key[0], "class_name": key[1], "session": key[2], "ordinal": [p[0] for p in pending], "track": numbers})
                 pending.clear()
 
         for batch in batches:
             for r in batch.itertuples(index=False):
-                if (r.scene_id, r.class_name) != key or r.rank != rank:
+                if (r.scene_id, r.class_name, r.session) != key or r.rank != rank:
                     yield from close()
-                    if (r.scene_id, r.class_name) != key:
-                        key, matcher = (r.scene_id, r.class_name), Matcher()
+                    if (r.scene_id, r.class_name, r.session) != key:
+                        key, matcher = (r.scene_id, r.class_name, r.session), Matcher()
                     rank = r.rank
                 pending.append((r.ordinal, r.confidence, (r.x0, r.y0, r.x1, r.y1)))
         yield from close()
 
-    return ordered.mapInPandas(run, "scene_id string, class_name string, ordinal long, track long")
+    own = written(ordered.mapInPandas(run, "scene_id string, class_name string, session long, ordinal long, track long"))
+    counts = own.groupBy("scene_id", "class_name", "session").agg(F.max("track").alias("_n"))
+    before = Window.partitionBy("scene_id", "class_name").orderBy("session").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("scene_id").alias("_scene"), F.col("class_name").alias("_class"), F.col("session").alias("_session"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = own.join(starts, (F.col("scene_id") == F.col("_scene")) & F.col("class_name").eqNullSafe(F.col("_class")) & (F.col("session") == F.col("_session")))
+    return numbered.select("scene_id", "class_name", "ordinal", (F.col("track") + F.col("_before")).alias("track"))
 
 
 def track_summary(members: DataFrame) -> DataFrame:
