@@ -4,9 +4,10 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vistaframe.operators import images, poses
-from vistaframe.sources import manifests
+from vistaframe.sources import manifests, sfm, versions
 
 EYE = [[1.0, 0, 0, 0], [0, 1.0, 0, 0], [0, 0, 1.0, 0], [0, 0, 0, 1.0]]
 
@@ -27,13 +28,43 @@ def test_manifest_round_trip(spark, tmp_path):
     tables = manifests.read_manifest(spark, str(tmp_path / "in"))
     assert [r["instance_id"] for r in tables["objects"].orderBy("ordinal").collect()] == ["o2", "o1"]
     manifests.write_manifest(tables, str(tmp_path / "out"))
-    (part,) = (tmp_path / "out" / "scene_id=s1").glob("part-*.json")
+    (part,) = (tmp_path / "out").glob("version-*/scene_id=s1/part-*.json")
     assert json.loads(part.read_text()) == document
     scene(tmp_path / "bad" / "s1", "manifest.json", {"objects": 3})
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
         manifests.read_manifest(spark, str(tmp_path / "bad"))["objects"].collect()
 
 
+def test_a_killed_writer_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    rows = spark.createDataFrame([("s1", 1), ("s2", 2)], "scene_id string, n long")
+    read = lambda: sorted((r["scene_id"], r["n"]) for r in sfm.read_reports(spark, path, "n long").collect())
+    sfm.write_reports(rows, path)
+    broken = rows.withColumn("n", F.when(F.col("scene_id") == "s2", F.raise_error(F.lit("killed")).cast("long")).otherwise(9))
+    with pytest.raises(Exception, match="killed"):
+        sfm.write_reports(broken, path)
+    assert read() == [("s1", 1), ("s2", 2)]
+    # A table may be written over the one it was read from.
+    sfm.write_reports(sfm.read_reports(spark, path, "n long").withColumn("n", F.col("n") * 10), path)
+    assert read() == [("s1", 10), ("s2", 20)]
+    folder = versions.Folder(spark, path)
+    assert folder.number() == 1 and len(list((tmp_path / "reports").glob("version-*"))) == 3
+    folder.drop_old(0)
+    assert len(list((tmp_path / "reports").glob("version-*"))) == 1 and read() == [("s1", 10), ("s2", 20)]
+    with pytest.raises(FileNotFoundError):
+        versions.Folder(spark, str(tmp_path / "none")).latest()
+
+
+def test_upsert_replaces_rows_by_key_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(r, "k string, v int")
+    versions.upsert(rows(("a", 1), (None, 2)), path, ["k"], 0)
+    versions.upsert(rows((None, 3), ("b", 4)), path, ["k"], 1)
+    versions.upsert(rows(("a", 99)), path, ["k"], 1)  # the same batch again
+    got = spark.read.parquet(versions.Folder(spark, path).latest()).collect()
+    assert sorted(map(tuple, got), key=str) == [("a", 1), ("b", 4), (None, 3)]
+
+
 def test_tracks_and_transforms(spark, tmp_path):
     detection = lambda k: {"frame": f"f{k}", "class_name": "chair", "confidence": 0.5, "xyxy": [0.0, 1.0, 2.0, float(k)], "source": "d"}
     document = {"instances": [{"instance_id": "chair_001", "class_name": "chair", "confidence": 0.5, "detections": [detection(2), detection(1)]}]}
@@ -41,7 +72,7 @@ def test_tracks_and_transforms(spark, tmp_path):
     rows = manifests.read_tracks(spark, str(tmp_path / "t"))
     assert [(r["frame"], r["y1"]) for r in rows.orderBy("ordinal").collect()] == [("f2", 2.0), ("f1", 1.0)]
     manifests.write_tracks(rows, str(tmp_path / "o"))
-    (part,) = (tmp_path / "o" / "scene_id=s1").glob("part-*.json")
+    (part,) = (tmp_path / "o").glob("version-*/scene_id=s1/part-*.json")
     assert json.loads(part.read_text()) == document
     scene(tmp_path / "m" / "s1", "transform.json", {"colmap_to_usd": EYE})
     assert manifests.read_transform(spark, str(tmp_path / "m")).first()["matrix"] == [x for r in EYE for x in r]

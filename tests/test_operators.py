@@ -13,6 +13,7 @@ from vistaframe.operators import boxes, cloud, dataset, frames, meshes, quality,
 from vistaframe.operators import cameras as C
 from vistaframe.sources import sfm
 from vistaframe.sources.fixtures import view
+from vistaframe.sources.versions import Folder, upsert
 from vistaframe.streaming import streams
 
 SF = "/root/testdata/sf0.001"
@@ -303,10 +304,50 @@ def replay(spark, tmp_path, rows, order, pieces, make, mode="append"):
 def test_stream_of_frames_equals_batch(spark, tmp_path):
     from pyspark.sql import Window
 
-    rows = view(spark, SF, "frames").select(F.lit("s").alias("scene_id"), F.col("frame_id").alias("ordinal"), "sharpness", "features")
-    got = replay(spark, tmp_path, rows, Window.orderBy("ordinal"), 3, lambda s: streams.stream_frame_qc(s, 60.0, 300, 25)).collect()
-    batch = dataset.saved_ordinal(dataset.frame_qc(rows, 60.0, 300), "scene_id", "ordinal", 25).collect()
-    assert {(r["ordinal"], r["saved"]) for r in got} == {(r["ordinal"], r["saved"]) for r in batch}
+    rows = view(spark, SF, "frames").select(F.lit("s").alias("scene_id"), F.col("frame_id").alias("ordinal"), "sharpness", "features", F.timestamp_seconds(F.col("frame_id") * 10).alias("ts"))
+    closing = [spark.createDataFrame([("s", -k, 1e9, 10**6)], "scene_id string, ordinal long, sharpness double, features long").withColumn("ts", F.timestamp_seconds(F.lit(10**8 * k))) for k in (1, 2)]
+    both = rows.unionByName(closing[0]).unionByName(closing[1])
+    # Files overlap in time: frames come up to 30 seconds late.
+    got = replay(spark, tmp_path, both, Window.orderBy(F.unix_seconds("ts") + F.col("ordinal") % 4 * 10, "ordinal"), 4, lambda s: streams.stream_frame_qc(s.withWatermark("ts", "60 seconds"), 60.0, 300, 25)).collect()
+    checked = dataset.frame_qc(rows, 60.0, 300)
+    batch = dataset.saved_ordinal(checked, "scene_id", "ordinal", 25).collect()
+    assert {(r["ordinal"], r["saved"]) for r in got} == {(r["ordinal"], r["saved"]) for r in batch} and not any(r["late"] for r in got)
+    reasons = [(r["ordinal"], r["reason"]) for r in checked.collect()]
+    for r in got:
+        assert (r["rejected_blur"], r["rejected_features"]) == tuple(sum(o < r["ordinal"] and why == kind for o, why in reasons) for kind in ("blur", "features"))
+
+
+def test_late_detections_go_to_a_side_table(spark, tmp_path):
+    seconds = [(0, 10), (1, 20), (2, 300), (3, 15), (4, 310), (5, 5000), (6, 9000)]
+    rows = spark.createDataFrame([("s", "chair", k, 1 + at, at, 0.5, 0.0, 0.0, 10.0, 10.0) for k, at in seconds], "scene_id string, class_name string, ordinal long, rank int, at long, confidence double, x0 double, y0 double, x1 double, y1 double").withColumn("ts", F.timestamp_seconds("at")).drop("at")
+    source, out, late = (str(tmp_path / n) for n in ("in", "out", "late"))
+    for k in range(len(seconds)):
+        rows.where(F.col("ordinal") == k).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source).withWatermark("ts", "5 seconds")
+        query = streams.split_late(streams.stream_tracks(stream), out, late).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination(240)
+        assert not query.isActive
+
+    run()
+    run()  # goes on from the checkpoint: nothing twice
+    assert [r["ordinal"] for r in spark.read.parquet(late).collect()] == [3]
+    assert sorted(r["ordinal"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 4, 5]
+
+
+def test_a_repeated_batch_of_trials_changes_nothing(spark, tmp_path):
+    trials = view(spark, SF, "trials").where("ordinal < 40").select("ordinal", "kind", "status", "quality_score", F.col("ordinal").alias("at"))
+    later = trials.where("ordinal % 3 = 0").withColumns({"quality_score": F.lit(1.0), "at": F.col("at") + 1000})
+    source, path = str(tmp_path / "in"), str(tmp_path / "store")
+    for part in (trials, later):
+        part.coalesce(1).write.mode("append").parquet(source)
+        query = streams.store_trials(spark.readStream.schema(part.schema).parquet(source), path, ["ordinal"], "at").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination(240)
+    got = {r["ordinal"]: r["at"] for r in spark.read.parquet(Folder(spark, path).latest()).collect()}
+    assert got == {r["ordinal"]: r["ordinal"] + 1000 * (r["ordinal"] % 3 == 0) for r in trials.collect()}
+    upsert(trials, path, ["ordinal"], Folder(spark, path).number())
+    assert got == {r["ordinal"]: r["at"] for r in spark.read.parquet(Folder(spark, path).latest()).collect()}
 
 
 def test_stream_of_tracks_equals_batch(spark, tmp_path):
@@ -317,7 +358,7 @@ def test_stream_of_tracks_equals_batch(spark, tmp_path):
     last = rows.groupBy("scene_id", "class_name").agg(F.max("ordinal").alias("ordinal"))
     closing = last.select("scene_id", "class_name", F.lit(-1).cast("long").alias("ordinal"), F.lit(10_000).alias("rank"), F.timestamp_seconds(F.lit(100_000_000)).alias("ts"), *[F.lit(0.0).alias(c) for c in ("confidence", "x0", "y0", "x1", "y1")])
     both = rows.unionByName(closing).unionByName(closing.withColumns({"ordinal": F.lit(-2).cast("long"), "rank": F.lit(10_001), "ts": F.timestamp_seconds(F.lit(200_000_000))}))
-    got = replay(spark, tmp_path, both, Window.orderBy("ts", "ordinal"), 4, lambda s: streams.stream_tracks(s.withWatermark("ts", "5 seconds"))).where("ordinal >= 0").collect()
+    got = replay(spark, tmp_path, both, Window.orderBy("ts", "ordinal"), 4, lambda s: streams.stream_tracks(s.withWatermark("ts", "5 seconds"))).where("ordinal >= 0 AND NOT late").collect()
     batch = tracks.associate_detections(rows.withColumn("frame", F.format_string("%06d", "rank")).drop("rank")).collect()
     assert {(r["scene_id"], r["class_name"], r["ordinal"], r["track"]) for r in got} == {(r["scene_id"], r["class_name"], r["ordinal"], r["track"]) for r in batch}
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaframe.sources.sfm import scene_of
+from vistaframe.sources.versions import Folder, replace_json
 
 MANIFEST = """scene_name string, build_mode string, review_state string,
 scale struct<method: string, meters_per_unit: double, confidence: double, approved: boolean>,
@@ -20,7 +21,9 @@ TRIALS = "trials array<struct<trial_id: string, kind: string, status: string, qu
 
 
 def documents(spark: SparkSession, path: str, schema: str, name: str, mode: str = "FAILFAST") -> DataFrame:
-    """A row for each file of that name, with its scene."""
+    """A row for each file of that name, with its scene; of a versioned folder those of the version that counts."""
+    folder = Folder(spark, path)
+    path = path if folder.current() is None else folder.latest()
     files = spark.read.schema(schema).option("multiLine", "true").option("mode", mode).option("recursiveFileLookup", "true").option("pathGlobFilter", name).json(path)
     return files.select(scene_of(F.col("_metadata.file_path")).alias("scene_id"), *files.columns)
 
@@ -36,7 +39,7 @@ def read_manifest(spark: SparkSession, path: str, name: str = "manifest.json") -
 
 
 def write_manifest(tables: dict[str, DataFrame], path: str) -> None:
-    """One JSON document for each scene, under scene_id=...; Spark's commit is what replaces the old one."""
+    """One JSON document for each scene, under scene_id=... of a new version of path; readers of Folder.latest() see the old one until it is whole."""
     scenes = tables["scenes"]
     nested = scenes.select("scene_id", "scene_name", "build_mode", "review_state", F.struct("method", "meters_per_unit", "confidence", "approved").alias("scale"))
     for child in CHILDREN:
@@ -44,7 +47,7 @@ def write_manifest(tables: dict[str, DataFrame], path: str) -> None:
         lists = tables[child].groupBy("scene_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", F.struct(*own).alias("r")))), lambda x: x["r"]).alias(child)) if not _has_map(tables[child]) else _with_maps(tables[child], own, child)
         nested = nested.join(lists, "scene_id", "left")
     gates = tables["approvals"].groupBy("scene_id").agg(F.map_from_entries(F.collect_list(F.struct("gate", F.struct("state", "reviewer", "notes", "timestamp")))).alias("approvals"))
-    nested.join(gates, "scene_id", "left").write.mode("overwrite").partitionBy("scene_id").json(path)
+    replace_json(nested.join(gates, "scene_id", "left"), path, "scene_id")
 
 
 def _has_map(df: DataFrame) -> bool:
@@ -71,7 +74,7 @@ def write_tracks(tracks: DataFrame, path: str) -> None:
     detection = F.struct("ordinal", F.struct("frame", "class_name", "confidence", F.array("x0", "y0", "x1", "y1").alias("xyxy"), "source").alias("d"))
     one = tracks.groupBy("scene_id", "instance_id").agg(F.min_by("class_name", "ordinal").alias("class_name"), F.first("track_confidence").alias("confidence"), F.transform(F.array_sort(F.collect_list(detection)), lambda x: x["d"]).alias("detections"))
     whole = one.groupBy("scene_id").agg(F.array_sort(F.collect_list(F.struct("instance_id", "class_name", "confidence", "detections"))).alias("instances"))
-    whole.write.mode("overwrite").partitionBy("scene_id").json(path)
+    replace_json(whole, path, "scene_id")
 
 
 def read_trials(spark: SparkSession, path: str, name: str = "trials.json") -> DataFrame:
@@ -93,7 +96,7 @@ def write_camera_path(poses: DataFrame, path: str, fps: int = 24) -> None:
     """One JSON document for each scene: its poses (ordinal, c2w, fov, aspect) in order, for a film of one frame each."""
     frames = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", F.struct(F.col("c2w").alias("camera_to_world"), "fov", "aspect").alias("f")))), lambda x: x["f"])
     whole = poses.groupBy("scene_id").agg(frames.alias("camera_path"), F.lit(fps).alias("fps"), (F.greatest(F.count(F.lit(1)), F.lit(1)) / fps).alias("seconds"))
-    whole.write.mode("overwrite").partitionBy("scene_id").json(path)
+    replace_json(whole, path, "scene_id")
 
 
 def write_detection_dataset(rows: DataFrame, classes: list[str], path: str) -> None:
@@ -111,4 +114,4 @@ def write_detection_dataset(rows: DataFrame, classes: list[str], path: str) -> N
 def write_trials(trials: DataFrame, path: str) -> None:
     """One JSON document of trials for each scene, in their order."""
     own = [c for c in trials.columns if c not in ("scene_id", "ordinal")]
-    _with_maps(trials, own, "trials").write.mode("overwrite").partitionBy("scene_id").json(path)
+    replace_json(_with_maps(trials, own, "trials"), path, "scene_id")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaframe.sources.tables import ship
+from vistaframe.sources.versions import Folder, replace_json
 
 NUMBER = r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
 #: An image's pose line: ten tokens, of which the last isn't a number. Lines of 2D points are numbers only, or empty.
@@ -143,13 +144,14 @@ def content_hash(spark: SparkSession, path: str) -> DataFrame:
 
 def read_reports(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A JSON report for each file; one that is no JSON is a row of nulls, and a scene without file has none."""
-    files = spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").json(path)
+    folder = Folder(spark, path)
+    files = spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").json(path if folder.current() is None else folder.latest())
     return files.select(scene_of(F.col("_metadata.file_path")).alias("scene_id"), *files.columns)
 
 
 def write_reports(reports: DataFrame, path: str) -> None:
-    """One JSON document for each scene."""
-    reports.write.mode("overwrite").partitionBy("scene_id").json(path)
+    """One JSON document for each scene, in place of what a versioned folder holds."""
+    replace_json(reports, path, "scene_id")
 
 
 def has_frames(spark: SparkSession, path: str) -> DataFrame:
