@@ -35,15 +35,23 @@ def poses_with_cameras(images: DataFrame, cameras: DataFrame, strict: bool = Fal
     return known.withColumn("model", F.coalesce("model", missing))
 
 
-def projected(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """keep, image_id, width, height, u, v and depth of rows that hold a point and a pose with its camera."""
-    camera = G.camera_space(xyz(), quaternion(), translation())
+TURN = tuple(f"_r{k}" for k in range(9))
+TERMS = ("image_id", *TURN, *POSE[4:], "width", "height", "fx", "fy", "cx", "cy")
+
+
+def turned(poses: DataFrame) -> DataFrame:
+    """scene_id and TERMS of poses: rotations as matrices and focal lengths as they apply, so that points meet plain numbers."""
     fx, fy = G.focal_terms(F.col("model"), F.col("fx"), F.col("fy"))
-    u, v, depth = G.pinhole(camera, fx, fy, F.col("cx"), F.col("cy"))
+    return poses.select("scene_id", "image_id", *[r.alias(n) for r, n in zip(G.quat_to_rotmat(quaternion()), TURN, strict=True)], *POSE[4:], "width", "height", fx.alias("fx"), fy.alias("fy"), "cx", "cy")
+
+
+def projected(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """keep, image_id, width, height, u, v and depth of rows that hold a point and the TERMS of a pose."""
+    camera = [a + b for a, b in zip(G.rotate([F.col(n) for n in TURN], xyz()), translation(), strict=True)]
+    u, v, depth = G.pinhole(camera, F.col("fx"), F.col("fy"), F.col("cx"), F.col("cy"))
     return rows.select(*keep, "image_id", "width", "height", u.alias("u"), v.alias("v"), depth.alias("depth"))
 
 
-TERMS = ("image_id", *POSE, "model", "width", "height", "fx", "fy", "cx", "cy")
 CELL = ("scene_id", "_gx", "_gy", "_gz")
 #: Points of a cell, about; cells along a scene's side, at most; and parts that a scene's cells are dealt to.
 CELL_POINTS, MOST_CELLS, CELL_PARTS = 64, 32, 16
@@ -55,7 +63,7 @@ def projections(points: DataFrame, poses: DataFrame) -> DataFrame:
     Its rows are all points times all images of a scene; visible_projections() has those inside the frames only, and makes
     no more.
     """
-    return projected(points.join(poses.select("scene_id", *TERMS), "scene_id"), points.columns)
+    return projected(points.join(turned(poses), "scene_id"), points.columns)
 
 
 def with_cells(points: DataFrame) -> DataFrame:
@@ -77,8 +85,8 @@ def cells_in_frames(celled: DataFrame, poses: DataFrame, margin: float, max_dept
     boxes = celled.groupBy(*CELL).agg(*[f(c).alias(f"_{n}{c}") for c in "xyz" for f, n in ((F.min, "lo"), (F.max, "hi"))])
     boxes = boxes.select(*CELL, *[((F.col(f"_lo{c}") + F.col(f"_hi{c}")) / 2).alias(f"_m{c}") for c in "xyz"], *[((F.col(f"_hi{c}") - F.col(f"_lo{c}")) / 2).alias(f"_h{c}") for c in "xyz"])
     boxes = boxes.withColumn("_part", F.pmod(F.xxhash64("_gx", "_gy", "_gz"), F.lit(CELL_PARTS)))
-    r, t = G.quat_to_rotmat(quaternion()), translation()
-    fx, fy = G.focal_terms(F.col("model"), F.col("fx"), F.col("fy"))
+    poses, r, t = turned(poses), [F.col(n) for n in TURN], translation()
+    fx, fy = F.col("fx"), F.col("fy")
     right, down, depth = ([*r[k : k + 3], t[k // 3]] for k in (0, 3, 6))
     mix = lambda a, p, b, q: [x * p + y * q for x, y in zip(a, b, strict=True)]
     flat = F.lit(0.0)
@@ -118,7 +126,9 @@ def visible_projections(points: DataFrame, poses: DataFrame, margin: float = 1.0
     cell's points are spread over tasks as rows. Points that aren't finite are in no frame.
     """
     celled = written(with_cells(points))
-    near = cells_in_frames(celled, poses, margin, max_depth).drop("whole")
+    # The join makes many rows of few bytes, so its parts must not be put together by their size before it.
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = cells_in_frames(celled, poses, margin, max_depth).drop("whole").repartition(parts, *CELL)
     return projected(celled.join(near, list(CELL)), points.columns).where(in_frame(margin, max_depth))
 
 

@@ -120,7 +120,7 @@ def lift_debug(points: DataFrame, images: DataFrame, cameras: DataFrame, labels:
     turned = boxes.select(*B.BOX, "class_id", "points", "cx", "cy", "cz", *[x.alias(f"r{k}") for k, x in enumerate(axes)], *[F.col(f"half_{a}").alias(n) for a, n in zip("fru", ("hx", "hy", "hz"), strict=True)])
     corner = G.obb_corner([F.col(c) for c in ("cx", "cy", "cz")], [F.col(f"r{k}") for k in range(9)], [F.col(c) for c in ("hx", "hy", "hz")], F.col("_k"))
     corners = turned.select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("_k")).select(*B.BOX, "class_id", "points", *[c.alias(n) for c, n in zip(corner, "xyz", strict=True)])
-    placed = C.projected(corners.join(poses.select("scene_id", *C.TERMS), ["scene_id", "image_id"]), ["scene_id", "ordinal", "class_id", "points"])
+    placed = C.projected(corners.join(C.turned(poses), ["scene_id", "image_id"]), ["scene_id", "ordinal", "class_id", "points"])
     spans = placed.groupBy(*B.BOX, "class_id", "points", "width", "height").agg(F.bool_or(F.col("depth") <= 1e-4).alias("_behind"), *[f(c).alias(f"_{c}{n}") for c in "uv" for f, n in ((F.min, 0), (F.max, 1))])
     w, h = F.col("width"), F.col("height")
     gone = F.col("_behind") | (F.col("_u1") < 0) | (F.col("_v1") < 0) | (F.col("_u0") >= w) | (F.col("_v0") >= h)
