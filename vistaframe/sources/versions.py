@@ -58,10 +58,13 @@ class Folder:
         return f"{self.path}/{name}"
 
     def drop_old(self, keep: int = 1) -> None:
-        """Deletes all versions older than the one that counts but the `keep` newest of them. Not while others may read them."""
+        """Deletes the versions up to the one that counts, those of writers that died included, but for it and the `keep` newest others. Not while others may read them."""
         now = self.current()
+        if now is None:
+            return
+        number = lambda name: int(name.split("-")[1])
         names = sorted(s.getPath().getName() for s in self._files.listStatus(self._path(self.path)) if s.getPath().getName().startswith("version-"))
-        for name in [n for n in names if now is not None and n < now][: -keep or None]:
+        for name in [n for n in names if n != now and number(n) <= number(now)][: -keep or None]:
             self._files.delete(self._path(f"{self.path}/{name}"), True)
 
 
