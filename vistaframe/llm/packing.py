@@ -1,4 +1,4 @@
-"""Best-fit packing of token sequences, bulk-synchronous.
+"""Best-fit packing of token sequences by sweeps over counts, in place of sweeps over range-sorted pieces.
 
 Pieces and gaps are integers up to the capacity, so the order that a sweep runs through is held as counts: how many pieces
 have each length, how many open sequences each gap. Going down the lengths, each step gives all pieces of one length to
