@@ -75,7 +75,7 @@ def pending_params(spark, d):
 def upsert_trials(spark, d):
     """Later trials replace earlier ones of the same parameters and keep their place."""
     trials = view(spark, d, "trials").where("quality_score IS NOT NULL").select("ordinal", "kind", "outlier_std", "quality_score")
-    half = trials.agg(F.max("ordinal")).first()[0] // 2
+    half = (trials.agg(F.max("ordinal")).first()[0] or 0) // 2
     return Q.upsert(trials.where(F.col("ordinal") <= half), trials.where(F.col("ordinal") > half), ["kind", "outlier_std"], "ordinal")
 
 
