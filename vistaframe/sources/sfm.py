@@ -5,14 +5,10 @@ A scene is the folder its file lies in. Files are read as splittable text; nothi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistaframe.sources.tables import ship
+from vistaframe.sources.ply import read_ply, write_ply
 from vistaframe.sources.versions import Folder, replace_json
 
 NUMBER = r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
@@ -89,31 +85,8 @@ def read_camera_frames(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ply_points(spark: SparkSession, path: str, pattern: str = "*.ply") -> DataFrame:
-    """scene_id, point_id, x, y, z of PLY files, ASCII or little-endian with float x, y, z first; one file is one task's work."""
-    ship(spark)
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sizes = {"float": "<f4", "float32": "<f4", "double": "<f8", "uchar": "u1", "uint8": "u1", "int": "<i4", "short": "<i2"}
-        for batch in batches:
-            for scene, content in zip(batch["scene_id"], batch["content"], strict=True):
-                head, _, body = bytes(content).partition(b"end_header\n")
-                words = [line.split() for line in head.decode("ascii").splitlines()]
-                n = next(int(w[2]) for w in words if w[:2] == ["element", "vertex"])
-                first = next(k for k, w in enumerate(words) if w[:2] == ["element", "vertex"])
-                fields = []
-                for w in words[first + 1 :]:
-                    if w[0] != "property":
-                        break
-                    fields.append((w[2], sizes[w[1]]))
-                if ["format", "ascii", "1.0"] in words:
-                    xyz = np.array([line.split()[:3] for line in body.decode("ascii").splitlines()[:n]], np.float64).reshape(-1, 3)
-                else:
-                    rows = np.frombuffer(body, np.dtype(fields), n)
-                    xyz = np.stack([rows[c].astype(np.float64) for c in "xyz"], axis=1)
-                yield pd.DataFrame({"scene_id": scene, "point_id": np.arange(n), "x": xyz[:, 0], "y": xyz[:, 1], "z": xyz[:, 2]})
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    return files.select(scene_of(F.col("path")).alias("scene_id"), "content").mapInPandas(parse, "scene_id string, point_id long, x double, y double, z double")
+    """scene_id, point_id, x, y, z of PLY files, a binary file by several tasks; see ply.read_ply()."""
+    return read_ply(spark, path, ["x", "y", "z"], pattern)
 
 
 def read_labels2d(spark: SparkSession, path: str) -> DataFrame:
@@ -183,14 +156,8 @@ def label_key_from_image_name(name: Column) -> Column:
 
 
 def write_ply_points(points: DataFrame, path: str) -> None:
-    """An ASCII PLY file of float x, y, z for each scene, path/scene_id=.../part-*, points in order of id; read_ply_points() with pattern
-    "part-*" reads it. The number of points, which the header needs, is counted first."""
-    lines_of = lambda n: ["ply", "format ascii 1.0", F.concat(F.lit("element vertex "), n.cast("string")), *[f"property float {c}" for c in "xyz"], "end_header"]
-    text = F.concat_ws("\n", *[F.lit(x) if isinstance(x, str) else x for x in lines_of(F.col("_n"))])
-    head = points.groupBy("scene_id").agg(F.count(F.lit(1)).alias("_n")).select("scene_id", F.lit(None).cast("long").alias("_at"), text.alias("value"))
-    rows = points.select("scene_id", F.col("point_id").cast("long").alias("_at"), F.concat_ws(" ", *[F.col(c).cast("float").cast("string") for c in "xyz"]).alias("value"))
-    ordered = head.unionByName(rows).repartition("scene_id").sortWithinPartitions("scene_id", F.col("_at").asc_nulls_first())
-    ordered.select("scene_id", "value").write.mode("overwrite").partitionBy("scene_id").text(path)
+    """Little-endian PLY of float x, y, z under path/scene_id=.../part-*.ply, points in order of id; see ply.write_ply()."""
+    write_ply(points, path)
 
 
 GAUSSIAN = ("x", "y", "z", "opacity", "sx", "sy", "sz", "qw", "qx", "qy", "qz")
@@ -210,6 +177,20 @@ def read_gaussians(spark: SparkSession, path: str, width: int | None = None) ->
     return one.select("scene_id", F.col("gaussian_id").cast("long").alias("gaussian_id"), *terms, F.slice("sh_coeffs", F.col("gaussian_id") * F.col("_width") + 1, F.col("_width")).alias("sh"))
 
 
+def read_gaussian_ply(spark: SparkSession, path: str, rest: int = 0, pattern: str = "*.ply") -> DataFrame:
+    """scene_id, gaussian_id, GAUSSIAN and sh of PLY exports of trained clouds, which many tasks read.
+
+    Such files hold opacities before the logistic function, logarithms of scales, and coefficients f_dc_0..2 and f_rest_0.., of
+    which rest are read. Orientations are normalised; one of length zero stays zero.
+    """
+    scales, turns = [f"scale_{k}" for k in range(3)], [f"rot_{k}" for k in range(4)]
+    coefficients = [*[f"f_dc_{k}" for k in range(3)], *[f"f_rest_{k}" for k in range(rest)]]
+    rows = read_ply(spark, path, ["x", "y", "z", "opacity", *scales, *turns, *coefficients], pattern)
+    length = F.sqrt(sum(F.col(c) * F.col(c) for c in turns))
+    found = [*[F.col(c) for c in "xyz"], 1 / (1 + F.exp(-F.col("opacity"))), *[F.exp(c) for c in scales], *[F.col(c) / F.when(length > 0, length).otherwise(1.0) for c in turns]]
+    return rows.select("scene_id", F.col("point_id").alias("gaussian_id"), *[x.alias(c) for x, c in zip(found, GAUSSIAN, strict=True)], F.array(*coefficients).alias("sh"))
+
+
 OBJECT = ("class_id", "lo_x", "lo_y", "lo_z", "hi_x", "hi_y", "hi_z")
 
 
