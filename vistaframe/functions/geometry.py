@@ -6,7 +6,7 @@ doubles in row order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add, and_
 
@@ -312,3 +312,66 @@ def obb_corner(centre: Vector, r: Vector, half: Vector, k: Column) -> list[Colum
     """Corner k (0 to 7, its bits choose the side on each axis) of a box turned by r."""
     ends = [F.when(k.bitwiseAND(1 << axis) == 0, -half[axis]).otherwise(half[axis]) for axis in range(3)]
     return [a + b for a, b in zip(centre, rotate(r, ends), strict=True)]
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Sweeps of rotations after which a 3x3 matrix is diagonal in double precision.
+SWEEPS = 8
+
+
+def eigh3(matrix: Sequence[Column]) -> Column:
+    """Eigenvalues and eigenvectors of a symmetric 3x3 matrix, given as xx, yy, zz, xy, xz, yz: an array of three structs (value, vector),
+    ascending. Vectors have length 1 and their component of largest magnitude is positive. Null where an entry is null.
+
+    Jacobi's method: each sweep turns the planes xy, xz and yz so that their entry vanishes; a fixed number of sweeps.
+    """
+    off = {(0, 1): 3, (0, 2): 4, (1, 2): 5}
+
+    def turn(p: int, q: int) -> Callable[[Column], Column]:
+        r = 3 - p - q
+
+        def entry(state: Column, i: int, j: int) -> Column:
+            return F.get(state, F.lit(i if i == j else off[min(i, j), max(i, j)]))
+
+        def vector(state: Column, k: int, c: int) -> Column:
+            return F.get(state, F.lit(6 + 3 * k + c))
+
+        def turned(state: Column) -> Column:
+            apq = entry(state, p, q)
+            theta = (entry(state, q, q) - entry(state, p, p)) / (2 * F.when(apq != 0, apq).otherwise(1.0))
+            tangent = F.when(apq == 0, 0.0).otherwise(F.when(theta < 0, -1.0).otherwise(1.0) / (F.abs(theta) + F.sqrt(theta * theta + 1)))
+            return let(tangent, lambda t: let(1 / F.sqrt(t * t + 1), lambda c: moved(state, t, c, t * c)))
+
+        def moved(state: Column, t: Column, c: Column, s: Column) -> Column:
+            apq = entry(state, p, q)
+            new = {p: entry(state, p, p) - t * apq, q: entry(state, q, q) + t * apq, r: entry(state, r, r), off[p, q]: F.lit(0.0)}
+            new[off[min(p, r), max(p, r)]] = c * entry(state, p, r) - s * entry(state, q, r)
+            new[off[min(q, r), max(q, r)]] = s * entry(state, p, r) + c * entry(state, q, r)
+            for k in range(3):
+                new[6 + 3 * p + k] = c * vector(state, p, k) - s * vector(state, q, k)
+                new[6 + 3 * q + k] = s * vector(state, p, k) + c * vector(state, q, k)
+                new[6 + 3 * r + k] = vector(state, r, k)
+            return F.array(*[new[k] for k in range(15)])
+
+        return turned
+
+    def sweep(state: Column, _: Column) -> Column:
+        for p, q in off:
+            state = let(state, turn(p, q))
+        return state
+
+    def signed(state: Column, k: int) -> Column:
+        axis = [F.get(state, F.lit(6 + 3 * k + c)) for c in range(3)]
+        most = F.greatest(*[F.abs(x) for x in axis])
+        sign = F.when(F.coalesce(*[F.when(F.abs(x) == most, x) for x in axis]) < 0, -1.0).otherwise(1.0)
+        return F.struct(F.get(state, F.lit(k)).alias("value"), F.array(*[x * sign for x in axis]).alias("vector"))
+
+    start = F.array(*[m.cast("double") for m in matrix], *[F.lit(float(k % 4 == 0)) for k in range(9)])
+    solved = F.aggregate(F.sequence(F.lit(1), F.lit(SWEEPS)), start, sweep)
+    found = let(solved, lambda state: F.array_sort(F.array(*[signed(state, k) for k in range(3)])))
+    known = reduce(and_, [m.isNotNull() for m in matrix])
+    return F.when(known, found)

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vistaframe.functions.geometry import clip, cross, dot, norm, rotation_to_up
+from vistaframe.functions.geometry import clip, cross, dot, eigh3, norm, rotation_to_up
 from vistaframe.operators.quantiles import quantiles
 from vistaframe.sources.tables import written
 
@@ -21,12 +17,13 @@ ROUNDS = 16
 LEAST_INLIERS = 16
 
 
-def _drawn(points: DataFrame, order: Column, n: int) -> DataFrame:
-    """n points of each scene, the first by a hash: kept by threshold first, so that no scene is sorted whole."""
+def _drawn(points: DataFrame, draw: int, n: int) -> DataFrame:
+    """n points of each scene, the first by 60 bits of a hash of draw and id: kept by threshold first, so that no scene is sorted whole."""
     sizes = points.groupBy("scene_id").agg(F.count(F.lit(1)).alias("_n"))
+    order = F.conv(F.substring(F.md5(F.concat(F.lit(f"{draw}:"), F.col("point_id").cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
     hashed = points.join(F.broadcast(sizes), "scene_id").withColumn("_h", order)
     # About twice as many as asked for pass the threshold.
-    few = hashed.where((F.col("_n") <= 4 * n) | (F.abs("_h") / 9.223372036854775807e18 <= 2.0 * n / F.col("_n")))
+    few = hashed.where((F.col("_n") <= 4 * n) | (F.col("_h") / float(1 << 60) <= 2.0 * n / F.col("_n")))
     return few.withColumn("_at", F.row_number().over(Window.partitionBy("scene_id").orderBy("_h", "point_id"))).where(F.col("_at") <= n)
 
 
@@ -46,7 +43,7 @@ def fit_floor(points: DataFrame, ups: DataFrame, hypotheses: int = HYPOTHESES, n
     lows = low.groupBy("scene_id").agg(F.count_if("_low").alias("_lows"))
     candidates = low.join(F.broadcast(lows), "scene_id").where(F.col("_low") | (F.col("_lows") < 16)).select("scene_id", "point_id", "x", "y", "z", *[f"up_{c}" for c in "xyz"])
     corner = lambda k: F.struct("x", "y", "z").alias(f"p{k}")
-    draw = lambda k: _drawn(candidates, F.xxhash64(F.lit(seed * 3 + k), "point_id"), hypotheses)
+    draw = lambda k: _drawn(candidates, seed * 3 + k, hypotheses)
     triples = draw(0).select("scene_id", "_at", corner(0), *[f"up_{c}" for c in "xyz"])
     for k in (1, 2):
         triples = triples.join(draw(k).select("scene_id", "_at", corner(k)), ["scene_id", "_at"])
@@ -90,14 +87,10 @@ def _refined(points: DataFrame, planes: DataFrame, near: float, level: float) ->
     pairs = ["xx", "xy", "xz", "yy", "yz", "zz"]
     sums = unit.groupBy("scene_id", "_n").agg(*[F.sum(exact(F.col(c))).cast("double").alias(f"s{c}") for c in "xyz"], *[F.sum(exact(F.col(p[0]) * F.col(p[1]))).cast("double").alias(f"s{p}") for p in pairs])
 
-    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            mean = rows[["sx", "sy", "sz"]].to_numpy(float) / rows[["_n"]].to_numpy(float)
-            square = rows[["sxx", "sxy", "sxz", "sxy", "syy", "syz", "sxz", "syz", "szz"]].to_numpy(float).reshape(-1, 3, 3) / rows["_n"].to_numpy(float)[:, None, None]
-            found = np.linalg.eigh(square - mean[:, :, None] * mean[:, None, :])[1][:, :, 0]
-            yield pd.DataFrame({"scene_id": rows["scene_id"], "rx": found[:, 0], "ry": found[:, 1], "rz": found[:, 2]})
-
-    turned = sums.mapInPandas(least, "scene_id string, rx double, ry double, rz double")
+    mean = {c: F.col(f"s{c}") / F.col("_n") for c in "xyz"}
+    spread = [F.col(f"s{p}") / F.col("_n") - mean[p[0]] * mean[p[1]] for p in ("xx", "yy", "zz", "xy", "xz", "yz")]
+    axis = sums.select("scene_id", F.get(eigh3(spread), F.lit(0)).getField("vector").alias("_v"))
+    turned = axis.select("scene_id", *[F.get("_v", F.lit(k)).alias(f"r{c}") for k, c in enumerate("xyz")])
     ups = points.groupBy("scene_id").agg(*[F.first(f"up_{c}").alias(f"up_{c}") for c in "xyz"])
     slope = dot([F.col(f"r{c}") for c in "xyz"], [F.col(f"up_{c}") for c in "xyz"])
     turned = turned.join(F.broadcast(ups), "scene_id").withColumn("_slope", slope).where(F.abs("_slope") >= level)

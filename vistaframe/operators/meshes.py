@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vistaframe.functions.geometry import apply_transform, cross, dot, matrix_of, norm
+from vistaframe.functions.geometry import apply_transform, cross, dot, eigh3, matrix_of, norm
 from vistaframe.operators.places import with_places
-from vistaframe.sources.tables import ship
 
 CORNERS = ("a", "b", "c")
 
@@ -78,7 +73,7 @@ def mass_properties(vertices: DataFrame, faces: DataFrame, density: float) -> Da
     """(mesh_id, mass, com_x.., inertia, confidence) of each closed mesh: mass 1e-4 at least, centre of mass, principal moments of inertia
     (ascending, 1e-8 at least). An open mesh, or one without volume, has nulls and confidence 0.
 
-    Sums are over the tetrahedra of the faces about the mesh's mean, which keeps them small; Python sees one 3x3 matrix a mesh.
+    Sums are over the tetrahedra of the faces about the mesh's mean, which keeps them small.
     """
     mean = vertices.groupBy("mesh_id").agg(*[F.avg(c).alias(f"m{c}") for c in "xyz"])
     near = vertices.join(mean, "mesh_id").select("mesh_id", "vid", *[(F.col(c) - F.col(f"m{c}")).alias(c) for c in "xyz"])
@@ -100,19 +95,8 @@ def mass_properties(vertices: DataFrame, faces: DataFrame, density: float) -> Da
         F.array(*[x * sign for x in tensor]).alias("tensor"), F.when(whole.isNotNull(), 0.9).otherwise(0.0).alias("confidence"),
     ).withColumn("mass", F.when(F.col("confidence") > 0, F.col("mass")))
 
-    def principal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            moments = []
-            for t, known in zip(batch["tensor"], batch["confidence"], strict=True):
-                if known:
-                    xx, yy, zz, xy, xz, yz = t
-                    moments.append(np.maximum(np.linalg.eigvalsh([[xx, xy, xz], [xy, yy, yz], [xz, yz, zz]]), 1e-8).tolist())
-                else:
-                    moments.append(None)
-            yield batch.drop(columns="tensor").assign(inertia=moments)
-
-    ship(vertices.sparkSession)
-    return rows.mapInPandas(principal, "mesh_id string, mass double, com_x double, com_y double, com_z double, confidence double, inertia array<double>")
+    moments = F.transform(eigh3([F.get("tensor", F.lit(k)) for k in range(6)]), lambda e: F.greatest(e["value"], F.lit(1e-8)))
+    return rows.withColumn("inertia", moments).select("mesh_id", "mass", *[f"com_{k}" for k in "xyz"], "confidence", "inertia")
 
 
 def _edges(faces: DataFrame) -> DataFrame:

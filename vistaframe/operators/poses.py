@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vistaframe.functions import geometry as G
 from vistaframe.operators.quantiles import quantiles
-from vistaframe.sources.tables import ship
 
 POSE = ("qw", "qx", "qy", "qz", "px", "py", "pz")
 
@@ -62,28 +58,18 @@ def sample_novel_poses(poses: DataFrame, n: int, order: str, position_sigma: flo
 def fit_obb_pca(points: DataFrame, key: list[str], pct: float = 5.0) -> DataFrame:
     """Centre, half sides and axes of a box along each key's principal axes; along x, y, z with fewer than three points.
 
-    Covariances are aggregates about each key's mean; Python sees one 3x3 matrix a key.
+    Axes go by falling variance; the first two point along their largest component, the third completes a right-handed frame.
+    Covariances are aggregates about each key's mean, and their axes are columns (eigh3()).
     """
-    ship(points.sparkSession)
     pairs = [("x", "x"), ("y", "y"), ("z", "z"), ("x", "y"), ("x", "z"), ("y", "z")]
     sums = points.groupBy(*key).agg(F.count(F.lit(1)).alias("points"), *[F.avg(c).alias(f"m{c}") for c in "xyz"], *[F.covar_samp(a, b).alias(f"v{a}{b}") for a, b in pairs])
+    # Fewer than three points have no plane, so their box is upright: a diagonal matrix gives it.
+    upright = [F.lit(v) for v in (3.0, 2.0, 1.0, 0.0, 0.0, 0.0)]
+    spread = [F.when(F.col("points") >= 3, F.coalesce(f"v{a}{b}", F.lit(0.0))).otherwise(u) for (a, b), u in zip(pairs, upright, strict=True)]
+    solved = sums.withColumn("_e", G.eigh3(spread))
+    first, second = ([F.get(F.get("_e", F.lit(k)).getField("vector"), F.lit(c)) for c in range(3)] for k in (2, 1))
     axes = [f"a{k}{c}" for k in range(3) for c in "xyz"]
-    columns = [*key, "points", "mx", "my", "mz"]
-
-    def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            m = np.zeros((len(b), 3, 3))
-            for i, p in enumerate("xyz"):
-                for j, q in enumerate("xyz"):
-                    m[:, i, j] = b[f"v{min(p, q)}{max(p, q)}"].fillna(0.0)
-            values, vectors = np.linalg.eigh(m)
-            vectors = vectors[:, :, ::-1].transpose(0, 2, 1).copy()
-            vectors[:, 2] *= np.sign(np.linalg.det(vectors))[:, None]
-            vectors[b["points"].to_numpy() < 3] = np.eye(3)
-            yield pd.concat([b[columns].reset_index(drop=True), pd.DataFrame(vectors.reshape(len(b), 9), columns=axes)], axis=1)
-
-    kinds = dict(sums.dtypes)
-    turned = sums.mapInPandas(turn, ", ".join([f"{c} {kinds[c]}" for c in columns] + [f"{a} double" for a in axes]))
+    turned = solved.select(*key, "points", "mx", "my", "mz", *[v.alias(a) for v, a in zip([*first, *second, *G.cross(first, second)], axes, strict=True)])
     part = lambda k: sum((F.col(c) - F.col(f"m{c}")) * F.col(f"a{k}{c}") for c in "xyz")
     local = points.join(turned, key).select(*key, *[part(k).alias(f"l{k}") for k in range(3)])
     spans = quantiles(local, key, {f"l{k}": [pct / 100, 1 - pct / 100] for k in range(3)}).select(*key, *[F.col(f"l{k}").alias(f"p{k}") for k in range(3)])

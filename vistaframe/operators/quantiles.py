@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vistaframe.functions.geometry import let
 from vistaframe.sources.tables import Scratch, written
 
 #: Values of a key that one buffer may hold.
@@ -15,11 +14,6 @@ LIGHT = 1 << 16
 CUTS, ACCURACY = 32, 1024
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once, however often body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def at_share(ordered: Column, share: float) -> Column:
     """The quantile of an array in order, between two values linearly; null of an empty one."""
     place = (F.size(ordered) - 1) * F.lit(share)

@@ -9,7 +9,7 @@ from vistaframe.operators import boxes as B
 from vistaframe.operators import cameras as C
 from vistaframe.operators import frames as W
 from vistaframe.operators import lift as L
-from vistaframe.plans.helpers import Registry, rounded
+from vistaframe.plans.helpers import Registry, axis, rounded, solved
 from vistaframe.sources.fixtures import view
 from vistaframe.sources.tables import written
 
@@ -109,12 +109,59 @@ def merge_objects(spark, d):
     return rows.select("scene_id", "class_id", (F.col("image_id") * 100_000 + F.col("ordinal")).alias("ordinal"), F.col("object").alias("merged")).distinct()
 
 
-@R.query()
+def floors(ups: str) -> str:
+    """CTEs of the oracle: planes fl (scene_id, nx, ny, nz, off, inliers, ratio) of the points, with ups as (scene_id, ux, uy, uz)."""
+    steps = [
+        f"fu AS ({ups})",
+        "fp AS (SELECT scene_id, point_id, x, y, z, ux, uy, uz, x*ux+y*uy+z*uz AS h FROM points JOIN fu USING (scene_id))",
+        "fc AS (SELECT scene_id, quantile_cont(h, 0.2) AS cut, count(*) AS every FROM fp GROUP BY 1 HAVING count(*) >= 32)",
+        "fk AS (SELECT *, count(*) FILTER (h <= cut) OVER (PARTITION BY scene_id) AS lows FROM fp JOIN fc USING (scene_id))",
+        "fd AS (SELECT scene_id, k, x, y, z, ux, uy, uz, row_number() OVER (PARTITION BY scene_id, k ORDER BY CAST('0x' || substr(md5(concat(k, ':', point_id)), 1, 15) AS BIGINT), point_id) AS place FROM fk, range(3) r(k) WHERE h <= cut OR lows < 16)",
+        "ft AS (SELECT a.*, b.x-a.x AS bx, b.y-a.y AS by_, b.z-a.z AS bz, c.x-a.x AS cx, c.y-a.y AS cy, c.z-a.z AS cz FROM fd a JOIN fd b USING (scene_id, place) JOIN fd c USING (scene_id, place) WHERE a.k = 0 AND b.k = 1 AND c.k = 2 AND place <= 800)",
+        "fn AS (SELECT *, by_*cz-bz*cy AS px, bz*cx-bx*cz AS py, bx*cy-by_*cx AS pz FROM ft)",
+        "fl0 AS (SELECT *, (px*ux+py*uy+pz*uz)/sqrt(px*px+py*py+pz*pz) AS slope FROM fn WHERE sqrt(px*px+py*py+pz*pz) > 1e-12)",
+        "fl1 AS (SELECT scene_id, place, x, y, z, bx, by_, bz, cx, cy, cz, px/sqrt(px*px+py*py+pz*pz)*sign(slope) AS nx, py/sqrt(px*px+py*py+pz*pz)*sign(slope) AS ny, pz/sqrt(px*px+py*py+pz*pz)*sign(slope) AS nz FROM fl0 WHERE abs(slope) >= 0.75)",
+        "fl2 AS (SELECT scene_id, place, nx, ny, nz, list_sort([nx*x+ny*y+nz*z, nx*(x+bx)+ny*(y+by_)+nz*(z+bz), nx*(x+cx)+ny*(y+cy)+nz*(z+cz)])[2] AS off FROM fl1)",
+        "fl3 AS (SELECT l.scene_id, place, any_value(nx) AS nx, any_value(ny) AS ny, any_value(nz) AS nz, any_value(off) AS off, count(*) AS inliers FROM fl2 l JOIN fp p ON p.scene_id = l.scene_id AND abs(p.x*nx+p.y*ny+p.z*nz-off) < 0.04 GROUP BY ALL)",
+        "fw AS (SELECT * FROM fl3 QUALIFY row_number() OVER (PARTITION BY scene_id ORDER BY inliers DESC, off, place) = 1)",
+        "fi AS (SELECT p.scene_id, p.x, p.y, p.z, ux, uy, uz FROM fp p JOIN fw w ON p.scene_id = w.scene_id AND abs(p.x*nx+p.y*ny+p.z*nz-off) < 0.04)",
+        "fv AS (SELECT scene_id, var_pop(x) AS a, var_pop(y) AS b, var_pop(z) AS c, covar_pop(x, y) AS d, covar_pop(x, z) AS e, covar_pop(y, z) AS f, any_value(ux) AS ux, any_value(uy) AS uy, any_value(uz) AS uz FROM fi GROUP BY 1 HAVING count(*) >= 16)",
+        f"fe AS ({solved('fv', 'scene_id, a, b, c, d, e, f, ux, uy, uz')})",
+        f"fx AS (SELECT scene_id, ux, uy, uz, {axis('e0', 'v')} FROM fe)",
+        "fs AS (SELECT scene_id, v[1]*sign(v[1]*ux+v[2]*uy+v[3]*uz) AS nx, v[2]*sign(v[1]*ux+v[2]*uy+v[3]*uz) AS ny, v[3]*sign(v[1]*ux+v[2]*uy+v[3]*uz) AS nz FROM fx WHERE abs(v[1]*ux+v[2]*uy+v[3]*uz) >= 0.75)",
+        "fm AS (SELECT s.scene_id, nx, ny, nz, median(x*nx+y*ny+z*nz) AS off FROM fs s JOIN fi i ON i.scene_id = s.scene_id GROUP BY ALL)",
+        "fr AS (SELECT m.scene_id, nx, ny, nz, off, count(p.point_id) AS inliers FROM fm m LEFT JOIN fp p ON p.scene_id = m.scene_id AND abs(p.x*nx+p.y*ny+p.z*nz-off) < 0.04 GROUP BY ALL)",
+        "fl AS (SELECT scene_id, nx, ny, nz, off, inliers, inliers / every AS ratio FROM (SELECT * FROM fr UNION ALL SELECT scene_id, nx, ny, nz, off, inliers FROM fw WHERE scene_id NOT IN (SELECT scene_id FROM fr)) JOIN fc USING (scene_id))",
+    ]
+    return ", ".join(steps)
+
+
+@R.query("WITH " + floors("SELECT DISTINCT scene_id, 0e0 AS ux, 0e0 AS uy, 1e0 AS uz FROM points") + ' SELECT scene_id, round(nx, 6) + 0e0 AS nx, round(ny, 6) + 0e0 AS ny, round(nz, 6) AS nz, round(off, 6) + 0e0 AS "offset", inliers, round(ratio, 6) AS ratio FROM fl', "points")
 def fit_floor(spark, d):
     ups = view(spark, d, "points").select("scene_id").distinct().select("scene_id", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(1.0).alias("z"))
     return rounded(W.fit_floor(view(spark, d, "points"), ups))
 
 
+PCA = f"""g AS (SELECT scene_id, point_id // 21 AS box, x, y, z FROM points WHERE point_id % 21 <= (point_id // 21) % 21),
+s AS (SELECT scene_id, box, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, CASE WHEN count(*) >= 3 THEN covar_samp(x, x) ELSE 3 END AS a, CASE WHEN count(*) >= 3 THEN covar_samp(y, y) ELSE 2 END AS b, CASE WHEN count(*) >= 3 THEN covar_samp(z, z) ELSE 1 END AS c,
+  CASE WHEN count(*) >= 3 THEN covar_samp(x, y) ELSE 0 END AS d, CASE WHEN count(*) >= 3 THEN covar_samp(x, z) ELSE 0 END AS e, CASE WHEN count(*) >= 3 THEN covar_samp(y, z) ELSE 0 END AS f FROM g GROUP BY ALL),
+ev AS ({solved("s", "scene_id, box, n, mx, my, mz, a, b, c, d, e, f")}),
+ax AS (SELECT scene_id, box, n, mx, my, mz, {axis("e2", "p")}, {axis("e1", "q")} FROM ev),
+fr AS (SELECT *, [p[2]*q[3]-p[3]*q[2], p[3]*q[1]-p[1]*q[3], p[1]*q[2]-p[2]*q[1]] AS r FROM ax),
+lo AS (SELECT scene_id, box, any_value(n) AS n, any_value([mx, my, mz]) AS m, any_value(p) AS p, any_value(q) AS q, any_value(r) AS r,
+  {", ".join(f"quantile_cont((x-mx)*{v}[1]+(y-my)*{v}[2]+(z-mz)*{v}[3], {share}) AS {v}{side}" for v in "pqr" for side, share in (("l", 0.05), ("h", 0.95)))} FROM g JOIN fr USING (scene_id, box) GROUP BY ALL)"""
+
+
+@R.query(f"""WITH {PCA} SELECT scene_id, box, n AS points, {", ".join(f"round(m[{k}] + (pl+ph)/2*p[{k}] + (ql+qh)/2*q[{k}] + (rl+rh)/2*r[{k}], 6) + 0e0 AS c{c}" for k, c in enumerate("xyz", 1))},
+{", ".join(f"round(greatest(({v}h-{v}l)/2, 1e-3), 6) AS half{k}" for k, v in enumerate("pqr"))}, {", ".join(f"round({v}[{i}], 6) + 0e0 AS a{k}{c}" for k, v in enumerate("pqr") for i, c in enumerate("xyz", 1))} FROM lo""", "points")
+def fit_obb_pca(spark, d):
+    """A box for the first points of each vector: from one to all 21 of them."""
+    from vistaframe.operators.poses import fit_obb_pca as fitted
+
+    points = view(spark, d, "points").withColumn("box", F.floor(F.col("point_id") / 21)).where("point_id % 21 <= box % 21")
+    return rounded(fitted(points, ["scene_id", "box"]))
+
+
 PLANES = "SELECT DISTINCT scene_id, 0e0 AS nx, 0.6e0 AS ny, 0.8e0 AS nz, -0.5e0 AS \"offset\" FROM points"
 
 

@@ -8,7 +8,7 @@ from vistaframe.operators import masks as K
 from vistaframe.operators import meshes as H
 from vistaframe.operators import tracks as T
 from vistaframe.operators.cameras import poses_with_cameras, visible_projections
-from vistaframe.plans.helpers import Registry, rounded
+from vistaframe.plans.helpers import Registry, rounded, solved
 from vistaframe.sources.fixtures import view
 
 R = Registry()
@@ -213,3 +213,21 @@ def classify_components(spark, d):
     vertices, faces = H.mesh_clean(*_mesh(spark, d))
     located = H.face_normals(H.with_corners(vertices, face_components(faces)))
     return classified(located).select(F.col("mesh_id").alias("scene_id"), "component", "kind", F.round("area", 3).alias("area"))
+
+
+BODIES = f"""t AS (SELECT point_id // 21 * 5 + point_id % 21 // 4 AS mesh_id, {", ".join(f"max(CASE WHEN point_id % 21 % 4 = {k} THEN {c} END) AS {c}{k}" for k in range(4) for c in "xyz")} FROM points WHERE point_id % 21 < 20 GROUP BY 1),
+v AS (SELECT *, abs((x1-x0)*((y2-y0)*(z3-z0)-(z2-z0)*(y3-y0)) + (y1-y0)*((z2-z0)*(x3-x0)-(x2-x0)*(z3-z0)) + (z1-z0)*((x2-x0)*(y3-y0)-(y2-y0)*(x3-x0)))/6 AS vol, {", ".join(f"({c}0+{c}1+{c}2+{c}3)/4 AS m{c}" for c in "xyz")} FROM t),
+w AS (SELECT mesh_id, vol, mx, my, mz, {", ".join(f"10*vol/20*({'+'.join(f'({i}{k}-m{i})*({j}{k}-m{j})' for k in range(4))}) AS {n}" for n, i, j in zip("abcdef", "xyzxxy", "xyzyzz", strict=True))} FROM v),
+ev AS ({solved("w", "mesh_id, vol, mx, my, mz, a+b+c AS tr")})"""
+
+
+@R.query(f"WITH {BODIES}, o AS (SELECT *, mesh_id % 10 <> 0 AND vol > 1e-12 AS whole FROM ev) SELECT mesh_id, round(CASE WHEN whole THEN greatest(10*vol, 1e-4) END, 6) AS mass, {', '.join(f'round(CASE WHEN whole THEN m{c} END, 6) + 0e0 AS com_{c}' for c in 'xyz')}, {', '.join(f'round(CASE WHEN whole THEN greatest(tr-e{2 - k}, 1e-8) END, 6) AS i{k}' for k in range(3))}, CASE WHEN whole THEN 0.9e0 ELSE 0e0 END AS confidence FROM o", "points")
+def mass_properties(spark, d):
+    """Bodies of four points each; every tenth lacks a face."""
+    points = view(spark, d, "points").where("point_id % 21 < 20").withColumn("mesh_id", F.floor(F.col("point_id") / 21) * 5 + F.floor(F.col("point_id") % 21 / 4))
+    vertices = points.select("mesh_id", F.col("point_id").alias("vid"), *"xyz")
+    corners = F.array(*[F.struct(*[(F.col("vid") + F.lit(k)).alias(c) for k, c in zip(face, "abc", strict=True)]) for face in ((0, 1, 2), (0, 3, 1), (1, 3, 2), (0, 2, 3))])
+    sides = vertices.where("vid % 21 % 4 = 0").select("mesh_id", F.posexplode(corners).alias("side", "f")).where("side < 3 OR mesh_id % 10 <> 0")
+    faces = sides.select("mesh_id", (F.col("mesh_id") * 4 + F.col("side")).alias("fid"), "f.*")
+    found = H.mass_properties(vertices, faces, 10.0)
+    return rounded(found.select("mesh_id", "mass", "com_x", "com_y", "com_z", *[F.get("inertia", F.lit(k)).alias(f"i{k}") for k in range(3)], "confidence"))

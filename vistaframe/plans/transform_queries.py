@@ -8,6 +8,7 @@ from vistaframe.functions import geometry as G
 from vistaframe.operators import cameras as C
 from vistaframe.operators import frames as W
 from vistaframe.operators import transforms as T
+from vistaframe.plans.box_queries import floors
 from vistaframe.plans.camera_queries import PROJECTED, ROT, M
 from vistaframe.plans.helpers import Registry, rounded
 from vistaframe.sources.fixtures import view
@@ -180,7 +181,15 @@ def floor_gate(spark, d):
     return rounded(W.floor_gate(s, 0.4, 0.02).select("scene_id", "below", "problem"))
 
 
-@R.query()
+UPS = "SELECT scene_id, " + ", ".join(f"CASE WHEN l > 1e-9 THEN {c}/l ELSE {int(c == 'z')} END AS u{c}" for c in "xyz") + f" FROM (SELECT *, sqrt(x*x+y*y+z*z) AS l FROM (SELECT scene_id, avg(-r3) AS x, avg(-r4) AS y, avg(-r5) AS z FROM (SELECT *, {ROT} FROM images) GROUP BY 1))"
+ROT_UP = "[1-nx*nx/(1+nz), -nx*ny/(1+nz), -nx, -nx*ny/(1+nz), 1-ny*ny/(1+nz), -ny, nx, ny, nz]"
+ALIGNED = f"""{floors(UPS)}, rt AS (SELECT *, {ROT_UP} AS turn FROM fl),
+mid AS (SELECT scene_id, median(turn[1]*x+turn[2]*y+turn[3]*z) AS tx, median(turn[4]*x+turn[5]*y+turn[6]*z) AS ty, avg(CASE WHEN nx*x+ny*y+nz*z-off < -0.04 THEN 1e0 ELSE 0e0 END) AS below FROM points JOIN rt USING (scene_id) GROUP BY 1),
+ab AS (SELECT scene_id, avg(CASE WHEN -nx*(r0*tx+r3*ty+r6*tz)-ny*(r1*tx+r4*ty+r7*tz)-nz*(r2*tx+r5*ty+r8*tz)-off > 0 THEN 1e0 ELSE 0e0 END) AS above FROM (SELECT *, {ROT} FROM images) JOIN fl USING (scene_id) GROUP BY 1)"""
+MATRIX = ", ".join(f"round({f'turn[{3 * (k // 4) + k % 4 + 1}]' if k % 4 < 3 else ('-tx', '-ty', '-off')[k // 4]}, 6) + 0e0 AS m{k}" for k in range(12))
+
+
+@R.query(f"WITH {ALIGNED} SELECT scene_id, {MATRIX}, round(least(1.5*ratio, 1), 6) AS confidence, round(below, 6) AS below, round(coalesce(above, 1), 6) AS cameras_above, round(ratio, 6) AS ratio, CASE WHEN below > 1 THEN 'below' WHEN ratio < 0 THEN 'ratio' WHEN coalesce(above, 1) < 0.9 THEN 'cameras' END AS problem FROM rt JOIN mid USING (scene_id) LEFT JOIN ab USING (scene_id)", "points", "images")
 def align_scene(spark, d):
     found = W.align_scene(view(spark, d, "points"), view(spark, d, "images"), strict=False)
     return rounded(found.select("scene_id", *[F.element_at("matrix", k + 1).alias(f"m{k}") for k in range(12)], "confidence", "below", "cameras_above", "ratio", "problem"))
