@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("camera_queries", "cloud_queries", "quality_queries", "dataset_queries", "scene_queries", "box_queries", "review_queries", "transform_queries", "lift_queries", "name_queries")
+MODULES = ("camera_queries", "cloud_queries", "quality_queries", "dataset_queries", "scene_queries", "box_queries", "review_queries", "transform_queries", "lift_queries", "name_queries", "image_queries")
 
 
 def registries() -> list:
