@@ -99,18 +99,6 @@ def write_camera_path(poses: DataFrame, path: str, fps: int = 24) -> None:
     replace_json(whole, path, "scene_id")
 
 
-def write_detection_dataset(rows: DataFrame, classes: list[str], path: str) -> None:
-    """Label text by split and label_key, and one descriptor of classes; each split is replaced. rows: split, label_key, ordinal,
-    class_id (null for an image without labels), xc, yc, w, h."""
-    line = F.when(F.col("class_id").isNotNull(), F.struct("ordinal", F.format_string("%d %.6f %.6f %.6f %.6f", "class_id", "xc", "yc", "w", "h").alias("l")))
-    text = rows.groupBy("split", "label_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["l"]), "\n").alias("value"))
-    text.write.mode("overwrite").partitionBy("split", "label_key").text(f"{path}/labels")
-    spark = rows.sparkSession
-    names = ", ".join(classes)
-    lines = [f"path: {path}", "train: images/train", "val: images/val", f"nc: {len(classes)}", f"names: [{names}]"]
-    spark.range(1).select(F.lit("\n".join(lines)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/data")
-
-
 def write_trials(trials: DataFrame, path: str) -> None:
     """One JSON document of trials for each scene, in their order."""
     own = [c for c in trials.columns if c not in ("scene_id", "ordinal")]

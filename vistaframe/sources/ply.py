@@ -11,7 +11,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from urllib.parse import quote, unquote_plus
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pyarrow as pa
@@ -95,7 +95,7 @@ def split(files: list[tuple[str, int]], size: int) -> list[Ranges]:
 
 def scene_name(path: str) -> str:
     folder = path.rstrip("/").split("/")[-2:-1]
-    return unquote_plus(folder[0].removeprefix("scene_id=")) if folder else ""
+    return unquote(folder[0].removeprefix("scene_id=")) if folder else ""
 
 
 class PlyReader(DataSourceReader):

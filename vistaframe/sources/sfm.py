@@ -16,8 +16,13 @@ NUMBER = r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
 POSE_LINE = rf"^\s*\d+(\s+{NUMBER}){{7}}\s+\d+\s+(?!{NUMBER}\s*$)\S+\s*$"
 
 
+def decoded(name: Column) -> Column:
+    """A file's or folder's name from a URI; a plus sign stands for itself there."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def scene_of(path: Column) -> Column:
-    return F.url_decode(F.regexp_extract(path, r"(?:scene_id=)?([^/]+)/[^/]+$", 1))
+    return decoded(F.regexp_extract(path, r"(?:scene_id=)?([^/]+)/[^/]+$", 1))
 
 
 def lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -92,7 +97,7 @@ def read_ply_points(spark: SparkSession, path: str, pattern: str = "*.ply") -> D
 def read_labels2d(spark: SparkSession, path: str) -> DataFrame:
     """label_key, ordinal, class_id, xc, yc, w, h: the lines of five tokens of each label file."""
     text = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").text(path)
-    rows = text.select(F.regexp_extract("_metadata.file_name", r"^(.*)\.txt$", 1).alias("label_key"), F.monotonically_increasing_id().alias("ordinal"), F.split(F.trim("value"), r"\s+").alias("tokens"))
+    rows = text.select(decoded(F.regexp_extract("_metadata.file_name", r"^(.*)\.txt$", 1)).alias("label_key"), F.monotonically_increasing_id().alias("ordinal"), F.split(F.trim("value"), r"\s+").alias("tokens"))
     numbers = [F.element_at("tokens", k).try_cast("double") for k in range(1, 6)]
     return rows.where(F.size("tokens") == 5).select("label_key", "ordinal", numbers[0].cast("int").alias("class_id"), *[x.alias(c) for x, c in zip(numbers[1:], ("xc", "yc", "w", "h"), strict=True)]).where("class_id IS NOT NULL")
 
