@@ -1,9 +1,10 @@
 """What must not grow with the data: broadcasts, rows that meet, and tables on the way."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vistaframe.operators import quantiles
+from vistaframe.operators import boxes, cameras, quantiles
 
 
 def test_values_of_a_quantile_are_never_broadcast(spark):
@@ -15,3 +16,25 @@ def test_values_of_a_quantile_are_never_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.maxBroadcastTableSize")
     assert found == {0: pytest.approx([0.0, 0.24, 0.49, 0.98]), 1: pytest.approx([0.01, 0.25, 0.5, 0.99])}
+
+
+def cloud_and_boxes(spark):
+    rnd = np.random.default_rng(11)
+    points = spark.createDataFrame([(s, k, *rnd.normal(0, 1.2, 3).tolist()) for s in "ab" for k in range(3000)] + [("a", 9000, float("nan"), 0.0, 0.0)], "scene_id string, point_id long, x double, y double, z double")
+    turns = rnd.normal(0, 1, (12, 4))
+    turns /= np.linalg.norm(turns, axis=1)[:, None]
+    poses = spark.createDataFrame([("ab"[k % 2], k, *turns[k].tolist(), *rnd.normal(0, 0.5, 2).tolist(), 2.0, "PINHOLE", 640, 480, 500.0, 520.0, 320.0, 240.0) for k in range(12)], "scene_id string, image_id long, qw double, qx double, qy double, qz double, tx double, ty double, tz double, model string, width int, height int, fx double, fy double, cx double, cy double")
+    found = spark.createDataFrame([("ab"[k % 2], k, b, 100.0 * b - 20, 90.0, 100.0 * b + 180, 300.0) for k in range(12) for b in range(4)], "scene_id string, image_id long, ordinal long, x0 double, y0 double, x1 double, y1 double")
+    return points, poses, found
+
+
+def test_points_in_boxes_are_counted_and_fitted_without_rows_for_them(spark, monkeypatch):
+    """By held points, by joins, and with no table written on the way of the first."""
+    points, poses, found = cloud_and_boxes(spark)
+    joined = {tuple(r)[:3]: tuple(r)[3:] for r in boxes.box_contents(points, poses, found, inner=0.1, fit=True, margin=50.0, most=100).collect()}
+    monkeypatch.setattr(boxes, "written", lambda df: pytest.fail("a table was written"))
+    monkeypatch.setattr(cameras, "written", lambda df: pytest.fail("a table was written"))
+    held = {tuple(r)[:3]: tuple(r)[3:] for r in boxes.box_contents(points, poses, found, inner=0.1, fit=True).collect()}
+    assert set(held) == set(joined) and len(held) > 30
+    for k, row in held.items():
+        assert row[0] == joined[k][0] and row[2] == joined[k][2] and np.allclose(row, joined[k], rtol=1e-9, atol=1e-9)
