@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vistaframe.operators import boxes, cameras, quantiles
+from vistaframe.operators import boxes, cameras, masks, quantiles
 
 
 def test_values_of_a_quantile_are_never_broadcast(spark):
@@ -38,3 +38,17 @@ def test_points_in_boxes_are_counted_and_fitted_without_rows_for_them(spark, mon
     assert set(held) == set(joined) and len(held) > 30
     for k, row in held.items():
         assert row[0] == joined[k][0] and row[2] == joined[k][2] and np.allclose(row, joined[k], rtol=1e-9, atol=1e-9)
+
+
+def test_views_and_votes_make_no_row_for_a_point_in_an_image(spark, monkeypatch):
+    points, poses, _ = cloud_and_boxes(spark)
+    seen = cameras.visible_projections(points, poses, 0.0).withColumns({"frame": F.col("image_id") % 5, "u": F.col("u") / 12, "v": F.col("v") / 60, "width": F.lit(53), "height": F.lit(8)})
+    pixels = spark.createDataFrame([(s, f"i{i}", f, u, v) for s in "ab" for i in range(3) for f in range(4) for u in range(1, 52) for v in range(1, 7) if (u * v + i + f) % 3], "scene_id string, instance_id string, frame long, u long, v long")
+    votes = {tuple(r) for r in masks.mask_votes(seen, pixels).collect()}
+    views = {tuple(r) for r in cameras.visible_projections(points, poses, 7.0, 4.0).groupBy("scene_id", "point_id").count().collect()}
+    monkeypatch.setattr(cameras, "written", lambda df: pytest.fail("a table was written"))
+    rows = cameras.turned(poses).withColumns({"frame": F.col("image_id") % 5, "su": F.lit(12.0), "sv": F.lit(60.0), "width": F.lit(53), "height": F.lit(8)})
+    assert {tuple(r) for r in masks.cloud_votes(points, rows, pixels).collect()} == votes and len(votes) > 1000
+    images, terms = poses.withColumn("camera_id", F.col("image_id")).drop("model", "width", "height", "fx", "fy", "cx", "cy"), poses.withColumn("camera_id", F.col("image_id")).select("scene_id", "camera_id", "model", "width", "height", "fx", "fy", "cx", "cy")
+    counted = cameras.view_counts(points, images, terms, 7.0, 4.0)
+    assert counted.count() == points.count() and {tuple(r) for r in counted.where("views > 0").collect()} == views and len(views) > 1000

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vistaframe.operators.cameras import with_cells
+from vistaframe.operators.held import BLOCK, vote_sums
+
 PIXEL = ("scene_id", "instance_id", "frame", "u", "v")
 
 
@@ -90,6 +93,12 @@ def mask_votes(projected: DataFrame, pixels: DataFrame) -> DataFrame:
     return rows.join(pixels, ["scene_id", "frame", "u", "v"]).groupBy("scene_id", "instance_id", "point_id").agg(F.count(F.lit(1)).alias("votes"))
 
 
+def cloud_votes(points: DataFrame, poses: DataFrame, pixels: DataFrame) -> DataFrame:
+    """mask_votes() of points (scene_id, point_id, x, y, z) and poses (turned() with frame, width and height of the masks, and su and sv, the
+    image's pixels to one of a mask), without a row for a point in an image: a block of points is held and all images pass it."""
+    return vote_sums(with_cells(points.select("scene_id", "point_id", "x", "y", "z"), BLOCK), poses, pixels)
+
+
 def select_voted_points(votes: DataFrame, min_votes: int = 2) -> DataFrame:
     """Points with enough votes; where fewer than 16 of an instance have them, those with one; instances with fewer than 8 even so have none."""
     counts = votes.groupBy("scene_id", "instance_id").agg(F.count_if(F.col("votes") >= min_votes).alias("_many"), F.count(F.lit(1)).alias("_all"))

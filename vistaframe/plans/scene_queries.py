@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from vistaframe.operators import masks as K
 from vistaframe.operators import meshes as H
 from vistaframe.operators import tracks as T
-from vistaframe.operators.cameras import poses_with_cameras, visible_projections
+from vistaframe.operators.cameras import poses_with_cameras, turned
 from vistaframe.plans.helpers import Registry, rounded, solved
 from vistaframe.sources.fixtures import view
+from vistaframe.sources.tables import written
 
 R = Registry()
 
@@ -92,10 +93,10 @@ votes AS (SELECT px.scene_id, instance_id, point_id, count(*) AS votes FROM px J
 
 
 def _votes(spark, d):
-    """Points against masks on a grid of 53 by 8 pixels."""
-    projected = visible_projections(view(spark, d, "points"), poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")))
-    rows = projected.select("scene_id", "point_id", (F.col("image_id") % 20).alias("frame"), (F.col("u") / 12).alias("u"), (F.col("v") / 60).alias("v"), "depth", F.lit(53).alias("width"), F.lit(8).alias("height"))
-    return K.mask_votes(rows, view(spark, d, "mask_pixels"))
+    """Points against masks on a grid of 53 by 8 pixels. A table."""
+    poses = turned(poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")))
+    rows = poses.withColumns({"frame": F.col("image_id") % 20, "su": F.lit(12.0), "sv": F.lit(60.0), "width": F.lit(53), "height": F.lit(8)})
+    return written(K.cloud_votes(view(spark, d, "points"), rows, view(spark, d, "mask_pixels")))
 
 
 @R.query(f"WITH {VOTES} SELECT * FROM votes", "points", "images", "cameras", "mask_pixels")
