@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vistaframe.operators import boxes, cameras, masks, quantiles
+from vistaframe.operators import boxes, cameras, masks, quantiles, spatial
 
 
 def test_values_of_a_quantile_are_never_broadcast(spark):
@@ -52,3 +52,14 @@ def test_views_and_votes_make_no_row_for_a_point_in_an_image(spark, monkeypatch)
     images, terms = poses.withColumn("camera_id", F.col("image_id")).drop("model", "width", "height", "fx", "fy", "cx", "cy"), poses.withColumn("camera_id", F.col("image_id")).select("scene_id", "camera_id", "model", "width", "height", "fx", "fy", "cx", "cy")
     counted = cameras.view_counts(points, images, terms, 7.0, 4.0)
     assert counted.count() == points.count() and {tuple(r) for r in counted.where("views > 0").collect()} == views and len(views) > 1000
+
+
+def test_rows_that_meet_in_a_nearest_join_grow_with_the_rows(spark, monkeypatch):
+    """A cell as wide as the whole cloud must not make all pairs; results are those of brute force."""
+    rnd = np.random.default_rng(3)
+    a, b = rnd.uniform(0, 1, (400, 3)), rnd.uniform(0, 1, (4000, 3))
+    table = lambda x: spark.createDataFrame([("s", k, *r.tolist()) for k, r in enumerate(x)], "scene_id string, id long, x double, y double, z double")
+    widths, real = [], spatial.radius_join
+    monkeypatch.setattr(spatial, "radius_join", lambda left, right, width: widths.append(width) or real(left, right, width))
+    got = {r["a_id"]: r["b_id"] for r in spatial.nearest_join(table(a), table(b), 2.0).collect()}
+    assert widths[0] < 0.1 and got == {k: int(np.argmin(((b - p) ** 2).sum(axis=1))) for k, p in enumerate(a)}
