@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vistaframe.operators import boxes, cameras, masks, quantiles, spatial
+from vistaframe.operators import boxes, cameras, held, lift, masks, quantiles, spatial
 
 
 def test_values_of_a_quantile_are_never_broadcast(spark):
@@ -63,3 +63,30 @@ def test_rows_that_meet_in_a_nearest_join_grow_with_the_rows(spark, monkeypatch)
     monkeypatch.setattr(spatial, "radius_join", lambda left, right, width: widths.append(width) or real(left, right, width))
     got = {r["a_id"]: r["b_id"] for r in spatial.nearest_join(table(a), table(b), 2.0).collect()}
     assert widths[0] < 0.1 and got == {k: int(np.argmin(((b - p) ** 2).sum(axis=1))) for k, p in enumerate(a)}
+
+
+def test_labels_are_merged_without_rows_for_points_in_boxes(spark, monkeypatch):
+    """By held points and by rows, with a scene turned by its capture, and with no table written on the way of the first."""
+    points, poses, _ = cloud_and_boxes(spark)
+    images = poses.select("scene_id", "image_id", "qw", "qx", "qy", "qz", "tx", "ty", "tz").withColumn("camera_id", F.col("image_id"))
+    terms = poses.select("scene_id", F.col("image_id").alias("camera_id"), "model", "width", "height", "fx", "fy", "cx", "cy")
+    labels = spark.createDataFrame([("ab"[k % 2], k, b, (k + b) % 2, 0.1 + 0.2 * b, 0.45, 0.35, 0.5) for k in range(12) for b in range(5)], "scene_id string, image_id long, ordinal long, class_id int, xc double, yc double, w double, h double")
+    captures = spark.createDataFrame([("a", [0.0, -2.0, 0.0, 1.0, 2.0, 0.0, 0.0, 2.0, 0.0, 0.0, 2.0, 3.0], 0.0, 0.6, 0.8)], "scene_id string, matrix array<double>, x double, y double, z double")
+    given = (points, images, terms, labels)
+    rows = {tuple(r) for r in lift.merged_boxes(*given, distance=1.5, inner=0.1, most=100).collect()}
+    columns = ["scene_id", "class_id", "object", "points", "observations", "cx", "cy", "cz", "half_f", "half_r", "half_u", *[a + c for a in "fru" for c in "xyz"]]
+    joined = {tuple(r)[:5]: tuple(r)[5:] for r in lift.lift_scene(*given, distance=1.5, inner=0.1, captures=captures, most=100).select(columns).collect()}
+    for module in (boxes, cameras, lift):
+        monkeypatch.setattr(module, "written", lambda df: pytest.fail("a table was written"))
+    assert {tuple(r) for r in lift.merged_boxes(*given, distance=1.5, inner=0.1).collect()} == rows and len(rows) > 40
+    found = {tuple(r)[:5]: tuple(r)[5:] for r in lift.lift_scene(*given, distance=1.5, inner=0.1, captures=captures).select(columns).collect()}
+    assert set(found) == set(joined) and len(rows) > 2 * len(found)
+    assert all(np.allclose(row, joined[k], rtol=1e-9, atol=1e-9) for k, row in found.items())
+
+
+def test_weighted_shares_are_those_of_repeated_values():
+    rnd = np.random.default_rng(2)
+    for n in (1, 2, 7, 3000, 9000):
+        for values in (rnd.normal(0, 1, n), rnd.integers(0, 3, n) / 7, np.full(n, 0.3), np.append(rnd.normal(0, 1e-9, n), 1e9)):
+            counts = rnd.integers(1, 6, len(values))
+            assert held.weighted_shares(values, counts, [0.0, 0.05, 0.5, 0.95, 1.0]).tolist() == held.shares(np.repeat(values, counts), [0.0, 0.05, 0.5, 0.95, 1.0]).tolist()
