@@ -111,3 +111,18 @@ def test_tracks_leave_in_batches_and_not_by_frame(spark, monkeypatch):
         matcher = tracks.Matcher()
         want |= {k: matcher.frame(k + 1, [(0.5, (0.0, 0.0, k % 700 + 10.0, 10.0))])[0] for k in range(first, first + 1500)}
     assert found == want
+
+
+def test_neighbours_are_counted_without_pairs(spark, monkeypatch):
+    """Against brute force: dense and thin places, copies, rows on the edge of the radius, ids that stand twice, places that aren't finite."""
+    rnd = np.random.default_rng(6)
+    xyz = np.concatenate([rnd.normal(0, 0.3, (2500, 3)), rnd.normal(0, 3, (500, 3)), np.repeat(rnd.normal(0, 1, (5, 3)), 20, axis=0), np.arange(24).reshape(-1, 1) * [0.5, 0.0, 0.0] - 4.0])
+    ids = np.append(np.arange(len(xyz) - 6), np.arange(6))
+    monkeypatch.setattr(spatial, "radius_join", lambda *given: pytest.fail("pairs were made"))
+    rows = [("s", int(k), *p) for k, p in zip(ids, xyz.tolist(), strict=True)] + [("s", 9000, float("nan"), 0.0, 0.0), ("s", 9001, None, 0.0, 0.0), ("s", 9002, float("inf"), 0.0, 0.0), ("t", 9003, *xyz[0].tolist())]
+    found = spatial.neighbor_counts(spark.createDataFrame(rows, "scene_id string, id long, x double, y double, z double"), 0.5).collect()
+    near = (((xyz[:, None] - xyz) ** 2).sum(axis=2) <= 0.25) & (ids[:, None] != ids)
+    want = np.bincount(ids, weights=near.sum(axis=1), minlength=len(xyz)).astype(int)
+    assert len(found) == len(rows) and all(r["neighbors"] == (want[r["id"]] if r["id"] < 9000 else 0) for r in found) and want.max() > 500
+    cloud = held.Cloud(np.arange(len(xyz)), xyz, 4)
+    assert held.near_counts(cloud, np.ones(len(xyz), bool), 1.5).tolist() == (((xyz[cloud.ids][:, None] - xyz) ** 2).sum(axis=2) <= 2.25).sum(axis=1).tolist()
