@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from vistaframe.operators import boxes, cameras, held, lift, masks, quantiles, spatial, tracks
+from vistaframe.plans import registry
 
 
 def test_values_of_a_quantile_are_never_broadcast(spark):
@@ -126,3 +127,10 @@ def test_neighbours_are_counted_without_pairs(spark, monkeypatch):
     assert len(found) == len(rows) and all(r["neighbors"] == (want[r["id"]] if r["id"] < 9000 else 0) for r in found) and want.max() > 500
     cloud = held.Cloud(np.arange(len(xyz)), xyz, 4)
     assert held.near_counts(cloud, np.ones(len(xyz), bool), 1.5).tolist() == (((xyz[cloud.ids][:, None] - xyz) ** 2).sum(axis=2) <= 2.25).sum(axis=1).tolist()
+
+
+@pytest.mark.parametrize("name", ["project_w2c", "project_c2w"])
+def test_pairs_of_points_and_images_are_spread_over_tasks(spark, name):
+    """A cloud of one small file must not be one task: its pairs are many."""
+    sizes = registry.queries()[name](spark, "/root/testdata/sf0.01").groupBy(F.spark_partition_id()).count().select("count").collect()
+    assert len(sizes) > 50 and max(r[0] for r in sizes) < sum(r[0] for r in sizes) / 10

@@ -88,7 +88,7 @@ def c2w_to_w2c(spark, d):
 def project_w2c(spark, d):
     poses = C.poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")).where(F.col("model").isin(*G.PROJECTED))
     u, v, z = G.project_w2c(C.xyz(), C.quaternion(), C.translation(), *[F.col(c) for c in ("model", "fx", "fy", "cx", "cy")])
-    rows = view(spark, d, "points").join(poses, "scene_id").select("scene_id", "point_id", "image_id", u.alias("u"), v.alias("v"), z.alias("depth"))
+    rows = C.paired(view(spark, d, "points").select("scene_id", "point_id", "x", "y", "z"), poses).select("scene_id", "point_id", "image_id", u.alias("u"), v.alias("v"), z.alias("depth"))
     return rows.where("depth > 0.5").select("scene_id", "point_id", "image_id", F.round("u", 4).alias("u"), F.round("v", 4).alias("v"), F.round("depth", 6).alias("depth"))
 
 
