@@ -129,6 +129,31 @@ def test_neighbours_are_counted_without_pairs(spark, monkeypatch):
     assert held.near_counts(cloud, np.ones(len(xyz), bool), 1.5).tolist() == (((xyz[cloud.ids][:, None] - xyz) ** 2).sum(axis=2) <= 2.25).sum(axis=1).tolist()
 
 
+def test_pairs_in_a_radius_are_found_past_held_rows(spark, monkeypatch):
+    """Against brute force: dense and thin places, copies, distances that round to the radius, far and unreal places, no scene, blocks of many parts and batches."""
+    rnd = np.random.default_rng(8)
+    edge = np.array([[-1e-20, 9.0, 9.0], [0.5, 9.0, 9.0], [1.0, 9.0, 9.0], [3.5, 9.0, 9.0], [4e15, 0.0, 0.0], [4e15 + 0.5, 0.0, 0.0], [1e19, 0.0, 0.0], [1e19, 0.5, 0.0], [-1e150, 0.0, 0.0], [-1e150, 0.0, 0.5]])
+    xyz = np.concatenate([rnd.normal(0, 0.3, (900, 3)), rnd.normal(0, 3, (500, 3)), np.repeat(rnd.normal(0, 1, (5, 3)), 20, axis=0), np.arange(24).reshape(-1, 1) * [0.5, 0.0, 0.0] - 4.0, edge])
+    ids = np.append(np.arange(len(xyz) - 6), np.arange(6))
+    kind = "scene_id string, id {}, x double, y double, z double"
+    odd = [("s", 9000, float("nan"), 0.0, 0.0), ("s", 9001, None, 0.0, 0.0), ("s", 9002, float("inf"), 0.0, 0.0), (None, 9003, 0.0, 0.0, 0.0), ("t", 9004, *xyz[0].tolist())]
+    a = spark.createDataFrame([("s", int(k), *p) for k, p in zip(ids, xyz.tolist(), strict=True)] + odd, kind.format("long"))
+    b = spark.createDataFrame([("s", f"b{k}", *p) for k, p in enumerate(xyz.tolist())] + [(s, f"b{k}", *p) for s, k, *p in odd], kind.format("string"))
+    assert held.spread_near(a, b, 0.1).where("not _of_b").count() < 6 * len(xyz)
+    monkeypatch.setattr(held, "HELD_NEAR", 60)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        assert held.spread_near(a, b, 0.5).agg(F.max("_part")).first()[0] > 5
+        for radius in (0.5, 0.0):
+            found = sorted(tuple(r) for r in spatial.radius_join(a, b, radius).collect())
+            square = ((xyz[:, None] - xyz) ** 2).sum(axis=2)
+            left, right = np.nonzero(square <= radius * radius)
+            want = sorted([("s", int(ids[i]), f"b{j}", float(np.sqrt(square[i, j]))) for i, j in zip(left, right, strict=True)] + [("t", 9004, "b9004", 0.0)])
+            assert [r[:3] for r in found] == [r[:3] for r in want] and np.allclose([r[3] for r in found], [r[3] for r in want], rtol=1e-12)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 @pytest.mark.parametrize("name", ["project_w2c", "project_c2w"])
 def test_pairs_of_points_and_images_are_spread_over_tasks(spark, name):
     """A cloud of one small file must not be one task: its pairs are many."""
