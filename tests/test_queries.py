@@ -1,7 +1,10 @@
 """Every query with an oracle against DuckDB, and plans."""
 
+import builtins
+import dis
 import math
 import os
+from importlib import import_module
 
 import duckdb
 import pytest
@@ -56,3 +59,14 @@ def test_entry_imports_without_the_llm_part():
 
     assert set(registry.queries()) <= set(__spark_entry__.queries())
     assert os.path.basename(__spark_entry__.__file__) == "__spark_entry__.py"
+
+
+@pytest.mark.parametrize("name", registry.MODULES)
+def test_every_name_that_a_query_uses_is_there(name):
+    """A query is only built when it is asked for, so a lost import would show then."""
+    module = import_module(f"vistaframe.plans.{name}")
+    codes = [f.__code__ for f in vars(module).values() if getattr(f, "__module__", "") == module.__name__ and hasattr(f, "__code__")]
+    for code in codes:
+        codes += [c for c in code.co_consts if hasattr(c, "co_code")]
+        for step in dis.get_instructions(code):
+            assert step.opname != "LOAD_GLOBAL" or hasattr(module, step.argval) or hasattr(builtins, step.argval), step.argval
