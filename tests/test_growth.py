@@ -159,3 +159,22 @@ def test_pairs_of_points_and_images_are_spread_over_tasks(spark, name):
     """A cloud of one small file must not be one task: its pairs are many."""
     sizes = registry.queries()[name](spark, "/root/testdata/sf0.01").groupBy(F.spark_partition_id()).count().select("count").collect()
     assert len(sizes) > 50 and max(r[0] for r in sizes) < sum(r[0] for r in sizes) / 10
+
+
+def repeated_images(spark, to, times, shift=4200):
+    """Tables of sf0.001 in which images stand `times` times in the same poses, under ids that differ by shift."""
+    for name in ("embeddings", "nation", "lineitem"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{to}/{name}.parquet")
+    rows = spark.read.parquet("/root/testdata/sf0.001/supplier.parquet")
+    rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(times - 1)))).withColumn("s_suppkey", (F.col("s_suppkey") + F.col("k") * shift).cast(rows.schema["s_suppkey"].dataType)).drop("k").write.parquet(f"{to}/supplier.parquet")
+    return str(to)
+
+
+@pytest.mark.parametrize("name", ["project_w2c", "project_c2w"])
+def test_points_are_projected_once_for_equal_poses(spark, monkeypatch, tmp_path, name):
+    met, real = [], cameras.paired
+    monkeypatch.setattr(cameras, "paired", lambda points, poses: met.append(poses.count()) or real(points, poses))
+    one = [tuple(r) for r in registry.queries()[name](spark, "/root/testdata/sf0.001").collect()]
+    many = [tuple(r) for r in registry.queries()[name](spark, repeated_images(spark, tmp_path, 5)).collect()]
+    assert met[0] == met[1] > 1
+    assert sorted(many) == sorted((s, p, i + 4200 * k, *rest) for s, p, i, *rest in one for k in range(5))

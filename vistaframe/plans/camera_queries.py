@@ -84,12 +84,19 @@ def c2w_to_w2c(spark, d):
     return rounded(rows.select("scene_id", "image_id", *[out[k].alias(f"w{k}") for k in (0, 1, 2, 9, 10, 11)]))
 
 
+def seen_in_images(spark, d, poses, seen):
+    """Rows for the points with all images of alike() poses that they lie in front of, by the columns (u, v, depth); these are rounded once for all equal poses."""
+    u, v, z = seen
+    rows = C.paired(view(spark, d, "points").select("scene_id", "point_id", "x", "y", "z"), poses).select("scene_id", "point_id", "images", u.alias("u"), v.alias("v"), z.alias("depth"))
+    rows = rows.where("depth > 0.5").select("scene_id", "point_id", "images", F.round("u", 4).alias("u"), F.round("v", 4).alias("v"), F.round("depth", 6).alias("depth"))
+    return rows.select("scene_id", "point_id", F.explode("images").alias("image_id"), "u", "v", "depth")
+
+
 @R.query(f"WITH {PROJECTED} SELECT scene_id, point_id, image_id, round(u, 4) AS u, round(v, 4) AS v, round(c, 6) AS depth FROM proj WHERE model IN ('SIMPLE_PINHOLE', 'PINHOLE', 'OPENCV') AND c > 0.5", "points", "images", "cameras")
 def project_w2c(spark, d):
     poses = C.poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")).where(F.col("model").isin(*G.PROJECTED))
-    u, v, z = G.project_w2c(C.xyz(), C.quaternion(), C.translation(), *[F.col(c) for c in ("model", "fx", "fy", "cx", "cy")])
-    rows = C.paired(view(spark, d, "points").select("scene_id", "point_id", "x", "y", "z"), poses).select("scene_id", "point_id", "image_id", u.alias("u"), v.alias("v"), z.alias("depth"))
-    return rows.where("depth > 0.5").select("scene_id", "point_id", "image_id", F.round("u", 4).alias("u"), F.round("v", 4).alias("v"), F.round("depth", 6).alias("depth"))
+    poses = C.alike(poses.select("scene_id", "image_id", *C.POSE, "model", "fx", "fy", "cx", "cy"))
+    return seen_in_images(spark, d, poses, G.project_w2c(C.xyz(), C.quaternion(), C.translation(), *[F.col(c) for c in ("model", "fx", "fy", "cx", "cy")]))
 
 
 @R.query("SELECT scene_id, camera_id, fx AS f0, CASE WHEN model IN ('SIMPLE_PINHOLE', 'SIMPLE_RADIAL', 'RADIAL') THEN fx ELSE fy END AS f1 FROM cameras", "cameras")

@@ -9,7 +9,7 @@ from vistaframe.operators import cameras as C
 from vistaframe.operators import frames as W
 from vistaframe.operators import transforms as T
 from vistaframe.plans.box_queries import floors
-from vistaframe.plans.camera_queries import PROJECTED, ROT, M
+from vistaframe.plans.camera_queries import PROJECTED, ROT, M, seen_in_images
 from vistaframe.plans.helpers import Registry, rounded
 from vistaframe.sources.fixtures import view
 
@@ -35,10 +35,9 @@ def entries(df, m, *at):
 
 @R.query(f"WITH {PROJECTED} SELECT scene_id, point_id, image_id, round(u, 4) AS u, round(v, 4) AS v, round(c, 6) AS depth FROM proj WHERE model IN ('SIMPLE_PINHOLE', 'PINHOLE', 'OPENCV') AND c > 0.5", "points", "images", "cameras")
 def project_c2w(spark, d):
-    poses = C.poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")).where(F.col("model").isin(*G.PROJECTED)).withColumn("c2w", own_c2w())
-    u, v, z = G.project_c2w(C.xyz(), F.col("c2w"), *[F.col(c) for c in ("model", "fx", "fy", "cx", "cy")])
-    rows = C.paired(view(spark, d, "points").select("scene_id", "point_id", "x", "y", "z"), poses).select("scene_id", "point_id", "image_id", u.alias("u"), v.alias("v"), z.alias("depth"))
-    return rows.where("depth > 0.5").select("scene_id", "point_id", "image_id", F.round("u", 4).alias("u"), F.round("v", 4).alias("v"), F.round("depth", 6).alias("depth"))
+    poses = C.poses_with_cameras(view(spark, d, "images"), view(spark, d, "cameras")).where(F.col("model").isin(*G.PROJECTED))
+    poses = C.alike(poses.select("scene_id", "image_id", *C.POSE, "model", "fx", "fy", "cx", "cy")).withColumn("c2w", own_c2w())
+    return seen_in_images(spark, d, poses, G.project_c2w(C.xyz(), F.col("c2w"), *[F.col(c) for c in ("model", "fx", "fy", "cx", "cy")]))
 
 
 @R.query(f"WITH {POSED} SELECT scene_id, image_id, round(-2*r1, 6) AS m0, round(-2*oy+1, 6) AS m3, round(2*r3, 6) AS m5, round(2*ox+2, 6) AS m7, round(2*r8, 6) AS m10, round(2*oz+3, 6) AS m11 FROM c", "images")
