@@ -178,3 +178,15 @@ def test_points_are_projected_once_for_equal_poses(spark, monkeypatch, tmp_path,
     many = [tuple(r) for r in registry.queries()[name](spark, repeated_images(spark, tmp_path, 5)).collect()]
     assert met[0] == met[1] > 1
     assert sorted(many) == sorted((s, p, i + 4200 * k, *rest) for s, p, i, *rest in one for k in range(5))
+
+
+@pytest.mark.parametrize("name", ["mask_votes", "view_counts", "view_counts_margin"])
+def test_images_in_equal_poses_pass_a_block_as_one(spark, monkeypatch, tmp_path, name):
+    """As many rows go past the points with every image five times, and votes and views are five times as many."""
+    met, real = [], held.past_images
+    monkeypatch.setattr(held, "past_images", lambda celled, rows, *given: met.append(rows.count()) or real(celled, rows, *given))
+    what = "votes" if name == "mask_votes" else "views"
+    one = {tuple(v for k, v in r.asDict().items() if k != what): r[what] for r in registry.queries()[name](spark, "/root/testdata/sf0.001").collect()}
+    many = {tuple(v for k, v in r.asDict().items() if k != what): r[what] for r in registry.queries()[name](spark, repeated_images(spark, tmp_path, 5)).collect()}
+    assert met[0] == met[1] > 1
+    assert many == {k: 5 * n for k, n in one.items()} and any(many.values())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vistaframe.operators.cameras import with_cells
+from vistaframe.operators.cameras import with_cells, with_times
 from vistaframe.operators.held import BLOCK, vote_sums
 
 PIXEL = ("scene_id", "instance_id", "frame", "u", "v")
@@ -95,8 +95,8 @@ def mask_votes(projected: DataFrame, pixels: DataFrame) -> DataFrame:
 
 def cloud_votes(points: DataFrame, poses: DataFrame, pixels: DataFrame) -> DataFrame:
     """mask_votes() of points (scene_id, point_id, x, y, z) and poses (turned() with frame, width and height of the masks, and su and sv, the
-    image's pixels to one of a mask), without a row for a point in an image: a block of points is held and all images pass it."""
-    return vote_sums(with_cells(points.select("scene_id", "point_id", "x", "y", "z"), BLOCK), poses, pixels)
+    image's pixels to one of a mask), without a row for a point in an image: a block of points is held and all images pass it, those in equal poses of a frame as one."""
+    return vote_sums(with_cells(points.select("scene_id", "point_id", "x", "y", "z"), BLOCK), with_times(poses), pixels)
 
 
 def select_voted_points(votes: DataFrame, min_votes: int = 2) -> DataFrame:
