@@ -1,6 +1,7 @@
 """What must not grow with the data: broadcasts, rows that meet, and tables on the way."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
@@ -190,3 +191,66 @@ def test_images_in_equal_poses_pass_a_block_as_one(spark, monkeypatch, tmp_path,
     many = {tuple(v for k, v in r.asDict().items() if k != what): r[what] for r in registry.queries()[name](spark, repeated_images(spark, tmp_path, 5)).collect()}
     assert met[0] == met[1] > 1
     assert many == {k: 5 * n for k, n in one.items()} and any(many.values())
+
+
+def test_regions_hold_the_centres_of_boxes_that_grow():
+    """Whatever joins: points in the middle, far away or in one place, with the origin moved as far as is allowed, around or beside the points."""
+    rnd = np.random.default_rng(5)
+    found, wide = 0, 0
+    for turn in range(120):
+        points, up = rnd.normal(0, [2.0, 0.7, 1.5], (400, 3)).T, [np.array([0.0, 0.0, 1.0]), np.array([0.6, 0.0, -0.8])][turn % 2]
+        counts, origin = rnd.integers(1, 9, 400).astype(np.int32), rnd.normal(0, [0.05, 1.0, 6.0][turn % 3], 3)
+        more, shift = int(counts.sum() / rnd.integers(30, 400)), rnd.uniform(0, 0.3)
+        region = held.view_region(points, counts, more, origin, shift, up, 5.0)
+        if region is None:
+            continue
+        place, radius, allowed = region
+        found, wide = found + 1, wide + (allowed == np.inf)
+        for k in range(4):
+            added = [rnd.normal(0, 1, (3, more)), rnd.normal(0, 50, (3, more)), np.full((3, more), 30.0), points[:, :more]][k][:, : rnd.integers(0, more + 1)]
+            step = rnd.normal(0, 1, 3)
+            moved = origin + step / np.linalg.norm(step) * min(shift, allowed)
+            centre = held.view_box(np.hstack([points, added]), moved, up, 5.0, np.append(counts, np.ones(added.shape[1], np.int32)))[:3]
+            assert np.linalg.norm(centre - place) <= radius
+    assert found > 60 and 10 < wide < found
+
+
+def test_boxes_of_equal_images_are_looked_at_and_fitted_once(monkeypatch):
+    """Objects are those that are fitted anew with every box, whether or not places are let go on the way, and most boxes need no fit."""
+    rnd = np.random.default_rng(9)
+    cloud = held.Cloud(np.arange(3000), rnd.normal(0, [1.5, 1.5, 0.8], (3000, 3)))
+    turns = rnd.normal(0, 1, (24, 4)) / [1, 9, 9, 1]
+    q, r, x, y = (turns / np.linalg.norm(turns, axis=1)[:, None]).T
+    terms = np.column_stack([1 - 2 * (x * x + y * y), 2 * (r * x - q * y), 2 * (r * y + q * x), 2 * (r * x + q * y), 1 - 2 * (r * r + y * y), 2 * (x * y - q * r), 2 * (r * y - q * x), 2 * (x * y + q * r), 1 - 2 * (r * r + x * x), np.zeros((24, 2)), np.full(24, 3.0), np.tile([500.0, 500.0, 320.0, 240.0], (24, 1))])
+    rows = [{"image_id": k, "ordinal": b, **dict(zip(held.VIEW, terms[k % 24], strict=True)), "x0": 130.0 * b, "y0": 60.0, "x1": 130.0 * b + 180, "y1": 400.0} for k in range(480) for b in range(4)]
+    boxes, up = pa.Table.from_pylist(rows), np.array([0.0, 0.0, 1.0])
+    origin = lambda row: -terms[rows[row]["image_id"] % 24, :9].reshape(3, 3).T @ terms[rows[row]["image_id"] % 24, 9:12]
+    given = [(row, at) for row, at, _ in held.contents(cloud, boxes, 8, 10.0)]
+    looked, fits, real, look = [], [], held.view_box, held.image_contents
+    for distance in (0.4, 1.2):
+        own, want, centres, counts, origins = {}, [], [], [], []
+        for row, at in given:
+            eye = origin(row)
+            centre = own.setdefault((row % 96), np.array(real(cloud.xyz[:, at], eye, up, 5.0)[:3]))
+            k = next((k for k, c in enumerate(centres) if np.linalg.norm(c - centre) <= distance), len(centres))
+            want.append(k)
+            if k == len(centres):
+                centres, counts, origins = [*centres, centre], [*counts, np.zeros(3000, np.int64)], [*origins, eye]
+                counts[k][at] += 1
+                continue
+            origins[k] = (origins[k] * counts[k].sum() + eye * len(at)) / (counts[k].sum() + len(at))
+            counts[k][at] += 1
+            some = np.flatnonzero(counts[k])
+            centres[k] = np.array(real(cloud.xyz[:, some], origins[k], up, 5.0, counts[k][some])[:3])
+        monkeypatch.setattr(held, "view_box", lambda *given: fits.append(1) or real(*given))
+        monkeypatch.setattr(held, "image_contents", lambda *given: looked.append(1) or look(*given))
+        for kept in (held.KEPT, 5000):
+            monkeypatch.setattr(held, "KEPT", kept)
+            looked.clear(), fits.clear()
+            objects = held.Objects(cloud, distance, 5.0)
+            assert [objects.add(at, origin(row), up) for row, at in held.repeated_contents(cloud, boxes, 8, 10.0, objects.let_go)] == want
+            assert kept == 5000 or len(looked) == 24 and len(fits) < (0.7 if distance > 1 else 1) * len(given)
+            for k in range(len(centres)):
+                objects.count(k)
+                assert (objects.counts[k] == counts[k][objects.at[k]]).all() and objects.sizes[k] == counts[k].sum()
+        monkeypatch.undo()
