@@ -254,3 +254,25 @@ def test_boxes_of_equal_images_are_looked_at_and_fitted_once(monkeypatch):
                 objects.count(k)
                 assert (objects.counts[k] == counts[k][objects.at[k]]).all() and objects.sizes[k] == counts[k].sum()
         monkeypatch.undo()
+
+
+def test_a_density_rule_counts_neighbours_only_till_they_are_enough(spark, monkeypatch):
+    """Against brute force, with ids that stand twice, copies and thin places; nearly nothing is compared in dense ones."""
+    rnd = np.random.default_rng(12)
+    xyz = np.concatenate([rnd.normal(0, 0.3, (2500, 3)), rnd.normal(0, 4, (500, 3)), np.repeat(rnd.normal(9, 1, (5, 3)), 3, axis=0)])
+    ids = np.append(np.arange(len(xyz) - 9), np.repeat([7000, 7001, 7002], 3))
+    near = (((xyz[:, None] - xyz) ** 2).sum(axis=2) <= 0.25) & (ids[:, None] != ids)
+    want = {int(k): int(near[ids == k].sum()) for k in np.unique(ids)}
+    rows = [("s", int(k), *p) for k, p in zip(ids, xyz.tolist(), strict=True)]
+    points = spark.createDataFrame(rows, "scene_id string, id long, x double, y double, z double")
+    for enough in (1, 2, 40):
+        found = {r["id"]: r["neighbors"] for r in spatial.neighbor_counts(points, 0.5, enough).collect()}
+        assert all(min(found[k], enough) == min(n, enough) and found[k] <= n for k, n in want.items()) and 0 in found.values()
+    compared, real = [], held.spans_of
+    monkeypatch.setattr(held, "spans_of", lambda starts, sizes: compared.append(int(sizes.sum())) or real(starts, sizes))
+    cloud, own = held.Cloud(np.arange(9000), rnd.uniform(0, 1, (9000, 3)), 32), np.ones(9000, bool)
+    held.near_counts(cloud, own, 0.5)
+    assert sum(compared) > 100_000
+    compared.clear()
+    held.near_counts(cloud, own, 0.5, np.full(9000, 3))
+    assert sum(compared) < 1000

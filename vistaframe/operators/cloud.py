@@ -117,7 +117,7 @@ def clean_gaussians(
     if density_radius and density_least:
         left = rows.where("reason IS NULL")
         many = left.groupBy("scene_id").agg(F.count(F.lit(1)).alias("_left"))
-        near = neighbor_counts(left.select("scene_id", F.col("gaussian_id").alias("id"), "x", "y", "z"), density_radius).withColumnRenamed("id", "gaussian_id")
+        near = neighbor_counts(left.select("scene_id", F.col("gaussian_id").alias("id"), "x", "y", "z"), density_radius, density_least).withColumnRenamed("id", "gaussian_id")
         alone = (F.col("_left") > density_least) & (F.col("neighbors") < density_least)
         rows = rows.join(near, ["scene_id", "gaussian_id"], "left").join(many, "scene_id", "left").withColumn("reason", F.coalesce("reason", F.when(alone, "density"))).select(*gaussians.columns, "reason")
     if views is not None and min_views:
